@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,9 +69,7 @@ def refund_records(refunds: DataFrame, strict: bool = False, allow: Sequence[str
     arrays = []
     for name, build in payloads.items():
         if name in rows.columns:
-            array, kind = json_array(rows, name, strict)
-            records = F.transform(array, lambda e, b=build, k=kind: _record(b(Element(e, k, strict))))
-            arrays.append(F.coalesce(records, F.array().cast(_record_array())))
+            arrays.append(_records(rows, name, build, strict))
     columns = [
         "source_platform",
         F.upper("brand").alias("brand"),
@@ -218,6 +216,15 @@ def _currency(e: Element, money_set: str) -> Column:
     )
 
 
+def _records(
+    rows: DataFrame, name: str, build: Callable[[Element], dict[str, Column]], strict: bool
+) -> Column:
+    """The payload array in ``name`` as an array of records; empty when there is no payload."""
+    array, kind = json_array(rows, name, strict)
+    records = F.transform(array, lambda e: _record(build(Element(e, kind, strict))))
+    return F.coalesce(records, F.array().cast(_record_array()))
+
+
 def _record(filled: dict[str, Column]) -> Column:
     return F.struct(
         *[filled.get(n, F.lit(None)).cast(kind).alias(n) for n, kind in RECORD.items()]

@@ -25,6 +25,8 @@ LINE_KEY = ["source_platform", "brand", "order_id", "line_item_id", "row_type"]
 SHIPPING_KEY = ["source_platform", "brand", "order_id", "shipping_line_id", "row_type"]
 ORDER_KEY = ["brand", "order_id"]
 
+_PAYLOAD = ["line_items", "shipping_lines", "element"]
+
 # Business update time first, then load time; batch and position make the order total.
 VERSION_ORDER = ["updated_at", "batch_runtime", "batch_id", "element_pos"]
 
@@ -39,7 +41,7 @@ def explode_lines(orders: DataFrame, strict: bool = False) -> DataFrame:
     allocations, kind = line.array("$.discount_allocations")
     quantity = line.get("$.quantity", "double")
     out = rows.select(
-        "*",
+        *[c for c in rows.columns if c not in _PAYLOAD],
         normalize_id(line.get("$.id", "decimal(38,0)")).alias("line_item_id"),
         line.get("$.name", "string").alias("item_name"),
         line.get("$.title", "string").alias("product_title"),
@@ -66,8 +68,9 @@ def explode_shipping(orders: DataFrame, marketplace_tag: str, strict: bool = Fal
     own = orders.where(~K.domain_mentions(F.col("email"), marketplace_tag))
     rows, line = explode_array(_order_rows(own), "shipping_lines", strict=strict)
     allocations, kind = line.array("$.discount_allocations")
-    return rows.withColumnRenamed("name", "order_name").select(
-        "*",
+    rows = rows.withColumnRenamed("name", "order_name")
+    return rows.select(
+        *[c for c in rows.columns if c not in _PAYLOAD],
         normalize_id(line.get("$.id", "decimal(38,0)")).alias("shipping_line_id"),
         line.get("$.title", "string").alias("shipping_title"),
         line.get("$.price", "double").alias("shipping_price"),
@@ -244,7 +247,7 @@ def _order_rows(orders: DataFrame) -> DataFrame:
     """Raw orders reduced to the columns staging keeps, ids and times in one form."""
     rows = add_missing(orders, STOREFRONT_ORDER)
     rows = with_load_time(as_utc(rows, *STOREFRONT_TIMES))
-    payload = [c for c in ("line_items", "shipping_lines") if c in rows.columns]
+    payload = [c for c in _PAYLOAD if c in rows.columns]
     return rows.select(
         "source_platform",
         F.upper("brand").alias("brand"),
@@ -258,7 +261,7 @@ def _order_rows(orders: DataFrame) -> DataFrame:
 
 
 def _finish(rows: DataFrame, allow: Sequence[str]) -> DataFrame:
-    """Sale rows with Pacific times and without the exploded value."""
+    """Sale rows with Pacific times."""
     rows = rows.withColumns({"event_date": F.col("processed_at"), "row_type": F.lit("sale")})
     pacific = {
         "processed_at_pst": "processed_at",
@@ -268,8 +271,7 @@ def _finish(rows: DataFrame, allow: Sequence[str]) -> DataFrame:
         "closed_at_pst": "closed_at",
     }
     rows = rows.withColumns({new: to_pacific(F.col(old)) for new, old in pacific.items()})
-    payload = [c for c in ("line_items", "shipping_lines", "element") if c in rows.columns]
-    return drop_pii(rows.drop(*payload), IDENTIFYING, allow)
+    return drop_pii(rows, IDENTIFYING, allow)
 
 
 def _union(
