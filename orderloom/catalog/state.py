@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from orderloom.catalog.shared import plain
 from orderloom.operators.dedup import first_and_last, keep_earliest, keep_latest, ordering
 from orderloom.operators.history import scd2_as_of, scd2_current, scd2_merge
-from orderloom.operators.incremental import FLOOR, collect_marks, high_water, increment
+from orderloom.operators.incremental import FLOOR, high_water, increment
 from orderloom.operators.merge import merge_ranked, merge_upsert
 from orderloom.session import shared_folder
 from orderloom.sources.derived import table
@@ -64,7 +64,7 @@ def increment_inclusive(spark: SparkSession, sf: str) -> DataFrame:
 
 def increment_exclusive_floor(spark: SparkSession, sf: str) -> DataFrame:
     events = _events(spark, sf)
-    marks = collect_marks(high_water(events.where(_loaded_before("ts")), "event_type", "ts"), "event_type")
+    marks = high_water(events.where(_loaded_before("ts")), "event_type", "ts")
     return plain(increment(events, marks, "event_type", "ts", inclusive=False, floor=FLOOR))
 
 

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.ui.enabled": "false",
+    # Wide plans make thousands of column calls; recording a call site for each costs seconds.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

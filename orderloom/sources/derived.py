@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions.times import to_seconds
+from orderloom.sources.readers import spread
 
 STORES = ["STORE_A", "STORE_B", "STORE_C", "STORE_D", "STORE_E", "STORE_F"]
 MOVED = ["STORE_A", "STORE_C", "STORE_E"]
@@ -19,7 +20,7 @@ STOREFRONT, MARKETPLACE = "Storefront", "Marketplace"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def store_of(key: str) -> Column:

@@ -1,0 +1,193 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderloom.functions import keys as K
+from orderloom.functions.ids import has_raw_format, normalize_id
+from orderloom.functions.money import from_cents, reversal, safe_divide, to_money
+from orderloom.functions.semi import array_sum, explode_array, json_array, object_entries, parse_head
+from orderloom.functions.times import as_utc, day, from_epoch, pacific_date, to_millis, to_pacific
+
+
+def one(spark, *columns):
+    return tuple(spark.range(1).select(*columns).first())
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("123", "123"),
+        ("123.000000000", "123"),
+        ("1.23E5", "123000"),
+        (" 12 ", "12"),
+        ("576461413038785752.000000000", "576461413038785752"),
+        ("abc", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_normalize_id(spark, text, expected):
+    assert one(spark, normalize_id(F.lit(text).cast("string"))) == (expected,)
+
+
+def test_normalize_id_reads_numbers_and_strict_raises(spark):
+    assert one(spark, normalize_id(F.lit(5.1e12)), normalize_id(F.lit(7))) == ("5100000000000", "7")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|cannot be cast|malformed"):
+        one(spark, normalize_id(F.lit("abc"), strict=True))
+
+
+def test_raw_format(spark):
+    values = [F.lit(v) for v in ("12", "12.0", "1e5", "1E5")]
+    assert one(spark, *[has_raw_format(v) for v in values]) == (False, True, True, True)
+
+
+def test_strict_keys_propagate_null_and_states_skip_it(spark):
+    null = F.lit(None).cast("string")
+    assert one(
+        spark,
+        K.order_line_key(F.lit("P"), F.lit("store_a"), F.lit("1"), F.lit("2"), F.lit("sale")),
+        K.order_line_key(F.lit("P"), null, F.lit("1"), F.lit("2")),
+        K.order_state(F.lit("paid"), null),
+        K.sku_or(F.lit(""), F.lit("title")),
+        K.sku_or(null, F.lit("title")),
+        K.clean_currency(F.lit(" usd ")),
+    ) == ("P_STORE_A_1_2_sale", None, "paid", "title", "title", "USD")
+
+
+def test_domain_test_is_null_without_email(spark):
+    mails = [F.lit(m).cast("string") for m in ("a@x.MarketPlace.com", "a@mail.com", "marketplace", None)]
+    assert one(spark, *[K.domain_mentions(m, "marketplace") for m in mails]) == (True, False, False, None)
+
+
+def test_money(spark):
+    zero, null = F.lit(0.0), F.lit(None).cast("double")
+    got = one(
+        spark,
+        to_money(F.lit(1.005)),
+        to_money(F.lit(-1.005)),
+        safe_divide(F.lit(1.0), zero),
+        from_cents(F.lit(-1234)),
+        reversal(F.lit(2.5)),
+        reversal(F.lit(-2.5)),
+        reversal(null),
+    )
+    assert got == (Decimal("1.01"), Decimal("-1.01"), None, Decimal("-12.34"), -2.5, -2.5, 0.0)
+    # A reversed zero must not print as -0.0.
+    assert one(spark, reversal(zero).cast("string")) == ("0.0",)
+
+
+@pytest.mark.parametrize(
+    "utc, pacific, day_pt",
+    [
+        ("2024-03-10 09:59:59", "2024-03-10 01:59:59", "2024-03-10"),
+        ("2024-03-10 10:00:00", "2024-03-10 03:00:00", "2024-03-10"),
+        ("2024-11-03 08:59:59", "2024-11-03 01:59:59", "2024-11-03"),
+        ("2024-11-03 09:00:00", "2024-11-03 01:00:00", "2024-11-03"),
+        ("2024-01-01 07:59:59", "2023-12-31 23:59:59", "2023-12-31"),
+    ],
+)
+def test_pacific_times_follow_daylight_saving(spark, utc, pacific, day_pt):
+    at = F.lit(utc).cast("timestamp_ntz")
+    assert one(spark, to_pacific(at).cast("string"), pacific_date(at).cast("string")) == (pacific, day_pt)
+
+
+def test_epochs(spark):
+    ts = F.lit("2024-01-01 00:00:00.9").cast("timestamp_ntz")
+    got = one(
+        spark,
+        from_epoch(F.lit(1704067200), "s"),
+        from_epoch(F.lit(1704067200123), "ms"),
+        to_millis(ts),
+        day(F.lit("2024-05-06 07:08:09").cast("timestamp_ntz")),
+        from_epoch(F.lit(None).cast("bigint"), "s"),
+    )
+    assert got == (
+        dt.datetime(2024, 1, 1),
+        dt.datetime(2024, 1, 1, 0, 0, 0, 123000),
+        1704067200000,
+        dt.datetime(2024, 5, 6),
+        None,
+    )
+
+
+def test_instants_become_utc_whatever_the_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        df = spark.sql("select timestamp '2024-01-01 09:00:00' as at, timestamp_ntz '2024-01-01 09:00:00' as wall")
+        got = as_utc(df, "at", "wall", "absent").first()
+        assert (got["at"], got["wall"]) == (dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 9))
+        assert one(spark, from_epoch(F.lit(1704067200), "s")) == (dt.datetime(2024, 1, 1),)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+TEXTS = [
+    ('[{"id":576461413038785752.000000000,"p":"1.5"},null,{"id":"1.23E5","p":2},3,{"id":7,"p":"x"}]',),
+    ("not json",),
+    ("null",),
+    (None,),
+    ("[]",),
+    ('{"id":1}',),
+]
+
+
+def test_explode_array_is_tolerant(spark):
+    df = spark.createDataFrame(TEXTS, "j string")
+    out, e = explode_array(df, "j")
+    got = out.select("element_pos", normalize_id(e.get("$.id", "decimal(38,0)")), e.get("$.p", "double")).collect()
+    assert sorted(map(tuple, got)) == [
+        (0, "576461413038785752", 1.5),
+        (1, None, None),
+        (2, "123000", 2.0),
+        (3, None, None),
+        (4, "7", None),
+    ]
+
+
+def test_explode_array_outer_keeps_rows_and_strict_raises(spark):
+    df = spark.createDataFrame(TEXTS, "j string")
+    out, _ = explode_array(df, "j", outer=True)
+    assert out.count() == 10
+    with pytest.raises(Exception, match="MALFORMED_RECORD|INVALID"):
+        explode_array(df, "j", strict=True)[0].count()
+
+
+def test_native_and_text_arrays_read_alike(spark):
+    schema = "l array<struct<id:string,a:struct<b:array<struct<c:double>>>>>"
+    native = spark.createDataFrame([([("5.0", ([(2.5,)],)), ("x", None)],)], schema)
+    text = native.select(F.to_json("l").alias("l"))
+    for df in (native, text):
+        out, e = explode_array(df, "l")
+        got = out.select(
+            normalize_id(e.get("$.id", "decimal(38,0)")), e.get("$.a.b[0].c", "double"), e.get("$.nope", "string")
+        )
+        assert sorted(map(tuple, got.collect()), key=str) == [("5", 2.5, None), (None, None, None)]
+
+
+def test_object_or_one_element_array(spark):
+    df = spark.createDataFrame([('[{"x":{"t":"o"}},{"x":[{"t":"a"}]},{"x":1}]',)], "j string")
+    out, e = explode_array(df, "j")
+    got = [r[0] for r in out.select(e.first_of(["$.x.t", "$.x[0].t"], "string")).collect()]
+    assert got == ["o", "a", None]
+
+
+def test_head_of_array(spark):
+    df = spark.createDataFrame([('[{"a":"1.5"},{"a":2}]',), ("[]",), (None,)], "j string")
+    out, e = parse_head(df, "j", "j")
+    assert [r[0] for r in out.select(e.get("$.a", "double")).collect()] == [1.5, None, None]
+
+
+def test_array_sum(spark):
+    df = spark.createDataFrame(
+        [('[{"a":"1.5"},{"a":"1.5"},{"a":"x"},null]',), ("[]",), ('[{"b":1}]',), (None,)], "j string"
+    )
+    array, kind = json_array(df, "j")
+    assert [r[0] for r in df.select(array_sum(array, kind, "$.a")).collect()] == [3.0, None, None, None]
+
+
+def test_object_entries(spark):
+    df = spark.createDataFrame([(1, '{"a":1.5,"b":"x","c":null}'), (2, "[1]"), (3, None), (4, "bad")], "i int, j string")
+    got = object_entries(df, "j").select("i", "key", F.try_variant_get("value", "$", "string"))
+    assert sorted(map(tuple, got.collect())) == [(1, "a", "1.5"), (1, "b", "x"), (1, "c", None)]
