@@ -9,6 +9,7 @@ does not spoil its neighbours.
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,14 +40,26 @@ class Element:
         """The first path that holds a value: the object form, then the one-element array."""
         return F.coalesce(*[self.get(p, as_type) for p in paths])
 
-    def array(self, path: str) -> tuple[Column, T.DataType]:
-        """The array at ``path`` with its element type; an absent array is NULL."""
+    def structs(self, path: str, fields: Mapping[str, str]) -> Column:
+        """The array at ``path`` as structs of ``fields`` (name to type); NULL when absent.
+
+        An element that is no object is NULL, and so is a field that does not cast.
+        """
         if isinstance(self.data_type, T.VariantType):
-            return F.try_variant_get(self.col, path, "array<variant>"), T.VariantType()
+            return F.try_variant_get(self.col, path, _structs_type(fields))
         found = _resolve(self.col, self.data_type, path)
-        if found and isinstance(found[1], T.ArrayType):
-            return found[0], found[1].elementType
-        return F.lit(None).cast("array<string>"), T.StringType()
+        if found is None or not isinstance(found[1], T.ArrayType):
+            return F.lit(None).cast(_structs_type(fields))
+        return _native_structs(found[0], found[1].elementType, fields)
+
+
+def json_structs(df: DataFrame, name: str, fields: Mapping[str, str]) -> Column:
+    """Column ``name``, a JSON text or a native array, as an array of structs of ``fields``."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.ArrayType):
+        return _native_structs(F.col(name), kind.elementType, fields)
+    col = F.col(name) if isinstance(kind, T.VariantType) else F.try_parse_json(F.col(name))
+    return F.try_variant_get(col, "$", _structs_type(fields))
 
 
 def json_array(df: DataFrame, name: str, strict: bool = False) -> tuple[Column, T.DataType]:
@@ -94,18 +107,27 @@ def object_entries(
     return df.select(*rest, F.explode(entries).alias(key, value))
 
 
-def array_sum(array: Column, kind: T.DataType, path: str) -> Column:
-    """Sum of the numbers at ``path`` over one array; NULL when no element holds one.
+def array_sum(structs: Column, field: str) -> Column:
+    """Sum of ``field`` over one array of structs; NULL when no element holds a number.
 
     Works inside the row, so it needs neither an explode nor a shuffle.
     """
-    amounts = F.filter(
-        F.transform(array, lambda e: Element(e, kind).get(path, "double")), lambda a: a.isNotNull()
-    )
+    amounts = F.filter(F.transform(structs, lambda e: e[field]), lambda a: a.isNotNull())
     total = F.aggregate(amounts, F.lit(0.0), lambda acc, a: acc + a)
     return F.when(F.size(amounts) > 0, total)
 
 
+def _structs_type(fields: Mapping[str, str]) -> str:
+    return "array<struct<" + ",".join(f"{n}:{t}" for n, t in fields.items()) + ">>"
+
+
+def _native_structs(array: Column, kind: T.DataType, fields: Mapping[str, str]) -> Column:
+    def struct(e: Column) -> Column:
+        return F.struct(*[Element(e, kind).get(f"$.{n}", t).alias(n) for n, t in fields.items()])
+
+    return F.transform(array, struct)
+
+
 def _resolve(col: Column, kind: T.DataType, path: str) -> tuple[Column, T.DataType] | None:
     """Follow a JSON path through native types; None where the schema has no such path."""
     for field, index in _STEP.findall(path):

@@ -38,7 +38,7 @@ def explode_lines(orders: DataFrame, strict: bool = False) -> DataFrame:
     no join, and allocations of older versions are never added to newer ones.
     """
     rows, line = explode_array(_order_rows(orders), "line_items", strict=strict)
-    allocations, kind = line.array("$.discount_allocations")
+    allocations = line.structs("$.discount_allocations", {"amount": "double"})
     quantity = line.get("$.quantity", "double")
     out = rows.select(
         *[c for c in rows.columns if c not in _PAYLOAD],
@@ -51,7 +51,7 @@ def explode_lines(orders: DataFrame, strict: bool = False) -> DataFrame:
         quantity.alias("quantity"),
         line.get("$.price", "double").alias("product_price"),
         F.to_json(allocations).alias("discount_allocations"),
-        array_sum(allocations, kind, "$.amount").alias("line_item_discount_total"),
+        array_sum(allocations, "amount").alias("line_item_discount_total"),
     )
     return out.withColumn(
         "line_item_discount_per_unit",
@@ -67,7 +67,7 @@ def explode_shipping(orders: DataFrame, marketplace_tag: str, strict: bool = Fal
     """
     own = orders.where(~K.domain_mentions(F.col("email"), marketplace_tag))
     rows, line = explode_array(_order_rows(own), "shipping_lines", strict=strict)
-    allocations, kind = line.array("$.discount_allocations")
+    allocations = line.structs("$.discount_allocations", {"amount": "double"})
     rows = rows.withColumnRenamed("name", "order_name")
     return rows.select(
         *[c for c in rows.columns if c not in _PAYLOAD],
@@ -78,7 +78,7 @@ def explode_shipping(orders: DataFrame, marketplace_tag: str, strict: bool = Fal
         line.get("$.carrier_identifier", "string").alias("carrier_identifier"),
         line.get("$.source", "string").alias("shipping_source"),
         line.get("$.is_removed", "boolean").alias("is_removed"),
-        array_sum(allocations, kind, "$.amount").alias("shipping_discount"),
+        array_sum(allocations, "amount").alias("shipping_discount"),
     )
 
 

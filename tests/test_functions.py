@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from orderloom.functions import keys as K
 from orderloom.functions.ids import has_raw_format, normalize_id
 from orderloom.functions.money import from_cents, reversal, safe_divide, to_money
-from orderloom.functions.semi import array_sum, explode_array, json_array, object_entries, parse_head
+from orderloom.functions.semi import array_sum, explode_array, json_structs, object_entries, parse_head
 from orderloom.functions.times import as_utc, day, from_epoch, pacific_date, to_millis, to_pacific
 
 
@@ -183,8 +183,14 @@ def test_array_sum(spark):
     df = spark.createDataFrame(
         [('[{"a":"1.5"},{"a":"1.5"},{"a":"x"},null]',), ("[]",), ('[{"b":1}]',), (None,)], "j string"
     )
-    array, kind = json_array(df, "j")
-    assert [r[0] for r in df.select(array_sum(array, kind, "$.a")).collect()] == [3.0, None, None, None]
+    sums = df.select(array_sum(json_structs(df, "j", {"a": "double"}), "a"))
+    assert [r[0] for r in sums.collect()] == [3.0, None, None, None]
+
+
+def test_structs_tolerate_odd_elements(spark):
+    df = spark.createDataFrame([('[{"n":"a","v":1},3,null,{"n":{"x":1},"v":"z"},{"v":2}]',)], "j string")
+    got = df.select(json_structs(df, "j", {"n": "string", "v": "int"})).first()[0]
+    assert [None if e is None else tuple(e) for e in got] == [("a", 1), None, None, ('{"x":1}', None), (None, 2)]
 
 
 def test_object_entries(spark):
