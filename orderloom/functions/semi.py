@@ -48,6 +48,8 @@ class Element:
         if isinstance(self.data_type, T.VariantType):
             return F.try_variant_get(self.col, path, _structs_type(fields))
         found = _resolve(self.col, self.data_type, path)
+        if found and isinstance(found[1], T.VariantType):
+            return F.try_variant_get(found[0], "$", _structs_type(fields))
         if found is None or not isinstance(found[1], T.ArrayType):
             return F.lit(None).cast(_structs_type(fields))
         return _native_structs(found[0], found[1].elementType, fields)
@@ -58,8 +60,19 @@ def json_structs(df: DataFrame, name: str, fields: Mapping[str, str]) -> Column:
     kind = df.schema[name].dataType
     if isinstance(kind, T.ArrayType):
         return _native_structs(F.col(name), kind.elementType, fields)
-    col = F.col(name) if isinstance(kind, T.VariantType) else F.try_parse_json(F.col(name))
-    return F.try_variant_get(col, "$", _structs_type(fields))
+    return _typed_array(df, name, fields, strict=False)[0]
+
+
+    def text(self, path: str) -> Column:
+        """The array or object at ``path`` as JSON text, whole."""
+        if isinstance(self.data_type, T.VariantType):
+            return F.try_variant_get(self.col, path, "string")
+        found = _resolve(self.col, self.data_type, path)
+        if found is None:
+            return F.lit(None).cast("string")
+        if isinstance(found[1], T.VariantType):
+            return F.try_variant_get(found[0], "$", "string")
+        return F.to_json(found[0])
 
 
 def json_array(df: DataFrame, name: str, strict: bool = False) -> tuple[Column, T.DataType]:
@@ -75,10 +88,21 @@ def json_array(df: DataFrame, name: str, strict: bool = False) -> tuple[Column,
 
 
 def explode_array(
-    df: DataFrame, name: str, element: str = "element", outer: bool = False, strict: bool = False
+    df: DataFrame,
+    name: str,
+    element: str = "element",
+    outer: bool = False,
+    strict: bool = False,
+    fields: Mapping[str, str] | None = None,
 ) -> tuple[DataFrame, Element]:
-    """One row per array element, with its position in ``<element>_pos``; ``name`` is dropped."""
+    """One row per array element, with its position in ``<element>_pos``; ``name`` is dropped.
+
+    With ``fields`` (name to type) JSON elements are read as structs of them in one step, which is
+    much cheaper than one path lookup per field; native elements need no such step.
+    """
     array, kind = json_array(df, name, strict)
+    if fields and isinstance(kind, T.VariantType):
+        array, kind = _typed_array(df, name, fields, strict)
     explode = F.posexplode_outer if outer else F.posexplode
     rest = [F.col(c) for c in df.columns if c != name]
     rows = df.select(*rest, explode(array).alias(f"{element}_pos", element))
@@ -121,7 +145,25 @@ def _structs_type(fields: Mapping[str, str]) -> str:
     return "array<struct<" + ",".join(f"{n}:{t}" for n, t in fields.items()) + ">>"
 
 
+def _typed_array(
+    df: DataFrame, name: str, fields: Mapping[str, str], strict: bool
+) -> tuple[Column, T.DataType]:
+    """JSON text or a VARIANT as an array of structs, with the struct type."""
+    col = F.col(name)
+    if isinstance(df.schema[name].dataType, T.StringType):
+        col = F.parse_json(col) if strict else F.try_parse_json(col)
+    read = F.variant_get if strict else F.try_variant_get
+    return read(col, "$", _structs_type(fields)), _struct(fields)
+
+
+def _struct(fields: Mapping[str, str]) -> T.StructType:
+    return T.StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in fields.items()))
+
+
 def _native_structs(array: Column, kind: T.DataType, fields: Mapping[str, str]) -> Column:
+    if kind.simpleString() == _struct(fields).simpleString():
+        return array
+
     def struct(e: Column) -> Column:
         return F.struct(*[Element(e, kind).get(f"$.{n}", t).alias(n) for n, t in fields.items()])
 

@@ -21,6 +21,20 @@ STOREFRONT_ORDER = [
     "refunds", "user_id", "test",
 ]
 
+# Fields of an order line and of a shipping line, with the types they are read as.
+# Allocations stay a VARIANT, so that they can go out whole.
+_ALLOCATIONS = "variant"
+ORDER_LINE = {
+    "id": "decimal(38,0)", "name": "string", "title": "string", "sku": "string", "vendor": "string",
+    "fulfillment_service": "string", "quantity": "double", "price": "double",
+    "discount_allocations": _ALLOCATIONS,
+}
+SHIPPING_LINE = {
+    "id": "decimal(38,0)", "title": "string", "price": "double", "code": "string",
+    "carrier_identifier": "string", "source": "string", "is_removed": "boolean",
+    "discount_allocations": _ALLOCATIONS,
+}
+
 # Marketplace order columns: plain ones, then epoch-second times.
 MARKETPLACE_ORDER = [
     "is_exchange_order", "delivery_option_name", "fulfillment_type", "auto_combine_group_id",
@@ -42,6 +56,13 @@ MARKETPLACE_LINE_TEXT = [
     "package_status", "package_id",
 ]
 MARKETPLACE_LINE_AMOUNTS = ["sale_price", "original_price", "seller_discount", "platform_discount"]
+MARKETPLACE_LINE = {
+    "id": "decimal(38,0)",
+    **{c: "string" for c in MARKETPLACE_LINE_TEXT},
+    **{c: "double" for c in MARKETPLACE_LINE_AMOUNTS},
+    "item_tax": "array<struct<tax_amount:double>>",
+    "rts_time": "bigint",
+}
 SHIPPING_FEES = [
     "shipping_fee", "shipping_fee_cofunded_discount", "shipping_fee_platform_discount",
     "shipping_fee_seller_discount", "original_shipping_fee",

@@ -15,7 +15,13 @@ from orderloom.functions.times import as_utc, to_pacific
 from orderloom.operators.attributes import ATTRIBUTES, MAP, attribute_columns, attributes_map
 from orderloom.operators.connectors import union_connectors
 from orderloom.operators.dedup import keep_latest
-from orderloom.plans.columns import IDENTIFYING, STOREFRONT_ORDER, STOREFRONT_TIMES
+from orderloom.plans.columns import (
+    IDENTIFYING,
+    ORDER_LINE,
+    SHIPPING_LINE,
+    STOREFRONT_ORDER,
+    STOREFRONT_TIMES,
+)
 from orderloom.plans.staging import BATCH, add_missing, with_load_time
 from orderloom.sources.readers import with_brand_name
 from orderloom.sources.registry import MIGRATED, Platforms
@@ -37,7 +43,7 @@ def explode_lines(orders: DataFrame, strict: bool = False) -> DataFrame:
     The line's discount is the sum of the allocations in its own payload, taken inside the row:
     no join, and allocations of older versions are never added to newer ones.
     """
-    rows, line = explode_array(_order_rows(orders), "line_items", strict=strict)
+    rows, line = explode_array(_order_rows(orders), "line_items", strict=strict, fields=ORDER_LINE)
     allocations = line.structs("$.discount_allocations", {"amount": "double"})
     quantity = line.get("$.quantity", "double")
     out = rows.select(
@@ -50,7 +56,7 @@ def explode_lines(orders: DataFrame, strict: bool = False) -> DataFrame:
         line.get("$.fulfillment_service", "string").alias("fulfillment_service"),
         quantity.alias("quantity"),
         line.get("$.price", "double").alias("product_price"),
-        F.to_json(allocations).alias("discount_allocations"),
+        line.text("$.discount_allocations").alias("discount_allocations"),
         array_sum(allocations, "amount").alias("line_item_discount_total"),
     )
     return out.withColumn(
@@ -66,7 +72,7 @@ def explode_shipping(orders: DataFrame, marketplace_tag: str, strict: bool = Fal
     e-mail, whose origin cannot be told.
     """
     own = orders.where(~K.domain_mentions(F.col("email"), marketplace_tag))
-    rows, line = explode_array(_order_rows(own), "shipping_lines", strict=strict)
+    rows, line = explode_array(_order_rows(own), "shipping_lines", strict=strict, fields=SHIPPING_LINE)
     allocations = line.structs("$.discount_allocations", {"amount": "double"})
     rows = rows.withColumnRenamed("name", "order_name")
     return rows.select(

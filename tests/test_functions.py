@@ -166,6 +166,15 @@ def test_native_and_text_arrays_read_alike(spark):
         assert sorted(map(tuple, got.collect()), key=str) == [("5", 2.5, None), (None, None, None)]
 
 
+def test_typed_elements_equal_path_lookups(spark):
+    df = spark.createDataFrame(TEXTS, "j string")
+    out, e = explode_array(df, "j", fields={"id": "decimal(38,0)", "p": "double"})
+    got = out.select("element_pos", normalize_id(e.get("$.id", "decimal(38,0)")), e.get("$.p", "double")).collect()
+    plain, e = explode_array(df, "j")
+    want = plain.select("element_pos", normalize_id(e.get("$.id", "decimal(38,0)")), e.get("$.p", "double")).collect()
+    assert sorted(got) == sorted(want) and len(got) == 5
+
+
 def test_object_or_one_element_array(spark):
     df = spark.createDataFrame([('[{"x":{"t":"o"}},{"x":[{"t":"a"}]},{"x":1}]',)], "j string")
     out, e = explode_array(df, "j")

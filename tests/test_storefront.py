@@ -87,6 +87,13 @@ def test_lines_from_text_and_native_arrays_agree(spark, rows):
     assert text.columns == arrays.columns
 
 
+def test_allocations_go_out_whole(spark):
+    raw = orders(spark, order("a", "1", [line("1") | {"discount_allocations": [{"amount": "1.5", "index": 3}]}]))
+    got = S.stage_order_lines(raw).first()
+    assert json.loads(got["discount_allocations"]) == [{"amount": "1.5", "index": 3}]
+    assert got["line_item_discount_total"] == 1.5
+
+
 def test_identifying_columns_leave_only_on_request(spark):
     raw = orders(spark, order("a", "1", [line("1")]))
     staged = S.stage_order_lines(raw)
