@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,6 +88,12 @@ def refund_records(refunds: DataFrame, strict: bool = False, allow: Sequence[str
     return drop_pii(out, IDENTIFYING, allow)
 
 
+def known_orders(*orders: DataFrame) -> DataFrame:
+    """The distinct (brand, order) keys of several feeds, for :func:`canonical_refunds`."""
+    keys = [o.select(F.upper("brand").alias("brand"), "order_id") for o in orders]
+    return reduce(DataFrame.unionByName, keys).distinct()
+
+
 def canonical_refunds(
     legacy: DataFrame,
     replacement: DataFrame,

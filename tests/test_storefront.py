@@ -242,7 +242,9 @@ def test_shipping_refund_counts_once(spark, rows):
         refund("b", "9", "1", lines=[{"id": 1, "subtotal": 1, "line_item": [item]}]),
     )
     records = R.refund_records(raw)
-    known = spark.createDataFrame([("A", "1"), ("A", "1")], "brand string, order_id string")
+    listed = spark.createDataFrame([("A", "1"), ("a", "1")], "brand string, order_id string")
+    known = R.known_orders(listed, listed)
+    assert known.count() == 1
     out = R.canonical_refunds(records, records.limit(0), known, migrated=[])
     assert rows(out, "refund_key", "record_type", "rli_product_sku", "refund_amount", "refund_amount_raw", "shipping_refund_amount", "currency") == [
         ("Storefront_A_1_refund_line_item", "refund_line_item", "S1", -20.0, -20.0, None, "USD"),
