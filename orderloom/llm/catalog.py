@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, quality_rules, toxicity, url_filters, warc
-from orderloom.llm.common import read_table
+from orderloom.llm import bpe, packing, quality_rules, token_output, tokens, toxicity, url_filters, warc
+from orderloom.llm.common import cut_lineage, read_table, shared_folder
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +15,18 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.url_filter(pages).drop("url")
 
 
+def packed_documents(spark: SparkSession, docs: DataFrame, capacity: int = 1024) -> DataFrame:
+    """Pieces of the texts of ``docs`` with their place in the packed sequences."""
+    ranks = tokens.ranks_of(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = cut_lineage(tokens.token_pieces(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN, capacity), "pieces")
+    lean = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(lean, ["doc_id", "piece", "start", "ids_crc32"], capacity)
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -27,6 +39,19 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of 512 tokens at most, written in training order and read back from the shards."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = tokens.ranks_of(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = tokens.token_pieces(docs, ranks, public_tokenizers.PATTERN, 512, width=2)
+    slotted, total = token_output.assign(pieces, key=20260101)
+    folder = shared_folder(spark, "tokens")
+    token_output.write(slotted, total, folder, 512)
+    back = token_output.read(spark, folder).select("slot", "shard", "byte_offset", "length", F.crc32("ids").alias("ids_crc32"))
+    index = slotted.select("doc_id", "piece", "start", "slot")
+    return index.join(back, "slot").select("doc_id", "piece", "start", "length", "slot", "shard", "byte_offset", "ids_crc32")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
     judged = quality_rules.quality_rules(docs, keep_text=False)
@@ -47,5 +72,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op5_byte_bpe, op8_quality_rules, op9_warc, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_url_filters, op2_best_fit_packing, op5_byte_bpe, op7_token_output, op8_quality_rules, op9_warc, op10_toxicity)}
 ORACLES: dict[str, str] = {}
