@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAIRS_KEPT = 1_000_000
-PIECES_KEPT = 200_000
+PIECES_KEPT = 500_000
 LONGEST_KEPT = 64
 SLICE = 256
 
@@ -41,12 +41,13 @@ class Encoder:
 
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.token = {rank: token for token, rank in ranks.items()}
-        self.found = ahocorasick.Automaton()
+        self.size = {rank: len(token) for token, rank in ranks.items()}
+        self.found = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for token, rank in ranks.items():
-            self.found.add_word(token.decode("latin-1"), (len(token), rank))
+            self.found.add_word(token.decode("latin-1"), rank)
         self.found.make_automaton()
-        self.shorter: dict[int, int | None] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.shorter: dict[int, int] = {}
+        self.fits: dict[int, bool] = {}
         self.pieces: dict[str, tuple[int, ...]] = {}
 
     def merged(self, data: bytes) -> list[int]:
@@ -61,49 +62,49 @@ class Encoder:
 
     def follows(self, left: int, right: int) -> bool:
         """Whether ``right`` may stand after ``left`` (-1: at the start)."""
-        known = self.fits.get((left, right))
-        if known is None:
-            want = [right] if left < 0 else [left, right]
-            known = self.merged(b"".join(self.token[t] for t in want)) == want
-            if len(self.fits) >= PAIRS_KEPT:
-                self.fits.clear()
-            self.fits[left, right] = known
+        want = [right] if left < 0 else [left, right]
+        known = self.merged(b"".join([self.token[t] for t in want])) == want
+        if len(self.fits) >= PAIRS_KEPT:
+            self.fits.clear()
+        self.fits[left << 32 | right] = known
         return known
 
-    def prefix(self, rank: int) -> int | None:
-        """The longest proper prefix of a token that is a token."""
-        if rank not in self.shorter:
-            token = self.token[rank]
-            cuts = (self.ranks.get(token[:n]) for n in range(len(token) - 1, 0, -1))
-            self.shorter[rank] = next((r for r in cuts if r is not None), None)
-        return self.shorter[rank]
+    def prefix(self, rank: int) -> int:
+        """The longest proper prefix of a token that is a token; -1 if there is none."""
+        token = self.token[rank]
+        cuts = (self.ranks.get(token[:n], -1) for n in range(len(token) - 1, 0, -1))
+        self.shorter[rank] = found = next((r for r in cuts if r >= 0), -1)
+        return found
 
     def piece(self, text: str) -> tuple[int, ...]:
         data = text.encode("utf-8")
-        if data in self.ranks:
-            return (self.ranks[data],)
-        longest: list[tuple[int, int]] = [(0, -1)] * (len(data) + 1)
-        for end, match in self.found.iter(data.decode("latin-1")):
-            start = end + 1 - match[0]
-            if match[0] > longest[start][0]:
-                longest[start] = match
-        open_at = bytearray(b"\x01") * (len(data) + 1)
+        whole = self.ranks.get(data)
+        if whole is not None:
+            return (whole,)
+        size, fits, shorter, total = self.size, self.fits, self.shorter, len(data)
+        longest = [-1] * (total + 1)
+        for end, rank in self.found.iter(data.decode("latin-1")):
+            longest[end + 1 - size[rank]] = rank  # of the matches from one place, the longest ends last
+        shut: set[int] = set()
         out: list[int] = []
-        at, candidate = 0, longest[0][1]
-        while at < len(data):
-            left = out[-1] if out else -1
-            while candidate is not None:
-                end = at + len(self.token[candidate])
-                if open_at[end] and self.follows(left, candidate):
-                    break
-                candidate = self.prefix(candidate)
-            if candidate is not None:
+        at, candidate, left = 0, longest[0], -1
+        while at < total:
+            while candidate >= 0:
+                end = at + size[candidate]
+                if end not in shut:
+                    fit = fits.get(left << 32 | candidate)
+                    if fit or (fit is None and self.follows(left, candidate)):
+                        break
+                step = shorter.get(candidate)
+                candidate = self.prefix(candidate) if step is None else step
+            if candidate >= 0:
                 out.append(candidate)
-                at, candidate = end, longest[end][1]
+                at, left, candidate = end, candidate, longest[end]
             else:
-                open_at[at] = 0
+                shut.add(at)
                 candidate = out.pop()
-                at -= len(self.token[candidate])
+                at -= size[candidate]
+                left = out[-1] if out else -1
         return tuple(out)
 
     def ids(self, text: str) -> array:
