@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, jaccard_join, packing, quality_rules, suffix_dedup, token_output, tokens, toxicity, url_filters, warc
+from orderloom.llm import bpe, embedding_dedup, jaccard_join, packing, quality_rules, suffix_dedup, token_output, tokens, toxicity, url_filters, warc
 from orderloom.llm.common import cut_lineage, read_table, shared_folder
 
 
@@ -27,6 +27,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = suffix_dedup.suffix_dedup(docs)
@@ -82,5 +86,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op2_best_fit_packing, op4_suffix_dedup, op5_byte_bpe, op6_jaccard_join, op7_token_output, op8_quality_rules, op9_warc, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_url_filters, op2_best_fit_packing, op3_embedding_dedup, op4_suffix_dedup, op5_byte_bpe, op6_jaccard_join, op7_token_output, op8_quality_rules, op9_warc, op10_toxicity)}
 ORACLES: dict[str, str] = {}

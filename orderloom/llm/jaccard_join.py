@@ -25,9 +25,10 @@ from orderloom.llm.components import components
 from orderloom.llm.shingles import digest, mix, shingle_set
 
 DIMENSIONS = 64
-GROWTH = 1.35
+GROWTH = 1.6
 SPARE = 3
 TILE = 256
+MET = 1_000_000
 LEAF = 16
 
 
@@ -72,26 +73,50 @@ def counts(members: np.ndarray) -> np.ndarray:
     return np.bincount((mix(members ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(58)).astype(np.int64), minlength=DIMENSIONS).astype(np.int32)
 
 
-def _sets(docs: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
-    """Per row: key, set size, digest of the set and its signatures."""
-    schema = docs.select(F.col(key).alias("key"), F.lit(0).cast("long").alias("n"), F.lit(b"").alias("node"), F.array().cast("array<long>").alias("marks")).schema
+def _sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """Per row: key, set size and digest of the set."""
+    schema = docs.select(F.col(key).alias("key"), F.lit(0).cast("long").alias("n"), F.lit(b"").alias("node")).schema
 
     def run(parts: Iterator) -> Iterator:
         import pyarrow as pa
 
         for part in parts:
-            sets = [shingle_set(t, words) for t in part.column(1).to_pylist()]
-            marks = [signatures(s, percent) for s in sets]
-            offsets = np.concatenate([[0], np.cumsum([m.size for m in marks])]).astype(np.int32)
-            flat = np.concatenate([*marks, np.zeros(0, np.int64)])
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([s.size for s in sets], pa.int64()), pa.array([digest(s) for s in sets], pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                names=["key", "n", "node", "marks"],
-            )
+            sizes, nodes = [], []
+            for body in part.column(1).to_pylist():
+                members = shingle_set(body, words)
+                sizes.append(members.size)
+                nodes.append(digest(members))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary())], names=["key", "n", "node"])
 
     return docs.select(F.col(key).alias("key"), F.col(text).alias("_text")).mapInArrow(run, schema)
 
 
+def _marks(docs: DataFrame, text: str, words: int, percent: int) -> DataFrame:
+    """Digest and signatures of the sets; a set that a task has met before is skipped, so copies leave it once."""
+
+    def run(parts: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        met: set[bytes] = set()
+        for whole in parts:
+            for start in range(0, whole.num_rows, 512):
+                nodes, marks = [], []
+                for body in whole.column(0).slice(start, 512).to_pylist():
+                    members = shingle_set(body, words)
+                    node = digest(members)
+                    if members.size and node not in met:
+                        if len(met) >= MET:
+                            met.clear()
+                        met.add(node)
+                        nodes.append(node)
+                        marks.append(signatures(members, percent))
+                offsets = np.concatenate([[0], np.cumsum([m.size for m in marks])]).astype(np.int32)
+                flat = np.concatenate([*marks, np.zeros(0, np.int64)])
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["node", "marks"])
+
+    return docs.select(F.col(text).alias("_text")).mapInArrow(run, "node binary, marks array<long>")
+
+
 def _members(docs: DataFrame, wanted: DataFrame, key: str, text: str, words: int) -> DataFrame:
     """Sets and points of the nodes in ``wanted`` (key of one of its texts, node, block)."""
     texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
@@ -239,12 +264,12 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     no links; their component is their own key. Repeated rows and texts with equal sets share a component. A null key counts as larger than any
     other; a component of null keys only has a null id. Texts are read whole; an empty table stays empty; other columns play no part.
     """
-    table = cut_lineage(_sets(docs, key, text, words, percent), "sets")
-    some = table.where("n > 0")
-    nodes = some.groupBy("node").agg(F.min("key").alias("key"), F.first("marks").alias("marks"))
-    nodes = cut_lineage(nodes.select("node", "key", F.xxhash64("node").alias("short"), "marks"), "nodes")
+    table = cut_lineage(_sets(docs, key, text, words), "sets")
+    nodes = table.where("n > 0").groupBy("node").agg(F.min("key").alias("key"))
+    nodes = cut_lineage(nodes.select("node", "key", F.xxhash64("node").alias("short")), "nodes")
 
-    dealt = nodes.select("short", F.explode("marks").alias("mark")).repartition(partitions(docs.sparkSession), "mark")
+    marks = _marks(docs, text, words, percent).select(F.xxhash64("node").alias("short"), F.explode("marks").alias("mark"))
+    dealt = marks.repartition(partitions(docs.sparkSession), "mark")
     hubs = dealt.groupBy("mark").agg(F.min("short").alias("hub"), F.max("short").alias("_far")).where(F.col("hub") != F.col("_far"))
     near = dealt.join(hubs.select("mark", "hub"), "mark").where(F.col("short") != F.col("hub")).select("short", "hub").distinct()
     blocks = components(near, "short", "hub").select(F.col("node").alias("short"), F.col("root").alias("block"))

@@ -287,14 +287,16 @@ def repeated_spans(docs: DataFrame, row: str, text: str = "text", width: int = 2
     return spans.groupBy("doc").agg(F.collect_set(F.struct("at", "upto")).alias("spans"))
 
 
-def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 200) -> DataFrame:
+def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 200, as_text: bool = False) -> DataFrame:
     """``docs`` with ``n_bytes``, ``spans`` (maximal removed runs of bytes, start and end), ``n_removed`` and ``kept`` (bytes left, joined).
 
-    Null and empty texts have no bytes and keep none removed. Repeated rows repeat each other: all their windows go. Rows are told apart by a
+    With ``as_text`` what is left is a string, without the parts of characters that a border cut through.
+
+    Null and empty texts have no bytes and none are removed. Repeated rows repeat each other: all their windows go. Rows are told apart by a
     64-bit hash of key and text; rows equal in both are treated alike. Strings never cross texts, are judged on the input, and texts of any
     length are read whole. An empty table stays empty. Columns named like an output are replaced.
     """
-    made = (("n_bytes", "long"), ("spans", "array<struct<start:long,end:long>>"), ("n_removed", "long"), ("kept", "binary"))
+    made = (("n_bytes", "long"), ("spans", "array<struct<start:long,end:long>>"), ("n_removed", "long"), ("kept", "string" if as_text else "binary"))
     own = [c for c in docs.columns if c not in dict(made)]
     named = docs.select(*own, F.xxhash64(F.col(key).cast("string"), F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("_row"))
     spans = repeated_spans(named, "_row", text, width).withColumnRenamed("doc", "_row")
@@ -321,10 +323,11 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", width
                     left.append(data[done:])
                     sizes.append(len(data))
                     lists.append(runs_out)
-                    kept.append(b"".join(left))
-                    removed.append(len(data) - len(kept[-1]))
+                    rest = b"".join(left)
+                    kept.append(rest.decode("utf-8", "ignore") if as_text else rest)
+                    removed.append(len(data) - len(rest))
                 kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-                arrays = [pa.array(sizes, pa.int64()), pa.array(lists, kind), pa.array(removed, pa.int64()), pa.array(kept, pa.binary())]
+                arrays = [pa.array(sizes, pa.int64()), pa.array(lists, kind), pa.array(removed, pa.int64()), pa.array(kept, pa.string() if as_text else pa.binary())]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in own), *arrays], names=[*own, *dict(made)])
 
     joined = named.join(spans.withColumnRenamed("spans", "_spans"), "_row", "left")

@@ -187,10 +187,10 @@ def read(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFra
                         )
                         size += len(block)
                         if size > 16 << 20:
-                            yield pd.DataFrame(rows, columns=columns).astype({"key": "Int64", "refers_to": "Int64"})
+                            yield pd.DataFrame(rows, columns=columns, dtype=object)
                             rows, size = [], 0
                 if rows:
-                    yield pd.DataFrame(rows, columns=columns).astype({"key": "Int64", "refers_to": "Int64"})
+                    yield pd.DataFrame(rows, columns=columns, dtype=object)
 
     files = manifest.select("file").repartition(partitions(spark))
     return files.mapInPandas(run, RECORD)
