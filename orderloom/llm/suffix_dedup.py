@@ -161,7 +161,7 @@ def _splitters(rows: DataFrame, width: int, buckets: int) -> list[np.ndarray]:
 
 def _sorted(suffixes: DataFrame, buckets: int) -> DataFrame:
     """What is not alone with its key, per bucket: whether its whole content recurs, whether it is the first with its content, and how many
-    contents the key has. Keys that touch the end of a bucket come whole, marked ``edge``, undecided.
+    contents the key has. Of keys that touch the end of a bucket each content comes once, marked ``edge``, with its number of rows as ``kinds``.
     """
 
     def run(parts: Iterator) -> Iterator:
@@ -175,6 +175,12 @@ def _sorted(suffixes: DataFrame, buckets: int) -> DataFrame:
         rows, new = tied(key)
         inner = rows[(key[rows] != key.min()) & (key[rows] != key.max())]
         ends = np.flatnonzero((key == key.min()) | (key == key.max()))
+        ends = ends[np.lexsort((at[ends], doc[ends], content[ends], key[ends]))]
+        # Of the suffixes equal in content at the ends one stands for all, with their number; the others are repeated by it.
+        stands = np.ones(ends.size, bool)
+        stands[1:] = (key[ends][1:] != key[ends][:-1]) | (content[ends][1:] != content[ends][:-1])
+        number = np.diff(np.append(np.flatnonzero(stands), ends.size))
+        others, ends = ends[~stands], ends[stands]
         whole = np.zeros(key.size, bool)
         same, _ = tied(key, content)
         whole[same] = True
@@ -183,8 +189,8 @@ def _sorted(suffixes: DataFrame, buckets: int) -> DataFrame:
         first[1:] = (key[order][1:] != key[order][:-1]) | (content[order][1:] != content[order][:-1])
         group = np.cumsum(np.concatenate([[True], key[order][1:] != key[order][:-1]])) - 1 if order.size else np.zeros(0, np.int64)
         kinds = np.bincount(group, weights=first)[group].astype(np.int64) if order.size else np.zeros(0, np.int64)
-        for pick, w, f, k, edge in ((order, whole[order], first, kinds, False), (ends, np.zeros(ends.size, bool), np.zeros(ends.size, bool), np.zeros(ends.size, np.int64), True)):
-            # Whole runs of keys with one content need no second look; the others do.
+        no, none = np.zeros(key.size, bool), np.zeros(key.size, np.int64)
+        for pick, w, f, k, edge in ((order, whole[order], first, kinds, False), (others, ~no[others], no[others], none[others], False), (ends, no[ends], no[ends], number, True)):
             arrays = [key[pick], content[pick], doc[pick], at[pick], upto[pick], w, f, k, np.full(pick.size, edge)]
             for start in range(0, pick.size, 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(a[start : start + 100_000]) for a in arrays], names=[c.split()[0] for c in SORTED.split(", ")])
@@ -194,7 +200,7 @@ def _sorted(suffixes: DataFrame, buckets: int) -> DataFrame:
 
 def _across(edges: DataFrame) -> DataFrame:
     """Decide the suffixes at bucket ends by counts over all buckets."""
-    contents = edges.groupBy("key", "content").agg(F.count("*").alias("_n"), F.min(F.struct("doc", "at")).alias("_first"))
+    contents = edges.groupBy("key", "content").agg(F.sum("kinds").alias("_n"), F.min(F.struct("doc", "at")).alias("_first"))
     keys = contents.groupBy("key").agg(F.sum("_n").alias("_all"), F.count("*").alias("_kinds")).where("_all > 1")
     known = contents.join(keys, "key")
     out = edges.select("key", "content", "doc", "at", "upto").join(known, ["key", "content"])
