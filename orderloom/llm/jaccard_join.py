@@ -120,7 +120,8 @@ def _marks(docs: DataFrame, text: str, words: int, percent: int) -> DataFrame:
 def _members(docs: DataFrame, wanted: DataFrame, key: str, text: str, words: int) -> DataFrame:
     """Sets and points of the nodes in ``wanted`` (key of one of its texts, node, block)."""
     texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    texts = texts.join(wanted, F.col("_key").eqNullSafe(F.col("key"))).select("node", "block", "_text")
+    # Merged at every size: below the broadcast threshold a small run would not show what a large one moves.
+    texts = texts.hint("merge").join(wanted, F.col("_key").eqNullSafe(F.col("key"))).select("node", "block", "_text")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
