@@ -23,31 +23,43 @@ from orderloom.llm.components import components
 
 CELL = 2048
 PIVOTS = 32
+BLOCK = 256
 SLACK = 1e-7
 
 
+def _net(points: np.ndarray, centres: np.ndarray, radius: float) -> np.ndarray:
+    """``centres`` and more rows, each farther than ``radius`` from all others, until every point is within it of one."""
+    close = 1 - radius * radius / 2
+    added: list[int] = []
+    for begin in range(0, len(points), BLOCK):
+        block = points[begin : begin + BLOCK]
+        covered = (block @ points[centres].T).max(1) >= close
+        if added:
+            covered |= (block @ points[added].T).max(1) >= close
+        within = block @ block.T >= close
+        for i in range(len(block)):
+            if not covered[i]:
+                added.append(begin + i)
+                covered |= within[i]
+    return np.concatenate([centres, np.array(added, np.int64)])
+
+
 def levels(points: np.ndarray, least: float) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
-    """Per level, from radius 1 down to ``least`` or below: centres (rows), covering radii, and for each finer centre its parent's place.
+    """Per level, from one centre over radius 1 down: centres (rows), covering radii, and for each finer centre its parent's place.
 
-    The last level has every point as its own centre with radius 0.
+    The last level has every point as its own centre with radius 0; levels between stop at radius ``least`` or when all points are centres.
     """
     centres, parents, radius = [np.array([0])], [], 2.0
-    while radius > least:
+    while radius > least and centres[-1].size < len(points):
         radius /= 2
-        chosen = list(centres[-1])
-        gap = np.full(len(points), np.inf)
-        for c in chosen:
-            gap = np.minimum(gap, _chords(points, points[c]))
-        while gap.max() > radius:
-            c = int(gap.argmax())
-            chosen.append(c)
-            gap = np.minimum(gap, _chords(points, points[c]))
-        centres.append(np.array(chosen))
+        centres.append(_net(points, centres[-1], radius))
+    if centres[-1].size == len(points):
+        centres.pop()
     centres.append(np.arange(len(points)))
     for coarse, fine in zip(centres[:-1], centres[1:], strict=True):
         near = np.empty(fine.size, np.int64)
-        for i in range(0, fine.size, 512):
-            near[i : i + 512] = (points[fine[i : i + 512]] @ points[coarse].T).argmax(1)
+        for i in range(0, fine.size, BLOCK):
+            near[i : i + BLOCK] = (points[fine[i : i + BLOCK]] @ points[coarse].T).argmax(1)
         place = np.full(len(points), -1)
         place[coarse] = np.arange(coarse.size)
         parents.append(np.where(place[fine] >= 0, place[fine], near))
@@ -56,34 +68,41 @@ def levels(points: np.ndarray, least: float) -> tuple[list[np.ndarray], list[np.
     for coarse, up in zip(centres[-2::-1], parents[::-1], strict=True):
         own = up[own]
         reach = np.zeros(coarse.size)
-        np.maximum.at(reach, own, np.sqrt(np.maximum(((points - points[coarse[own]]) ** 2).sum(1), 0)))
+        np.maximum.at(reach, own, np.sqrt(((points - points[coarse[own]]) ** 2).sum(1)))
         covers.append(reach)
     return centres, covers[::-1], parents
 
 
-def _chords(points: np.ndarray, centre: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum(2 - 2 * (points @ centre), 0))
-
-
-def near_pairs(a: np.ndarray, b: np.ndarray | None, chord: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Row pairs of ``a`` and ``b`` (None: of ``a`` with itself, first below second) within the chord, as arrays."""
+def near_pairs(a: np.ndarray, b: np.ndarray | None, chord: float) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs of ``a`` and ``b`` (None: of ``a`` with itself, each once) that may be within the chord, as two arrays."""
     one = b is None
     tree_a = levels(a, chord / 2)
     tree_b = tree_a if one else levels(b, chord / 2)
     b = a if one else b
+    last_a, last_b = len(tree_a[0]) - 1, len(tree_b[0]) - 1
     left, right = np.array([0]), np.array([0])
-    depth = len(tree_a[0])
-    if not one and len(tree_b[0]) != depth:
-        raise AssertionError("trees of one chord have the same levels")
-    for level in range(depth):
-        x, y = tree_a[0][level][left], tree_b[0][level][right]
-        gap = _gaps(a, b, x, y)
-        keep = gap <= chord + tree_a[1][level][left] + tree_b[1][level][right] + SLACK
+    for level in range(max(last_a, last_b) + 1):
+        at_a, at_b = min(level, last_a), min(level, last_b)
+        centres_a, centres_b = tree_a[0][at_a], tree_b[0][at_b]
+        cover_a, cover_b = tree_a[1][at_a], tree_b[1][at_b]
+        if level and left.size == 1:
+            # One pair of nodes over all others: its children are compared block by block.
+            found = []
+            for i in range(0, centres_a.size, BLOCK):
+                gap = np.sqrt(np.maximum(2 - 2 * (a[centres_a[i : i + BLOCK]] @ b[centres_b].T), 0))
+                x, y = np.nonzero(gap <= chord + cover_a[i : i + BLOCK, None] + cover_b[None] + SLACK)
+                x = x + i
+                found.append((x[x <= y], y[x <= y]) if one else (x, y))
+            left, right = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+            continue
+        if level:
+            up_a = tree_a[2][level - 1] if level <= last_a else np.arange(len(a))
+            up_b = tree_b[2][level - 1] if level <= last_b else np.arange(len(b))
+            left, right = _children(left, right, up_a, up_b, one)
+        gap = _gaps(a, b, centres_a[left], centres_b[right])
+        keep = gap <= chord + cover_a[left] + cover_b[right] + SLACK
         left, right = left[keep], right[keep]
-        if level + 1 < depth:
-            left, right = _children(left, right, tree_a[2][level], tree_b[2][level], one)
-    if left.size:
-        yield (left, right) if not one else (np.minimum(left, right), np.maximum(left, right))
+    return left, right
 
 
 def _gaps(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -117,9 +136,10 @@ def _children(left: np.ndarray, right: np.ndarray, up_a: np.ndarray, up_b: np.nd
 
 
 def _pivots(nodes: DataFrame, label: str) -> DataFrame:
-    """Per label: how many cells, and a bounded number of its vectors as pivots, chosen by hash."""
-    ranked = nodes.groupBy(label).agg(F.count("*").alias("_rows"), F.min_by("unit", F.xxhash64("node")).alias("_p0"), *[F.min_by("unit", F.xxhash64("node", F.lit(i))).alias(f"_p{i}") for i in range(1, PIVOTS)])
-    return ranked.select(label, F.ceil(F.col("_rows") / CELL).cast("int").alias("_cells"), F.array(*[f"_p{i}" for i in range(PIVOTS)]).alias("_pivots"))
+    """Per label: its number of cells and, chosen by hash, a pivot for each, PIVOTS at most."""
+    picks = [F.min_by("unit", F.xxhash64("node", F.lit(i))) for i in range(PIVOTS)]
+    counted = nodes.groupBy(label).agg(F.ceil(F.count("*") / CELL).cast("int").alias("_cells"), F.array(*picks).alias("_pivots"))
+    return counted.select(label, "_cells", F.slice("_pivots", 1, F.least("_cells", F.lit(PIVOTS))).alias("_pivots"))
 
 
 def _dot(a, b):
@@ -145,7 +165,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     size = F.sqrt(_dot(F.col("v"), F.col("v")))
     unit = F.transform("v", lambda x: x / F.col("_size"))
     rows = scaled.withColumn("_size", size).select("key", "label", unit.alias("unit"))
-    rows = cut_lineage(rows.withColumn("node", F.when(F.col("unit").isNotNull(), F.sha2(F.concat_ws(",", F.col("label").cast("string"), F.col("unit").cast("array<string>")), 256))), "vectors")
+    rows = cut_lineage(rows.withColumn("node", F.when(F.col("unit").isNotNull(), F.concat_ws("/", *[F.hex(F.xxhash64(F.lit(salt), "label", "unit")) for salt in (1, 2)]))), "vectors")
 
     some = rows.where("node is not null")
     nodes = some.groupBy("node").agg(F.min("key").alias("first"), F.count("*").alias("copies"), F.any_value("label").alias("label"), F.any_value("unit").alias("unit"))
@@ -154,16 +174,17 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
 
     # A cell: the nearest pivot, dealt on by hash where a pivot would get more than a cell holds.
     near = F.transform("_pivots", lambda p: _dot(p, F.col("unit")))
-    placed = nodes.join(pivots, "label").select("node", "label", "unit", "copies", "_cells", near.alias("_near"))
-    pivot = F.when(F.col("_cells") > 1, F.array_position("_near", F.array_max("_near")) - 1).otherwise(F.lit(0))
+    placed = nodes.join(pivots, "label").select("node", "label", "unit", "copies", near.alias("_near"))
+    pivot = (F.array_position("_near", F.array_max("_near")) - 1).cast("int")
     placed = placed.select("node", "label", "unit", "copies", pivot.alias("pivot"))
     crowd = placed.groupBy("label", "pivot").agg(F.ceil(F.count("*") / CELL).cast("int").alias("_parts"))
-    cells = placed.join(crowd, ["label", "pivot"]).withColumn("cell", F.col("pivot") * F.lit(1 << 32) + F.pmod(F.xxhash64("node"), F.col("_parts")))
+    cells = placed.join(crowd, ["label", "pivot"]).withColumn("cell", F.col("pivot").cast("long") * F.lit(1 << 32) + F.pmod(F.xxhash64("node"), F.col("_parts")))
     cells = cut_lineage(cells.select("node", "label", "unit", "copies", "pivot", "cell"), "cells")
 
-    balls = cells.join(pivots.select("label", "_pivots"), "label").select("label", "cell", F.get("_pivots", F.col("pivot").cast("int")).alias("centre"), "unit")
+    centres = pivots.select("label", F.posexplode("_pivots").alias("pivot", "centre"))
     chords = F.sqrt(F.greatest(2 - 2 * _dot(F.col("centre"), F.col("unit")), F.lit(0.0)))
-    balls = cut_lineage(balls.groupBy("label", "cell").agg(F.any_value("centre").alias("centre"), F.max(chords).alias("radius")), "balls")
+    balls = cells.join(centres, ["label", "pivot"]).groupBy("label", "pivot", "cell").agg(F.max(chords).alias("radius"))
+    balls = cut_lineage(balls.join(centres, ["label", "pivot"]).select("label", "cell", "centre", "radius"), "balls")
     a, b = balls.alias("a"), balls.alias("b")
     apart = F.sqrt(F.greatest(2 - 2 * _dot(F.col("a.centre"), F.col("b.centre")), F.lit(0.0)))
     meet = (F.col("a.label") == F.col("b.label")) & (F.col("a.cell") <= F.col("b.cell")) & (apart <= chord + F.col("a.radius") + F.col("b.radius") + SLACK)
@@ -188,18 +209,18 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
             return x
 
         edges = []
-        for x, y in near_pairs(p, None if one else q, chord):
-            if one:
-                x, y = x[x != y], y[x != y]
-            close = np.concatenate([np.einsum("ij,ij->i", p[x[i : i + 65536]], q[y[i : i + 65536]]) for i in range(0, x.size, 65536)] or [np.zeros(0)]) >= threshold
-            x, y = x[close], y[close]
-            np.add.at(links_left, x, copies_right[y])
-            np.add.at(links_left if one else links_right, y, copies_left[x])
-            for i, j in zip(x.tolist(), (y if one else y + len(left)).tolist(), strict=True):
-                root_i, root_j = top(i), top(j)
-                if root_i != root_j:
-                    parent[root_i] = root_j
-                    edges.append((i, j))
+        x, y = near_pairs(p, None if one else q, chord)
+        if one:
+            x, y = x[x != y], y[x != y]
+        close = np.concatenate([np.einsum("ij,ij->i", p[x[i : i + 65536]], q[y[i : i + 65536]]) for i in range(0, x.size, 65536)] or [np.zeros(0)]) >= threshold
+        x, y = x[close], y[close]
+        np.add.at(links_left, x, copies_right[y])
+        np.add.at(links_left if one else links_right, y, copies_left[x])
+        for i, j in zip(x.tolist(), (y if one else y + len(left)).tolist(), strict=True):
+            root_i, root_j = top(i), top(j)
+            if root_i != root_j:
+                parent[root_i] = root_j
+                edges.append((i, j))
         names = left["node"].to_list() + ([] if one else right["node"].to_list())
         links = links_left if one else np.concatenate([links_left, links_right])
         linked = np.flatnonzero(links)
