@@ -6,9 +6,10 @@ of such boxes drops pairs of nodes, then pairs of points, that cannot reach the
 
 In many dimensions boxes of unrelated texts overlap, so one tree over all rows compares nearly all pairs of like size. The rows are
 therefore parted first, without loss: sets within the threshold differ in at most D shingles (D by size class), so if a size class uses more than D
-groups, two such sets agree in all members of some group. Texts that share a group's content, directly or through others, form a
-block; blocks are what the trees are built on. Equal sets are one node, however many texts have them. A large block is cut into tiles, leaves
-at the top of its tree, of bounded size; pairs of tiles that pass the box test are separate tasks, and a task returns a forest, not all its pairs.
+groups, two such sets agree in all members of some group. Sets that share a group's content are a bucket; equal buckets count once. A tree over the
+points of each bucket leaves the pairs that may link; what these connect is a block, most often one group of near duplicates. Then each block has a tree
+of its own and the pairs it leaves are verified on the sets. Equal sets are one node, however many texts have them. A large bucket or block is cut into tiles,
+leaves at the top of its tree, of bounded size; pairs of tiles that pass the box test are separate tasks, and a task returns a forest, not all its pairs.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from orderloom.llm.shingles import digest, mix, shingle_set
 DIMENSIONS = 64
 GROWTH = 1.6
 SPARE = 3
-TILE = 256
+TILE = 1024
 MET = 1_000_000
 LEAF = 16
 
@@ -74,19 +75,20 @@ def counts(members: np.ndarray) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """Per row: key, set size and digest of the set."""
-    schema = docs.select(F.col(key).alias("key"), F.lit(0).cast("long").alias("n"), F.lit(b"").alias("node")).schema
+    """Per row: key, set size, digest and point of the set."""
+    schema = docs.select(F.col(key).alias("key"), F.lit(0).cast("long").alias("n"), F.lit(b"").alias("node"), F.array().cast("array<int>").alias("point")).schema
 
     def run(parts: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for part in parts:
-            sizes, nodes = [], []
-            for body in part.column(1).to_pylist():
-                members = shingle_set(body, words)
-                sizes.append(members.size)
-                nodes.append(digest(members))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary())], names=["key", "n", "node"])
+        for whole in parts:
+            for start in range(0, whole.num_rows, 512):
+                part = whole.slice(start, 512)
+                sets = [shingle_set(body, words) for body in part.column(1).to_pylist()]
+                points = pa.array(np.concatenate([counts(x) for x in sets]), pa.int32())
+                offsets = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * DIMENSIONS)
+                arrays = [part.column(0), pa.array([x.size for x in sets], pa.int64()), pa.array([digest(x) for x in sets], pa.binary()), pa.ListArray.from_arrays(offsets, points)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["key", "n", "node", "point"])
 
     return docs.select(F.col(key).alias("key"), F.col(text).alias("_text")).mapInArrow(run, schema)
 
@@ -118,33 +120,26 @@ def _marks(docs: DataFrame, text: str, words: int, percent: int) -> DataFrame:
 
 
 def _members(docs: DataFrame, wanted: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """Sets and points of the nodes in ``wanted`` (key of one of its texts, node, block)."""
+    """``wanted`` (key of one of its texts, node and more) with the sets of the nodes."""
     texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     # Merged at every size: below the broadcast threshold a small run would not show what a large one moves.
-    texts = texts.hint("merge").join(wanted, F.col("_key").eqNullSafe(F.col("key"))).select("node", "block", "_text")
+    carried = wanted.columns
+    texts = texts.hint("merge").join(wanted, F.col("_key").eqNullSafe(F.col("key"))).select(*carried, "_text")
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for start in range(0, len(part), 512):
-                some = part.iloc[start : start + 512]
-                sets = [shingle_set(t, words) for t in some["_text"]]
-                points = [counts(s) for s in sets]
-                # Along this order: size, then members in half the groups, then chance; distinct for distinct sets.
-                ranks = [s.size + (p[: DIMENSIONS // 2].sum() + (int(s[0]) >> 11) / 2**53) / (s.size + 1) for s, p in zip(sets, points, strict=True)]
-                same = np.array([digest(s) == bytes(n) for s, n in zip(sets, some["node"], strict=True)], dtype=bool)
-                yield pd.DataFrame(
-                    {
-                        "node": some["node"].to_numpy(),
-                        "block": some["block"].to_numpy(),
-                        "n": [s.size for s in sets],
-                        "rank": ranks,
-                        "point": [p.tolist() for p in points],
-                        "members": [s.tobytes() for s in sets],
-                    }
-                )[same]
-
-    found = texts.mapInPandas(run, "node binary, block long, n long, rank double, point array<int>, members binary")
-    return found
+    def run(parts: Iterator) -> Iterator:
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for whole in parts:
+            for start in range(0, whole.num_rows, 512):
+                part = whole.slice(start, 512)
+                sets = [shingle_set(body, words) for body in part.column("_text").to_pylist()]
+                # A repeated key may stand for other texts, too.
+                same = pc.equal(part.column("node"), pa.array([digest(x) for x in sets], pa.binary()))
+                made = pa.RecordBatch.from_arrays([*(part.column(c) for c in carried), pa.array([x.tobytes() for x in sets], pa.binary())], names=[*carried, "members"])
+                yield made.filter(same)
+
+    return texts.mapInArrow(run, wanted.select("*", F.lit(b"").alias("members")).schema)
 
 
 def _tiles(members: DataFrame) -> DataFrame:
@@ -177,8 +172,11 @@ def _tile_pairs(tiled: DataFrame, percent: int) -> DataFrame:
     return a.join(b, near).select(F.col("a.block").alias("block"), F.col("a.tile").alias("a"), F.col("b.tile").alias("b"))
 
 
-def link(nodes: list[bytes], sizes: np.ndarray, points: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[bytes, bytes]]:
-    """A forest of the links between the rows ``left`` and ``right`` (equal for one tile), by dual traversal of two trees."""
+def link(nodes: list, sizes: np.ndarray, points: np.ndarray, sets: list[np.ndarray] | None, left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple]:
+    """A forest of the links between the rows ``left`` and ``right`` (equal for one tile), by dual traversal of two trees.
+
+    Without ``sets`` the pairs that the bound leaves count as links.
+    """
     parent = list(range(len(nodes)))
 
     def top(x: int) -> int:
@@ -208,54 +206,60 @@ def link(nodes: list[bytes], sizes: np.ndarray, points: np.ndarray, sets: list[n
                 p, q = int(own[x]), int(other[y])
                 if p == q or (root_p := top(p)) == (root_q := top(q)):
                     continue
-                common = np.intersect1d(sets[p], sets[q], assume_unique=True).size
-                if 100 * common >= percent * (sets[p].size + sets[q].size - common):
+                common = int(overlap[x, y]) if sets is None else np.intersect1d(sets[p], sets[q], assume_unique=True).size
+                if 100 * common >= percent * (int(both[x, y]) - common):
                     parent[root_p] = root_q
                     forest.append((nodes[p], nodes[q]))
     return forest
 
 
-def _links(tiled: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between nodes: one task-sized group per pair of tiles, streamed in order of its key."""
-    spark = tiled.sparkSession
+def _links(members: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the nodes of each block, by points and, where there are any, by sets.
+
+    Tiles that may hold a link are joined with their members and streamed in order of block and tile pair; a task holds one pair at a time.
+    """
+    spark, verified = members.sparkSession, "members" in members.columns
+    tiled = cut_lineage(_tiles(members), "tiles")
+    large = tiled.join(tiled.where("tile > 0").select("block").distinct(), "block", "left_semi")
+    pairs = cut_lineage(_tile_pairs(large, percent), "pairs")
     sides = pairs.select("block", "a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("tile"))
-    rows = tiled.join(sides, ["block", "tile"]).select("block", "a", "b", "tile", "node", "n", "point", "members")
-    dealt = rows.repartition(partitions(spark), "block", "a", "b").sortWithinPartitions("block", "a", "b", "tile")
+    columns = ["block", "a", "b", "tile", "node", "n", "point", *(["members"] if verified else [])]
+    zero = F.lit(0).cast("long")
+    single = tiled.join(large.select("block").distinct(), "block", "left_anti").select("*", zero.alias("a"), zero.alias("b"))
+    rows = single.select(*columns).union(large.join(sides, ["block", "tile"]).select(*columns))
+    dealt = rows.repartition(partitions(spark), "block", "a", "b").sortWithinPartitions("block", "a", "b")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list = []
 
-        def done() -> pd.DataFrame:
+        def done() -> list[tuple]:
             group = pd.concat(held) if len(held) > 1 else held[0]
-            tile = group["tile"].to_numpy()
-            left, right = np.flatnonzero(tile == group["a"].iloc[0]), np.flatnonzero(tile == group["b"].iloc[0])
-            if group["a"].iloc[0] == group["b"].iloc[0]:
-                right = left
-            forest = link(
-                [bytes(x) for x in group["node"]],
-                group["n"].to_numpy(),
-                np.stack(group["point"].to_numpy()).astype(np.int32),
-                [np.frombuffer(x, np.uint64) for x in group["members"]],
-                left,
-                right,
-                percent,
-            )
-            return pd.DataFrame(forest, columns=["a", "b"])
-
-        key = None
+            tile, a, b = group["tile"].to_numpy(), group["a"].iloc[0], group["b"].iloc[0]
+            left = np.flatnonzero(tile == a)
+            right = left if a == b else np.flatnonzero(tile == b)
+            points = np.stack(group["point"].to_numpy()).astype(np.int32)
+            sets = [np.frombuffer(x, np.uint64) for x in group["members"]] if verified else None
+            return link(group["node"].tolist(), group["n"].to_numpy(), points, sets, left, right, percent)
+
+        key, forest = None, []
         for part in parts:
             ids = part[["block", "a", "b"]].to_numpy()
             cuts = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]).any(1)])) if len(part) else []
             for start, stop in zip(cuts, [*cuts[1:], len(part)], strict=True):
                 if held and tuple(ids[start]) != key:
-                    yield done()
+                    forest += done()
                     held.clear()
                 key = tuple(ids[start])
                 held.append(part.iloc[start:stop])
+            if len(forest) > 10_000:
+                yield pd.DataFrame(forest, columns=["a", "b"], dtype=object)
+                forest = []
         if held:
-            yield done()
+            forest += done()
+        yield pd.DataFrame(forest, columns=["a", "b"], dtype=object)
 
-    return dealt.mapInPandas(run, "a binary, b binary")
+    kind = members.schema["node"].dataType.simpleString()
+    return dealt.mapInPandas(run, f"a {kind}, b {kind}")
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, percent: int = 90) -> DataFrame:
@@ -266,25 +270,24 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     other; a component of null keys only has a null id. Texts are read whole; an empty table stays empty; other columns play no part.
     """
     table = cut_lineage(_sets(docs, key, text, words), "sets")
-    nodes = table.where("n > 0").groupBy("node").agg(F.min("key").alias("key"))
-    nodes = cut_lineage(nodes.select("node", "key", F.xxhash64("node").alias("short")), "nodes")
+    nodes = table.where("n > 0").groupBy("node").agg(F.min("key").alias("key"), F.min("n").alias("n"), F.any_value("point").alias("point"))
+    # Along the rank: size, then members in half the groups, then chance; distinct for distinct sets.
+    half = F.aggregate(F.slice("point", 1, DIMENSIONS // 2), F.lit(0), lambda s, x: s + x)
+    chance = F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / (1 << 20)
+    nodes = cut_lineage(nodes.select("node", "key", "n", "point", (F.col("n") + (half + chance) / (F.col("n") + 1)).alias("rank"), F.xxhash64("node").alias("short")), "nodes")
 
     marks = _marks(docs, text, words, percent).select(F.xxhash64("node").alias("short"), F.explode("marks").alias("mark"))
     dealt = marks.repartition(partitions(docs.sparkSession), "mark")
-    hubs = dealt.groupBy("mark").agg(F.min("short").alias("hub"), F.max("short").alias("_far")).where(F.col("hub") != F.col("_far"))
-    near = dealt.join(hubs.select("mark", "hub"), "mark").where(F.col("short") != F.col("hub")).select("short", "hub").distinct()
-    blocks = components(near, "short", "hub").select(F.col("node").alias("short"), F.col("root").alias("block"))
-    wanted = cut_lineage(nodes.join(blocks, "short").select("node", "key", "block"), "wanted")
-
-    members = cut_lineage(_members(docs, wanted, key, text, words).dropDuplicates(["node"]), "members")
-    tiled = cut_lineage(_tiles(members), "tiles")
-    large = tiled.join(tiled.where("tile > 0").select("block").distinct(), "block", "left_semi")
-    pairs = _tile_pairs(large, percent)
-    single = tiled.select("block").distinct().join(large.select("block").distinct(), "block", "left_anti")
-    pairs = pairs.union(single.select("block", F.lit(0).cast("long"), F.lit(0).cast("long")))
-    forest = _links(tiled, pairs, percent)
-
-    found = components(forest, "a", "b")
+    buckets = dealt.groupBy("mark").agg(F.min("short").alias("_low"), F.max("short").alias("_high"), F.sum(F.col("short").cast("decimal(38,0)")).alias("_sum"), F.count("*").alias("_rows"))
+    buckets = buckets.where("_low != _high").groupBy("_low", "_high", "_sum", "_rows").agg(F.min("mark").alias("mark")).select("mark")
+    shared = cut_lineage(dealt.join(buckets, "mark").distinct(), "buckets")
+    lean = shared.join(nodes.select("short", "n", "point", "rank"), "short").select(F.col("mark").alias("block"), F.col("short").alias("node"), "n", "rank", "point")
+    maybe = components(_links(lean, percent), "a", "b")
+    wanted = nodes.join(maybe.select(F.col("node").alias("short"), F.col("root").alias("block")), "short").drop("short")
+    wanted = cut_lineage(wanted, "wanted")
+
+    members = _members(docs, wanted, key, text, words).dropDuplicates(["node"])
+    found = components(_links(members, percent), "a", "b")
     roots = nodes.select("node", "key").join(found, "node", "left").select("node", "key", F.coalesce("root", "node").alias("root"))
     smallest = roots.groupBy("root").agg(F.min("key").alias("component_id"))
     named = roots.join(smallest, "root").select("node", "component_id")
