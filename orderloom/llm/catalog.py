@@ -58,12 +58,11 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     ranks = tokens.ranks_of(spark, public_tokenizers.path("byte_bpe_50k.json"))
     pieces = tokens.token_pieces(docs, ranks, public_tokenizers.PATTERN, 512, width=2)
-    slotted, total = token_output.assign(pieces, key=20260101)
     folder = shared_folder(spark, "tokens")
-    token_output.write(slotted, total, folder, 512)
-    back = token_output.read(spark, folder).select("slot", "shard", "byte_offset", "length", F.crc32("ids").alias("ids_crc32"))
-    index = slotted.select("doc_id", "piece", "start", "slot")
-    return index.join(back, "slot").select("doc_id", "piece", "start", "length", "slot", "shard", "byte_offset", "ids_crc32")
+    index = token_output.write(pieces, folder, 20260101, 512, ["doc_id", "piece", "start"])
+    # What is read back is as large as the corpus, though its plan begins at the small manifest: never broadcast.
+    back = token_output.read(spark, folder).select("slot", F.col("length").alias("read_length"), F.crc32("ids").alias("ids_crc32"))
+    return index.hint("merge").join(back.hint("merge"), "slot").select("doc_id", "piece", "start", "length", "slot", "shard", "byte_offset", "read_length", "ids_crc32")
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

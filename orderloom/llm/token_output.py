@@ -1,9 +1,10 @@
 """Training-order materialisation: every sequence gets a global slot by a keyed permutation and is written at a fixed place.
 
-A Feistel network over the next even power of two, with cycle-walking, permutes 0 to n - 1 without any table: the slot of a sequence follows
-from its number and the key. Slots are dense, so the splitters of the range partitions are known: a shard is a run of ``shard_records`` slots
-and one task's file. A record is its number of tokens (4 bytes) and ``seq_len`` ids, padded, so slot s lies in shard s // shard_records at
-(s % shard_records) * stride: readers start at any slot, and a repeated write skips shards that are already whole.
+A Feistel network with cycle-walking permutes the numbers of the sequences inside a fixed span without any table. As the permuted numbers are
+even over the span, the splitters of the range partitions are known beforehand: a shard is a range of them and one task's file. A
+sequence's slot is its rank in that order: the shard's first slot, from the manifest, and its place in the shard. A record is its number of tokens (4 bytes)
+and ``seq_len`` ids, padded, so place p lies at p * stride: readers start at any slot, and a repeated write skips shards that are there. Sequences
+go from the tokenizer through one shuffle into the shards; they are not stored in between.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from orderloom.llm.files import Committed, filesystem
 
 MANIFEST = "shard long, file string, first_slot long, records long, file_bytes long, stride long, width int"
 ROUNDS = 6
+#: Numbers of rows are (task << 33) + place; this span holds those of 400 million tasks.
+SPAN = 3 << 60
 
 
 def permute(numbers: np.ndarray, total: int, key: int) -> np.ndarray:
@@ -42,63 +45,72 @@ def permute(numbers: np.ndarray, total: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def slot_of(number: Column, total: int, key: int) -> Column:
+def training_order(number: Column, key: int) -> Column:
+    """The permuted number, from 0 to SPAN - 1."""
+
     @F.pandas_udf("long")
-    def slots(numbers: pd.Series) -> pd.Series:
-        return pd.Series(permute(numbers.to_numpy(), total, key))
+    def order(numbers: pd.Series) -> pd.Series:
+        return pd.Series(permute(numbers.to_numpy(), SPAN, key))
 
-    return slots(number)
+    return order(number)
 
 
-def assign(sequences: DataFrame, key: int) -> tuple[DataFrame, int]:
-    """The sequences, written once, with ``slot``, and how many there are.
+def write(sequences: DataFrame, folder: str, key: int, seq_len: int, keys: list[str], shards: int | None = None, width: int = 2, pad_id: int = 0, ids: str = "ids") -> DataFrame:
+    """Write ``sequences`` to shards below ``folder``; return the index: ``keys``, ``length``, ``slot``, ``shard`` and ``byte_offset``.
 
-    The order before the permutation is that of the written table; it is written once, so later reads agree.
+    ``ids`` are little-endian numbers of ``width`` bytes; null is an empty sequence, more than ``seq_len`` tokens are an error. Repeated rows are
+    sequences of their own. An empty table gives no shard and an empty index. The numbers come from the place of a row in the
+    task that reads it, so the same files read in the same splits give the same order, also when tasks are run again.
     """
-    table = cut_lineage(sequences.withColumn("_at", F.monotonically_increasing_id()), "sequences")
-    part = F.shiftright("_at", 33)
-    counts = table.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
-    total = table.count()
-    # One row per task that wrote the table.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    numbered = table.withColumn("_part", part).join(F.broadcast(starts), "_part")
-    number = F.col("_start") + F.col("_at").bitwiseAND((1 << 33) - 1)
-    return numbered.withColumn("slot", slot_of(number, total, key)).drop("_part", "_start", "_at"), total
-
-
-def write(
-    slotted: DataFrame, total: int, folder: str, seq_len: int, shard_records: int = 16384, width: int = 2, pad_id: int = 0, ids: str = "ids"
-) -> DataFrame:
-    """Write the shards below ``folder`` and return the manifest. Ids of more than ``seq_len`` tokens are an error."""
-    spark = slotted.sparkSession
-    shards, stride = -(-total // shard_records), 4 + seq_len * width
-    lean = slotted.select("slot", F.col(ids).alias("ids"), F.floor(F.col("slot") / shard_records).cast("int").alias("shard"))
-    dealt = lean.repartitionById(max(shards, 1), "shard").sortWithinPartitions("slot")
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out, shard, records, name = None, None, 0, ""
+    spark = sequences.sparkSession
+    shards, stride = shards or partitions(spark), 4 + seq_len * width
+    own = [F.col(k) for k in keys]
+    numbered = sequences.select(*own, F.coalesce(ids, F.lit(b"")).alias("_ids"), F.monotonically_increasing_id().alias("_number"))
+    ordered = numbered.withColumn("_order", training_order(F.col("_number"), key)).drop("_number")
+    # Both shifted so that the product fits.
+    shard = F.expr(f"cast(shiftright(_order, 24) * {shards} div {SPAN >> 24} as int)")
+    dealt = ordered.withColumn("_shard", shard).repartitionById(shards, "_shard").sortWithinPartitions("_order")
+    schema = dealt.select(*own, F.lit(0).cast("long").alias("length"), F.lit(0).cast("long").alias("shard"), F.lit(0).cast("long").alias("place")).schema
+
+    def run(parts: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        out, name, records = None, "", 0
         for part in parts:
-            for s, data in zip(part["slot"], part["ids"], strict=True):
-                if shard is None:
-                    shard = int(s) // shard_records
-                    name, expected = f"shard-{shard:06d}.bin", min(shard_records, total - shard * shard_records)
-                    system, path = filesystem(f"{folder}/{name}")
-                    there = system.get_file_info(path)
-                    out = None if there.is_file and there.size == expected * stride else Committed(f"{folder}/{name}")
-                if int(s) != shard * shard_records + records or len(data) > seq_len * width:
-                    raise ValueError(f"slot {s} of shard {shard} is out of place or too long")
-                records += 1
+            if not part.num_rows:
+                continue
+            number = part.column("_shard")[0].as_py()
+            if not name:
+                name = f"{folder}/shard-{number:06d}.bin"
+                system, path = filesystem(name)
+                out = None if system.get_file_info(path).is_file else Committed(name)
+            sizes = []
+            for data in part.column("_ids").to_pylist():
+                size = len(data) // width
+                if size > seq_len:
+                    raise ValueError(f"a sequence of {size} tokens does not fit {seq_len}")
+                sizes.append(size)
                 if out is not None:
-                    filler = np.full(seq_len - len(data) // width, pad_id, dtype=f"<u{width}").tobytes()
-                    out.write((len(data) // width).to_bytes(4, "little") + bytes(data) + filler)
-        if shard is not None:
-            if out is not None:
-                out.commit()
-            yield pd.DataFrame([[shard, name, shard * shard_records, records, records * stride, stride, width]], columns=[c.split()[0] for c in MANIFEST.split(", ")])
-
-    dealt.mapInPandas(run, MANIFEST).write.mode("overwrite").parquet(f"{folder}/manifest")
-    return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
+                    out.write(size.to_bytes(4, "little") + data + np.full(seq_len - size, pad_id, dtype=f"<u{width}").tobytes())
+            places = np.arange(records, records + len(sizes))
+            records += len(sizes)
+            arrays = [pa.array(sizes, pa.int64()), pa.array(np.full(len(sizes), number), pa.int64()), pa.array(places, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keys), *arrays], names=[*keys, "length", "shard", "place"])
+        if out is not None:
+            out.commit()
+
+    index = cut_lineage(dealt.select(*own, "_ids", "_shard").mapInArrow(run, schema), "index")
+    counts = index.groupBy("shard").agg(F.count("*").alias("records"))
+    # One row per shard.
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    manifest = counts.select(
+        "shard", F.format_string("shard-%06d.bin", "shard").alias("file"), F.coalesce(F.sum("records").over(before), F.lit(0)).alias("first_slot"), "records",
+        (F.col("records") * stride).alias("file_bytes"), F.lit(stride).cast("long").alias("stride"), F.lit(width).alias("width"),
+    )
+    manifest.write.mode("overwrite").parquet(f"{folder}/manifest")
+    first = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").select("shard", "first_slot")
+    found = index.join(first, "shard")
+    return found.select(*keys, "length", (F.col("first_slot") + F.col("place")).alias("slot"), "shard", (F.col("place") * stride).alias("byte_offset"))
 
 
 def read(spark: SparkSession, folder: str, from_slot: int = 0) -> DataFrame:
