@@ -14,7 +14,7 @@ leaves at the top of its tree, of bounded size; pairs of tiles that pass the box
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,6 +31,9 @@ SPARE = 3
 TILE = 1024
 MET = 1_000_000
 LEAF = 16
+#: Stands for any count as high: bounds stay bounds.
+FULL = 32767
+ENDLESS = 1 << 24
 
 
 def _classes(largest: int) -> np.ndarray:
@@ -65,18 +68,20 @@ def signatures(members: np.ndarray, percent: int) -> np.ndarray:
         content = np.add.reduceat(salted[order], begin)
         out.append(mix(content + (group[order][begin] + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)))
         if begin.size <= differ:
-            out.append(np.array([band], dtype=np.uint64))
-    return np.concatenate(out).view(np.int64) if out else np.zeros(0, dtype=np.int64)
+            out.append(np.array([int(band) << 16], dtype=np.uint64))
+    # 48 bits: a chance agreement only makes a bucket larger.
+    return (np.concatenate(out) >> np.uint64(16)).view(np.int64) if out else np.zeros(0, dtype=np.int64)
 
 
 def counts(members: np.ndarray) -> np.ndarray:
-    """The point of a set: members per group."""
-    return np.bincount((mix(members ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(58)).astype(np.int64), minlength=DIMENSIONS).astype(np.int32)
+    """The point of a set: members per group, FULL for that many or more."""
+    group = (mix(members ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(58)).astype(np.int64)
+    return np.minimum(np.bincount(group, minlength=DIMENSIONS), FULL).astype(np.int16)
 
 
 def _sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
     """Per row: key, set size, digest and point of the set."""
-    schema = docs.select(F.col(key).alias("key"), F.lit(0).cast("long").alias("n"), F.lit(b"").alias("node"), F.array().cast("array<int>").alias("point")).schema
+    schema = docs.select(F.col(key).alias("key"), F.lit(0).cast("long").alias("n"), F.lit(b"").alias("node"), F.array().cast("array<smallint>").alias("point")).schema
 
     def run(parts: Iterator) -> Iterator:
         import pyarrow as pa
@@ -85,7 +90,7 @@ def _sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
             for start in range(0, whole.num_rows, 512):
                 part = whole.slice(start, 512)
                 sets = [shingle_set(body, words) for body in part.column(1).to_pylist()]
-                points = pa.array(np.concatenate([counts(x) for x in sets]), pa.int32())
+                points = pa.array(np.concatenate([counts(x) for x in sets]), pa.int16())
                 offsets = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * DIMENSIONS)
                 arrays = [part.column(0), pa.array([x.size for x in sets], pa.int64()), pa.array([digest(x) for x in sets], pa.binary()), pa.ListArray.from_arrays(offsets, points)]
                 yield pa.RecordBatch.from_arrays(arrays, names=["key", "n", "node", "point"])
@@ -157,7 +162,8 @@ def _tiles(members: DataFrame) -> DataFrame:
 
 def _tile_pairs(tiled: DataFrame, percent: int) -> DataFrame:
     """Pairs of tiles of a block whose boxes can hold a link: block, a, b (a <= b)."""
-    corner = [F.max(F.col("point")[g]).alias(f"c{g}") for g in range(DIMENSIONS)]
+    top = [F.max(F.col("point")[g]).cast("long") for g in range(DIMENSIONS)]
+    corner = [F.when(c == FULL, F.lit(ENDLESS)).otherwise(c).alias(f"c{g}") for g, c in enumerate(top)]
     boxes = tiled.groupBy("block", "tile").agg(F.min("n").alias("least"), F.max("n").alias("most"), *corner)
     boxes = cut_lineage(boxes.select("block", "tile", "least", "most", F.array(*[f"c{g}" for g in range(DIMENSIONS)]).alias("corner")), "boxes")
     a, b = boxes.alias("a"), boxes.alias("b")
@@ -213,20 +219,21 @@ def link(nodes: list, sizes: np.ndarray, points: np.ndarray, sets: list[np.ndarr
     return forest
 
 
-def _links(members: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between the nodes of each block, by points and, where there are any, by sets.
+def _links(members: DataFrame, percent: int, sets: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Links (a, b) between the nodes of each block, by points or, given how to fetch them, by sets.
 
     Tiles that may hold a link are joined with their members and streamed in order of block and tile pair; a task holds one pair at a time.
     """
-    spark, verified = members.sparkSession, "members" in members.columns
+    spark, verified = members.sparkSession, sets is not None
     tiled = cut_lineage(_tiles(members), "tiles")
     large = tiled.join(tiled.where("tile > 0").select("block").distinct(), "block", "left_semi")
     pairs = cut_lineage(_tile_pairs(large, percent), "pairs")
     sides = pairs.select("block", "a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("tile"))
-    columns = ["block", "a", "b", "tile", "node", "n", "point", *(["members"] if verified else [])]
+    columns = ["block", "a", "b", "tile", "node", "n", "point", *(["key"] if verified else [])]
     zero = F.lit(0).cast("long")
     single = tiled.join(large.select("block").distinct(), "block", "left_anti").select("*", zero.alias("a"), zero.alias("b"))
     rows = single.select(*columns).union(large.join(sides, ["block", "tile"]).select(*columns))
+    rows = sets(rows) if sets else rows
     dealt = rows.repartition(partitions(spark), "block", "a", "b").sortWithinPartitions("block", "a", "b")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -238,8 +245,9 @@ def _links(members: DataFrame, percent: int) -> DataFrame:
             left = np.flatnonzero(tile == a)
             right = left if a == b else np.flatnonzero(tile == b)
             points = np.stack(group["point"].to_numpy()).astype(np.int32)
-            sets = [np.frombuffer(x, np.uint64) for x in group["members"]] if verified else None
-            return link(group["node"].tolist(), group["n"].to_numpy(), points, sets, left, right, percent)
+            points[points == FULL] = ENDLESS
+            whole = [np.frombuffer(x, np.uint64) for x in group["members"]] if verified else None
+            return link(group["node"].tolist(), group["n"].to_numpy(), points, whole, left, right, percent)
 
         key, forest = None, []
         for part in parts:
@@ -272,11 +280,11 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     table = cut_lineage(_sets(docs, key, text, words), "sets")
     nodes = table.where("n > 0").groupBy("node").agg(F.min("key").alias("key"), F.min("n").alias("n"), F.any_value("point").alias("point"))
     # Along the rank: size, then members in half the groups, then chance; distinct for distinct sets.
-    half = F.aggregate(F.slice("point", 1, DIMENSIONS // 2), F.lit(0), lambda s, x: s + x)
+    half = F.aggregate(F.slice("point", 1, DIMENSIONS // 2), F.lit(0), lambda s, x: s + x.cast("int"))
     chance = F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / (1 << 20)
     nodes = cut_lineage(nodes.select("node", "key", "n", "point", (F.col("n") + (half + chance) / (F.col("n") + 1)).alias("rank"), F.xxhash64("node").alias("short")), "nodes")
 
-    marks = _marks(docs, text, words, percent).select(F.xxhash64("node").alias("short"), F.explode("marks").alias("mark"))
+    marks = _marks(docs, text, words, percent).select(F.xxhash64("node").alias("short"), F.explode("marks").alias("mark")).where("mark is not null")
     dealt = marks.repartition(partitions(docs.sparkSession), "mark")
     buckets = dealt.groupBy("mark").agg(F.min("short").alias("_low"), F.max("short").alias("_high"), F.sum(F.col("short").cast("decimal(38,0)")).alias("_sum"), F.count("*").alias("_rows"))
     buckets = buckets.where("_low != _high").groupBy("_low", "_high", "_sum", "_rows").agg(F.min("mark").alias("mark")).select("mark")
@@ -286,8 +294,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     wanted = nodes.join(maybe.select(F.col("node").alias("short"), F.col("root").alias("block")), "short").drop("short")
     wanted = cut_lineage(wanted, "wanted")
 
-    members = _members(docs, wanted, key, text, words).dropDuplicates(["node"])
-    found = components(_links(members, percent), "a", "b")
+    # Only now, and only for candidates, the sets: made from the texts where these meet their tiles.
+    found = components(_links(wanted, percent, lambda rows: _members(docs, rows, key, text, words)), "a", "b")
     roots = nodes.select("node", "key").join(found, "node", "left").select("node", "key", F.coalesce("root", "node").alias("root"))
     smallest = roots.groupBy("root").agg(F.min("key").alias("component_id"))
     named = roots.join(smallest, "root").select("node", "component_id")
