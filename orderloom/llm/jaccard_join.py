@@ -27,7 +27,7 @@ from orderloom.llm.shingles import digest, mix, shingle_set
 
 DIMENSIONS = 64
 GROWTH = 1.6
-SPARE = 3
+SPREAD = 1.5
 TILE = 1024
 MET = 1_000_000
 LEAF = 16
@@ -47,8 +47,9 @@ def _classes(largest: int) -> np.ndarray:
 def signatures(members: np.ndarray, percent: int) -> np.ndarray:
     """Hashes of the group contents of a set, one family of groups per size class it can meet a partner in.
 
-    A pair belongs to the class of its larger set. With D differing members at most and D + 1 + SPARE groups, some group is equal in both;
-    it is not empty unless all members of both lie in D groups, and such rare sets share a signature of their own.
+    A pair belongs to the class of its larger set. A set that differs from any partner in D members at most keeps its D + 1 largest groups and
+    those of the same size as the last of them. Of two partners take the one whose smallest kept group is the larger: one of its kept groups is equal in
+    both, so the other keeps it, too. Only where that group would be empty in both this fails; such rare sets share a mark of their own.
     """
     n = members.size
     if not n:
@@ -57,17 +58,20 @@ def signatures(members: np.ndarray, percent: int) -> np.ndarray:
     ends, out = _classes(most), []
     first, last = np.searchsorted(ends, [n, most], side="right") - 1
     for band in range(first, last + 1):
-        differ = (100 - percent) * 2 * (int(ends[band + 1]) - 1) // (100 + percent)
-        if not differ:
+        top = int(ends[band + 1]) - 1
+        if not (100 - percent) * 2 * top // (100 + percent):
             continue  # only equal sets are that close
-        groups = differ + 1 + SPARE
+        differ = (100 - percent) * (n + min(most, top)) // (100 + percent)
+        groups = int(SPREAD * ((100 - percent) * 2 * top // (100 + percent) + 1)) + 3
         salted = mix(members + np.uint64((int(band) + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
         group = (salted >> np.uint64(32)) % np.uint64(groups)
         order = np.argsort(group, kind="stable")
         begin = np.flatnonzero(np.concatenate([[True], np.diff(group[order]) > 0]))
         content = np.add.reduceat(salted[order], begin)
-        out.append(mix(content + (group[order][begin] + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)))
-        if begin.size <= differ:
+        sizes = np.diff(np.append(begin, n))
+        least = np.sort(sizes)[-differ - 1] if sizes.size > differ else 0
+        out.append(mix(content + (group[order][begin] + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))[sizes >= least])
+        if not least:
             out.append(np.array([int(band) << 16], dtype=np.uint64))
     # 48 bits: a chance agreement only makes a bucket larger.
     return (np.concatenate(out) >> np.uint64(16)).view(np.int64) if out else np.zeros(0, dtype=np.int64)
