@@ -71,7 +71,7 @@ def _sample(labels: DataFrame, key: str, label: str, max_rows: int) -> DataFrame
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_rows: int = 8000, max_features: int = 1500
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_rows: int = 6000, max_features: int = 1500
 ) -> Model:
     """Train on the rows of ``labels`` (key, label) whose texts are in ``docs``.
 
@@ -90,14 +90,15 @@ def fit(
                 rows[int(kind)] += 1
         yield pd.DataFrame({"clean": [seen[0].tobytes()], "toxic": [seen[1].tobytes()], "n_clean": [rows[0]], "n_toxic": [rows[1]]})
 
-    counts, n = np.zeros((2, 1 << BITS)), np.zeros(2)
+    counts, n = np.zeros((2, 1 << BITS), np.float32), np.zeros(2)
     for row in texts.mapInPandas(count, "clean binary, toxic binary, n_clean long, n_toxic long").toLocalIterator():
-        counts += np.stack([np.frombuffer(row["clean"], np.float32), np.frombuffer(row["toxic"], np.float32)])
+        counts[0] += np.frombuffer(row["clean"], np.float32)
+        counts[1] += np.frombuffer(row["toxic"], np.float32)
         n += (row["n_clean"], row["n_toxic"])
     if not n.all():
         return Model(np.zeros(0, np.int64), np.zeros(0), float(np.log((n[1] + 1) / (n[0] + 1))))
 
-    share = (counts + 1) / (n[:, None] + 2)
+    share = (counts + 1) / (n[:, None] + 2).astype(np.float32)
     ratio = np.log(share[1] / (1 - share[1])) - np.log(share[0] / (1 - share[0]))
     both = (counts.sum(0) + 1) / (n.sum() + 2)
     contrast = np.abs(share[1] - share[0]) / np.sqrt(both * (1 - both) * (1 / n).sum())
@@ -112,13 +113,15 @@ def fit(
             kept = [rank[features(body, at)] for body in part["_text"]]
             yield pd.DataFrame({"ranks": [np.sort(k[k >= 0]).tobytes() for k in kept], "label": (part["_label"] > 0).astype(int)})
 
+    del counts, share, both, contrast
     rows = texts.mapInPandas(chosen, "ranks binary, label int").collect()
     x, y = np.zeros((len(rows), places.size), np.float32), np.array([r["label"] for r in rows], np.float64)
     for i, r in enumerate(rows):
         x[i, np.frombuffer(r["ranks"], np.int16)] = 1
-    order = np.lexsort((*x.T[:8], y)) if places.size else np.arange(len(rows))
-    coefficients, intercept = _regression(x[order] * ratio[places].astype(np.float32), y[order])
-    return Model(places, coefficients * ratio[places], intercept)
+    scale = ratio[places].astype(np.float32)
+    x *= scale
+    coefficients, intercept = _regression(x, y)
+    return Model(places, coefficients * scale, intercept)
 
 
 def _regression(x: np.ndarray, y: np.ndarray, ridge: float = 2e-4, steps: int = 250) -> tuple[np.ndarray, float]:
