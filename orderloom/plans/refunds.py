@@ -109,6 +109,8 @@ def canonical_refunds(
     record implies.
     """
     rows = union_connectors(legacy, replacement, migrated)
+    # A refund that both connectors hold counts once, in its latest version.
+    rows = keep_latest(rows, RECORD_KEY, ["batch_runtime", "batch_date", "batch_id"])
     is_shipping = F.col("a_kind") == "shipping_refund"
     rows = rows.where(
         F.col("refund_line_item_id").isNotNull()

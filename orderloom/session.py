@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -36,12 +37,12 @@ def build_session(app: str = "orderloom", master: str | None = None, **conf: str
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder for ``name`` below the cluster's ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster the executors
+    Only a session of one process may fall back to a temporary folder: on a cluster the executors
     could not see it, so there the missing setting is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="orderloom-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -17,16 +17,6 @@ def read_location(spark: SparkSession, location: str) -> DataFrame:
     return spark.read.parquet(location) if "/" in location else spark.table(location)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores when its files give fewer scan tasks than there are cores.
-
-    Parsing JSON is the costly step, and a table of one row group is one scan task however many
-    cores wait. A table with enough scan tasks, as any large one has, is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def read_stores(
     spark: SparkSession,
     sources: Sequence[StoreSource],

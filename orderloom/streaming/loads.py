@@ -98,7 +98,7 @@ def _fold_stream(
         target = _existing(batch.sparkSession, path, stored)
         part = None
         if target is not None:
-            part = touched_partitions(target, batch, BUCKET, buckets).drop(BUCKET)
+            part = touched_partitions(target, batch, BUCKET).drop(BUCKET)
         merged = with_bucket(fold(part, batch.drop(BUCKET)), keys, buckets, BUCKET)
         # Written aside first: the table must not be replaced while it is being read.
         replace_partitions(cut_lineage(merged, "merge"), path, [BUCKET])
