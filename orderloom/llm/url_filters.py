@@ -82,6 +82,8 @@ def fit(labelled: DataFrame, steps: int = 30, rate: float = 4.0, ridge: float =
     """
     weights, speed = [0.0] * PLACES, [0.0] * PLACES
     bias = bias_speed = 0.0
+    # A bounded table: in one partition each step is one task and needs no shuffle.
+    labelled = labelled.coalesce(1)
     rows = labelled.count()
     for _ in range(steps if rows else 0):
         chance = 1 / (1 + F.exp(-_margin(F.col("places"), weights, bias)))
