@@ -7,18 +7,19 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.catalog.shared import plain
+from orderloom.catalog.shared import LINES, plain
 from orderloom.operators.dedup import first_and_last, keep_earliest, keep_latest, ordering
-from orderloom.operators.history import scd2_as_of, scd2_current, scd2_merge
+from orderloom.operators.history import scd2_as_of, scd2_current, scd2_run, scd2_schema, scd2_table
 from orderloom.operators.incremental import FLOOR, high_water, increment
 from orderloom.operators.merge import merge_ranked, merge_upsert
 from orderloom.session import shared_folder
-from orderloom.sources.derived import table
+from orderloom.plans import storefront as S
+from orderloom.sources.derived import storefront_orders, table
 from orderloom.sources.sinks import append_increment, read_table
 
 LINE = ["l_orderkey", "l_linenumber"]
 NEWEST = ["l_shipdate", "l_partkey", "l_suppkey"]
-RUNS = ["1997-01-01", "1999-06-01", "2003-01-01"]
+RUNS = ["1997-01-01", "1999-06-01", None]
 EVENT_CUT = "2024-01-15 00:00:00"
 
 
@@ -113,13 +114,41 @@ def merge_first_version(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _history(spark: SparkSession, sf: str) -> DataFrame:
-    """History of the line items over three runs, each seeing what had shipped by then."""
+    """History of the line items over three runs, each seeing what had shipped by then, the last one everything."""
     lineitem = table(spark, sf, "lineitem").select(*LINE, *NEWEST, "l_extendedprice", "l_linestatus")
-    history = None
-    for run in RUNS:
-        seen = lineitem.where(F.col("l_shipdate") < F.lit(run).cast("timestamp_ntz"))
-        history = scd2_merge(history, keep_latest(seen, LINE, NEWEST), LINE, "l_shipdate")
-    return history
+    path = shared_folder(spark, "history")
+    for number, run in enumerate(RUNS):
+        seen = lineitem.where(F.col("l_shipdate") < F.lit(run).cast("timestamp_ntz")) if run else lineitem
+        scd2_run(spark, path, number, keep_latest(seen, LINE, NEWEST), LINE, "l_shipdate")
+    return scd2_table(spark, path, scd2_schema(lineitem.schema, "l_shipdate"))
+
+
+def storefront_history(spark: SparkSession, sf: str) -> DataFrame:
+    """History of staged order lines over three runs: the second lacks a store, the third brings older versions of some."""
+    orders = storefront_orders(table(spark, sf, "lineitem"))
+    lines = S.stage_order_lines(orders).select(*S.LINE_KEY, "quantity", *S.VERSION_ORDER)
+    at, even = F.col("updated_at"), F.col("order_id").cast("bigint") % 2 == 0
+    runs = [
+        at < F.lit("1996-01-01").cast("timestamp_ntz"),
+        (at < F.lit("1997-06-01").cast("timestamp_ntz")) & (F.col("brand") != "STORE_B"),
+        ~even | (at < F.lit("1995-01-01").cast("timestamp_ntz")),
+    ]
+    path, schema = shared_folder(spark, "history"), None
+    for number, seen in enumerate(runs):
+        current = S.history_rows(lines.where(seen)).select("history_key", "quantity", "updated_at_utc")
+        scd2_run(spark, path, number, current, ["history_key"], "updated_at_utc")
+        schema = scd2_schema(current.schema, "updated_at_utc")
+    return plain(scd2_table(spark, path, schema))
+
+
+def append_new_column(spark: SparkSession, sf: str) -> DataFrame:
+    """A load without ``props``, then one that has it, appended under the first one's schema."""
+    log, events = shared_folder(spark, "log"), _events(spark, sf)
+    cut = F.lit(EVENT_CUT).cast("timestamp_ntz")
+    before = events.where(F.col("ts") < cut).drop("props")
+    append_increment(before, log)
+    append_increment(events.where(F.col("ts") >= cut), log, before.schema)
+    return plain(read_table(spark, log))
 
 
 def scd2_history(spark: SparkSession, sf: str) -> DataFrame:
@@ -143,10 +172,12 @@ QUERIES = {
     "increment_exclusive_floor": increment_exclusive_floor,
     "high_water_marks": high_water_marks,
     "append_then_latest": append_then_latest,
+    "append_new_column": append_new_column,
     "merge_upsert": merge_upsert_events,
     "merge_ranked": merge_ranked_events,
     "merge_first_version": merge_first_version,
     "scd2_history": scd2_history,
+    "storefront_history": storefront_history,
     "scd2_current": scd2_current_rows,
     "scd2_as_of": scd2_as_of_rows,
 }
@@ -169,7 +200,7 @@ _HISTORY = f"""
     with seen as (
         {' union all '.join(
             f'''(select l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_extendedprice, l_linestatus,
-                        {i} as run from lineitem where l_shipdate < timestamp '{run}'
+                        {i} as run from lineitem {f"where l_shipdate < timestamp '{run}'" if run else ""}
                  qualify row_number() over (partition by l_orderkey, l_linenumber
                                             order by l_shipdate desc, l_partkey desc, l_suppkey desc) = 1)'''
             for i, run in enumerate(RUNS))}
@@ -187,6 +218,37 @@ _HISTORY = f"""
            cast(valid_to as varchar) as valid_to
     from history
 """
+# The newest version of a line in each run; it opens a row if it is newer than all that earlier runs showed.
+_STORE_HISTORY = f"""
+    with li as ({LINES}),
+    lines as (
+        select brand, order_id, line_id as line, l_quantity as quantity, l_shipdate, loaded_at, batch_id from li
+        union all
+        select brand, order_id, cast(l_linenumber + 100 as varchar), 0.0::double, l_shipdate, loaded_at, batch_id from li
+    ),
+    runs as (
+        select *, 0 as run from lines where l_shipdate < timestamp '1996-01-01'
+        union all
+        select *, 1 from lines where l_shipdate < timestamp '1997-06-01' and brand <> 'STORE_B'
+        union all
+        select *, 2 from lines where order_id::bigint % 2 <> 0 or l_shipdate < timestamp '1995-01-01'
+    ),
+    seen as (
+        select * from runs
+        qualify row_number() over (partition by brand, order_id, line, run
+                                   order by l_shipdate desc, loaded_at desc, batch_id desc) = 1
+    ),
+    ordered as (
+        select *, max(l_shipdate) over (partition by brand, order_id, line order by run
+                                        rows between unbounded preceding and 1 preceding) as before
+        from seen
+    ),
+    opened as (select * from ordered where before is null or l_shipdate > before)
+    select 'Storefront|' || brand || '|' || order_id || '|' || line || '|sale' as history_key, quantity,
+           cast(l_shipdate as varchar) as updated_at_utc, cast(l_shipdate as varchar) as valid_from,
+           cast(lead(l_shipdate) over (partition by brand, order_id, line order by run) as varchar) as valid_to
+    from opened
+"""
 
 ORACLES = {
     "line_items_latest": f"""
@@ -223,6 +285,11 @@ ORACLES = {
 """,
     "high_water_marks": "select event_type, cast(max(ts) as varchar) as max_ts from events group by event_type",
     "append_then_latest": _LATEST_EVENT,
+    "append_new_column": f"""
+    select event_id, cast(ts as varchar) as ts, user_id, event_type, value,
+           case when events.ts >= timestamp '{EVENT_CUT}' then props end as props
+    from events
+""",
     "merge_upsert": _LATEST_EVENT,
     "merge_ranked": _LATEST_EVENT,
     "merge_first_version": f"""
@@ -230,6 +297,7 @@ ORACLES = {
     qualify row_number() over (partition by user_id, event_type order by events.ts, event_id) = 1
 """,
     "scd2_history": _HISTORY,
+    "storefront_history": _STORE_HISTORY,
     "scd2_current": _HISTORY + " where history.valid_to is null",
     "scd2_as_of": _HISTORY
     + """ where history.valid_from <= timestamp '1998-07-01'

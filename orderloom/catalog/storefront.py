@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.catalog.shared import LINES, MOVED, money, pacific, plain
+from orderloom.functions.ids import normalize_id
+from orderloom.functions.semi import rejected_payloads as rejected
 from orderloom.operators.attributes import MAP, attribute_columns
 from orderloom.operators.connectors import union_connectors
 from orderloom.operators.quality import check_refund_overlap
@@ -37,7 +39,28 @@ def explode_json_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def explode_native_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return plain(S.stage_order_lines(_replacement(spark, sf)).select(*_STAGED))
+    return plain(S.stage_order_lines(D.storefront_orders(_lineitem(spark, sf), native=True)).select(*_STAGED))
+
+
+def rejected_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders whose line payload does not parse: in every seventh it is cut off, in every eleventh a field comes twice."""
+    order, text = F.col("id").cast("string"), F.col("line_items")
+    orders = _legacy(spark, sf).withColumn("order_id", normalize_id(order))
+    number = F.col("order_id").cast("bigint")
+    twice = F.concat(F.lit('[{"id":1,'), F.expr("substring(line_items, 3)"))
+    cut = F.expr("substring(line_items, 1, length(line_items) - 2)")
+    damaged = orders.withColumn("line_items", F.when(number % 7 == 0, cut).when(number % 11 == 0, twice).otherwise(text))
+    return plain(rejected(damaged, "line_items").select("brand", "order_id", "updated_at"))
+
+
+def both_connectors_refunds(spark: SparkSession, sf: str) -> DataFrame:
+    """Refunds of stores that both connectors hold, moved or not: each counts once."""
+    lineitem = _lineitem(spark, sf)
+    known = R.known_orders(lineitem.select(D.store_of("l_orderkey").alias("brand"), F.col("l_orderkey").cast("string").alias("order_id")))
+    out = R.canonical_refunds(
+        R.refund_records(D.storefront_refunds(lineitem)), R.refund_records(D.storefront_refunds(lineitem, native=True)), known, D.MOVED
+    )
+    return out.select("brand", "refund_record_id", "refund_key", "refund_amount")
 
 
 def line_discounts(spark: SparkSession, sf: str) -> DataFrame:
@@ -131,6 +154,8 @@ def refund_overlap_check(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "rejected_payloads": rejected_payloads,
+    "both_connectors_refunds": both_connectors_refunds,
     "explode_json_lines": explode_json_lines,
     "explode_native_lines": explode_native_lines,
     "line_discounts": line_discounts,
@@ -232,8 +257,20 @@ _RECORD_COLUMNS = """
 _BRAND_FULL = "'Store ' || right(brand, 1)"
 
 ORACLES = {
+    "rejected_payloads": f"""
+    select brand, order_id, cast(l_shipdate as varchar) as updated_at from ({LINES})
+    where l_orderkey % 7 = 0 or l_orderkey % 11 = 0
+""",
+    "both_connectors_refunds": _LEGACY_REFUNDS
+    + f"""
+    select brand, refund_id as refund_record_id,
+           'Storefront_' || brand || '_' || refund_line_item_id || '_' ||
+               case when a_kind is not null then 'refund_shipping_line' else 'refund_line_item' end as refund_key,
+           0.0::double - abs(coalesce(a_amount, subtotal)) as refund_amount
+    from picked where record_type = 'refund_line_item' or a_kind = 'shipping_refund'
+""",
     "explode_json_lines": _EXPLODED + _STAGED_SQL,
-    "explode_native_lines": _EXPLODED + _STAGED_SQL + f" where brand in {MOVED}",
+    "explode_native_lines": _EXPLODED + _STAGED_SQL,
     "line_discounts": _EXPLODED
     + f"""
     select 'Storefront' as source_platform, brand, order_id, line_item_id, line_item_discount_total,

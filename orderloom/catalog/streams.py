@@ -1,9 +1,12 @@
-"""The streaming loads, run over the events table as it arrives, up to its end."""
+"""The streaming loads, run over the events table as it arrives in three loads; later loads hold late versions, too."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from orderloom.catalog.shared import plain
 from orderloom.operators.dedup import keep_latest
@@ -13,10 +16,19 @@ from orderloom.sources.derived import table
 from orderloom.streaming import loads
 
 KEYS = ["user_id", "event_type"]
+BUCKETS = 8
+
 
+LOADS = 3
 
-def _arrivals(spark: SparkSession, sf: str) -> DataFrame:
-    return loads.read_arrivals(spark, f"{sf}/events*.parquet", table(spark, sf, "events").schema)
+
+def _arrive(spark: SparkSession, sf: str, folder: str, start: Callable[[DataFrame], StreamingQuery]) -> DataFrame:
+    """Let the events arrive in loads by event id and run ``start`` to its end after each."""
+    events, landing = table(spark, sf, "events"), f"{folder}/landing"
+    for load in range(LOADS):
+        events.where(F.col("event_id") % LOADS == load).write.mode("append").parquet(landing)
+        start(loads.read_arrivals(spark, landing, events.schema)).awaitTermination()
+    return events
 
 
 def _newest() -> list:
@@ -25,40 +37,51 @@ def _newest() -> list:
 
 def stream_append(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_folder(spark, "stream-append")
-    arrivals = _arrivals(spark, sf)
-    loads.append_stream(arrivals, f"{folder}/log", f"{folder}/checkpoint").awaitTermination()
-    log = spark.read.schema(arrivals.schema).parquet(f"{folder}/log")
+    events = _arrive(spark, sf, folder, lambda rows: loads.append_stream(rows, f"{folder}/log", f"{folder}/checkpoint"))
+    log = spark.read.schema(events.schema).parquet(f"{folder}/log")
     return plain(keep_latest(log, KEYS, ["ts", "event_id"]))
 
 
 def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_folder(spark, "stream-upsert")
-    arrivals = _arrivals(spark, sf)
-    query = loads.upsert_stream(arrivals, f"{folder}/current", f"{folder}/checkpoint", KEYS, _newest())
-    query.awaitTermination()
-    return plain(loads.current_rows(spark, f"{folder}/current", arrivals.schema))
+    path, checkpoint = f"{folder}/current", f"{folder}/checkpoint"
+    events = _arrive(spark, sf, folder, lambda rows: loads.upsert_stream(rows, path, checkpoint, KEYS, _newest(), BUCKETS))
+    return plain(loads.current_rows(spark, path, events.schema))
 
 
 def stream_history(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_folder(spark, "stream-history")
-    arrivals = _arrivals(spark, sf)
-    query = loads.history_stream(
-        arrivals, f"{folder}/history", f"{folder}/checkpoint", KEYS, "ts", _newest()
-    )
-    query.awaitTermination()
-    schema = scd2_schema(arrivals.schema, "ts")
-    return plain(loads.current_rows(spark, f"{folder}/history", schema).where("valid_to is null"))
+    path, checkpoint = f"{folder}/history", f"{folder}/checkpoint"
+    events = _arrive(spark, sf, folder, lambda rows: loads.history_stream(rows, path, checkpoint, KEYS, "ts", _newest(), BUCKETS))
+    return plain(loads.current_rows(spark, path, scd2_schema(events.schema, "ts")))
 
 
 QUERIES = {"stream_append": stream_append, "stream_upsert": stream_upsert, "stream_history": stream_history}
 
 _LATEST = """
-    select event_id, cast(ts as varchar) as ts, user_id, event_type, value, props{extra} from events
+    select event_id, cast(ts as varchar) as ts, user_id, event_type, value, props from events
     qualify row_number() over (partition by user_id, event_type order by events.ts desc, event_id desc) = 1
 """
+# The newest event of each load opens a row if it is newer than those of all loads before.
+_HISTORY = f"""
+    with seen as (
+        select *, event_id % {LOADS} as load from events
+        qualify row_number() over (partition by user_id, event_type, event_id % {LOADS} order by ts desc, event_id desc) = 1
+    ),
+    ordered as (
+        select *, max(ts) over (partition by user_id, event_type order by load
+                                rows between unbounded preceding and 1 preceding) as before
+        from seen
+    ),
+    opened as (select * from ordered where before is null or ts > before)
+    select event_id, cast(opened.ts as varchar) as ts, user_id, event_type, value, props,
+           cast(opened.ts as varchar) as valid_from,
+           cast(lead(opened.ts) over (partition by user_id, event_type order by load) as varchar) as valid_to
+    from opened
+"""
 
 ORACLES = {
-    "stream_append": _LATEST.format(extra=""),
-    "stream_upsert": _LATEST.format(extra=""),
-    "stream_history": _LATEST.format(extra=", cast(events.ts as varchar) as valid_from, null::varchar as valid_to"),
+    "stream_append": _LATEST,
+    "stream_upsert": _LATEST,
+    "stream_history": _HISTORY,
 }

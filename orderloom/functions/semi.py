@@ -108,6 +108,16 @@ def explode_array(
     return rows, Element(F.col(element), kind, strict)
 
 
+def rejected_payloads(df: DataFrame, name: str) -> DataFrame:
+    """The rows whose JSON text in ``name`` does not parse: what a tolerant read leaves out.
+
+    NULL texts are not rejected; a native column never is.
+    """
+    if not isinstance(df.schema[name].dataType, T.StringType):
+        return df.where(F.lit(False))
+    return df.where(F.col(name).isNotNull() & F.try_parse_json(F.col(name)).isNull())
+
+
 def parse_head(df: DataFrame, name: str, into: str, strict: bool = False) -> tuple[DataFrame, Element]:
     """Element 0 of the array in ``name`` as column ``into``, parsed once per row."""
     array, kind = json_array(df, name, strict)

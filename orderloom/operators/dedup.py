@@ -27,9 +27,18 @@ def keep_first(df: DataFrame, keys: Sequence[str | Column], order_by: Sequence[C
     return ranked.where(F.col(_RANK) == 1).drop(_RANK)
 
 
-def keep_latest(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str]) -> DataFrame:
+def keep_latest(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column]) -> DataFrame:
     """Latest version: columns of ``order`` descending, missing values last."""
-    return keep_first(df, keys, [F.col(c).desc_nulls_last() for c in order])
+    return keep_first(df, keys, [(F.col(c) if isinstance(c, str) else c).desc_nulls_last() for c in order])
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of the row, to end an order with: rows that tie on it, too, hold the same values.
+
+    It reads every column, so select what is needed first. Maps and variants have no hash and are left out.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return F.xxhash64(*[F.col(f"`{n}`") for n, kind in kinds.items() if "map<" not in kind and "variant" not in kind])
 
 
 def keep_earliest(

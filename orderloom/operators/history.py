@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-FROM, TO = "valid_from", "valid_to"
+from orderloom.sources.folders import committed
+
+FROM, TO, STATE = "valid_from", "valid_to", "history_state"
 
 
 def scd2_schema(schema: T.StructType, updated_at: str) -> T.StructType:
@@ -33,8 +35,13 @@ def scd2_merge(
     columns = opened.columns
     history = history.select(*columns)
     closed = history.where(F.col(TO).isNotNull())
-    before = _side(history.where(F.col(TO).isNull()), key, columns, "__old")
-    after = _side(opened, key, columns, "__new")
+    return closed.unionByName(_meet(history.where(F.col(TO).isNull()), opened, key, updated_at))
+
+
+def _meet(history: DataFrame, opened: DataFrame, key: Sequence[str], updated_at: str) -> DataFrame:
+    """Open rows of the history and the current rows, at most one per key on either side."""
+    before = _side(history, key, opened.columns, "__old")
+    after = _side(opened, key, opened.columns, "__new")
     on = reduce(
         lambda a, b: a & b, [F.col(f"__old_{k}").eqNullSafe(F.col(f"__new_{k}")) for k in key]
     )
@@ -47,7 +54,37 @@ def scd2_merge(
         .when(changed, F.array(ended, new))
         .otherwise(F.array(old))
     )
-    return closed.unionByName(both.select(F.inline(rows)))
+    return both.select(F.inline(rows))
+
+
+def scd2_run(
+    spark: SparkSession, path: str, run: int, current: DataFrame, key: Sequence[str], updated_at: str
+) -> None:
+    """One run over the history table at ``path``, which holds a folder per run.
+
+    A run reads only the rows the run before left open, in one scan, and writes those it closes and all that are open now;
+    rows closed earlier are neither read nor written. ``run`` numbers must rise. Spark's success marker commits a run:
+    one that broke off is not seen by readers and may be repeated.
+    """
+    runs = committed(spark, f"{path}/run=*")
+    before = max((r for r in runs if r < run), default=None)
+    if any(r > run for r in runs):
+        raise ValueError(f"run {run} of {path} comes after run {max(runs)}")
+    opened = current.withColumns({FROM: F.col(updated_at), TO: _empty(current, updated_at)})
+    rows = opened
+    if before is not None:
+        old = spark.read.schema(opened.schema).parquet(f"{path}/run={before}/{STATE}=open")
+        rows = _meet(old, opened, key, updated_at)
+    state = F.when(F.col(TO).isNull(), "open").otherwise("closed")
+    rows.withColumn(STATE, state).write.partitionBy(STATE).mode("overwrite").parquet(f"{path}/run={run}")
+
+
+def scd2_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The history :func:`scd2_run` keeps at ``path``: closed rows of all runs, open rows of the last."""
+    runs = committed(spark, f"{path}/run=*")
+    stored = T.StructType([*schema.fields, T.StructField(STATE, T.StringType()), T.StructField("run", T.IntegerType())])
+    rows = spark.read.schema(stored).option("basePath", path).parquet(*[f"{path}/run={r}" for r in sorted(runs)])
+    return rows.where((F.col(STATE) == "closed") | (F.col("run") == max(runs))).select(*schema.names)
 
 
 def scd2_current(history: DataFrame) -> DataFrame:

@@ -79,6 +79,7 @@ STATEMENT_AMOUNTS = [
     "shipping_cost_amount",
 ]
 
-# Contact data that no output carries, and identifying columns that leave only on request.
-CONTACT = ["email", "phone", "customer", "billing_address", "shipping_address", "recipient_address"]
-IDENTIFYING = ["note", "browser_ip", "card_last4", "buyer_message", "cpf", "seller_note"]
+# Identifying columns that leave only on request. Contact columns are in none of the lists above.
+IDENTIFYING = [
+    "note", "browser_ip", "payment_details", "card_last4", "buyer_message", "cpf", "seller_note", "return_reason_text",
+]

@@ -14,7 +14,7 @@ from orderloom.functions.money import safe_divide
 from orderloom.functions.semi import Element, json_array
 from orderloom.functions.times import as_utc, to_pacific
 from orderloom.operators.connectors import union_connectors
-from orderloom.operators.dedup import keep_latest
+from orderloom.operators.dedup import keep_latest, row_hash
 from orderloom.operators.joins import keep_existing
 from orderloom.plans.columns import IDENTIFYING
 from orderloom.plans.staging import with_load_time
@@ -55,11 +55,11 @@ RECORD = {
 }
 
 
-def refund_records(refunds: DataFrame, strict: bool = False, allow: Sequence[str] = ()) -> DataFrame:
+def refund_records(refunds: DataFrame, strict: bool = True, allow: Sequence[str] = ()) -> DataFrame:
     """Typed refund records of both connectors, latest version per record.
 
     The three payload arrays of a refund become one array of records inside the row and one explode,
-    so the feed is scanned and parsed once.
+    so the feed is scanned and parsed once. A malformed payload is an error unless ``strict`` is off.
     """
     rows = with_load_time(as_utc(refunds, "created_at"))
     payloads = {
@@ -84,7 +84,7 @@ def refund_records(refunds: DataFrame, strict: bool = False, allow: Sequence[str
         "ds",
     ]
     out = rows.select(*columns, F.inline(F.concat(*arrays)))
-    out = keep_latest(out, RECORD_KEY, ["batch_runtime", "batch_id", "created_at"])
+    out = keep_latest(out, RECORD_KEY, ["batch_runtime", "batch_date", "batch_id", "created_at", row_hash(out)])
     return drop_pii(out, IDENTIFYING, allow)
 
 
@@ -110,7 +110,7 @@ def canonical_refunds(
     """
     rows = union_connectors(legacy, replacement, migrated)
     # A refund that both connectors hold counts once, in its latest version.
-    rows = keep_latest(rows, RECORD_KEY, ["batch_runtime", "batch_date", "batch_id"])
+    rows = keep_latest(rows, RECORD_KEY, ["batch_runtime", "batch_date", "batch_id", row_hash(rows)])
     is_shipping = F.col("a_kind") == "shipping_refund"
     rows = rows.where(
         F.col("refund_line_item_id").isNotNull()

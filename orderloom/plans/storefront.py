@@ -14,7 +14,7 @@ from orderloom.functions.semi import array_sum, explode_array
 from orderloom.functions.times import as_utc, to_pacific
 from orderloom.operators.attributes import ATTRIBUTES, MAP, attribute_columns, attributes_map
 from orderloom.operators.connectors import union_connectors
-from orderloom.operators.dedup import keep_latest
+from orderloom.operators.dedup import keep_latest, row_hash
 from orderloom.plans.columns import (
     IDENTIFYING,
     ORDER_LINE,
@@ -33,8 +33,9 @@ ORDER_KEY = ["brand", "order_id"]
 
 _PAYLOAD = ["line_items", "shipping_lines", "element"]
 
-# Business update time first, then load time; batch and position make the order total.
-VERSION_ORDER = ["updated_at", "batch_runtime", "batch_id", "element_pos"]
+# Business update time first, then load time (``batch_runtime`` may be cut to seconds, ``batch_date`` is not), batch and
+# position; picks end with a hash of the row, because one connector has no batch id.
+VERSION_ORDER = ["updated_at", "batch_runtime", "batch_date", "batch_id", "element_pos"]
 
 
 def explode_lines(orders: DataFrame, strict: bool = False) -> DataFrame:
@@ -65,8 +66,8 @@ def explode_lines(orders: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
-def explode_shipping(orders: DataFrame, marketplace_tag: str, strict: bool = False) -> DataFrame:
-    """One row per shipping line and order version.
+def explode_shipping(orders: DataFrame, marketplace_tag: str, strict: bool = True) -> DataFrame:
+    """One row per shipping line and order version; a malformed payload is an error unless ``strict`` is off.
 
     Orders whose e-mail domain names the marketplace are left out, and so are orders without an
     e-mail, whose origin cannot be told.
@@ -96,15 +97,16 @@ def stage_order_lines(
 
 
 def stage_shipping_lines(
-    orders: DataFrame, platforms: Platforms = Platforms(), allow: Sequence[str] = (), strict: bool = False
+    orders: DataFrame, platforms: Platforms = Platforms(), allow: Sequence[str] = (), strict: bool = True
 ) -> DataFrame:
     return _finish(explode_shipping(orders, platforms.marketplace_tag, strict), allow)
 
 
 def line_discounts(lines: DataFrame) -> DataFrame:
     """Discount total and discount per unit of each line's latest version."""
-    latest = keep_latest(lines, LINE_KEY, VERSION_ORDER)
-    return latest.select(*LINE_KEY[:-1], "line_item_discount_total", "line_item_discount_per_unit")
+    discounts = ["line_item_discount_total", "line_item_discount_per_unit"]
+    latest = _newest(lines.select(*LINE_KEY, *discounts, *VERSION_ORDER), LINE_KEY)
+    return latest.select(*LINE_KEY[:-1], *discounts)
 
 
 def order_attributes(orders: DataFrame) -> DataFrame:
@@ -114,9 +116,11 @@ def order_attributes(orders: DataFrame) -> DataFrame:
         normalize_id(F.col("id")).alias("order_id"),
         "note_attributes",
         "batch_runtime",
+        "batch_date",
         "batch_id",
     )
-    newest = [F.col("batch_runtime").desc_nulls_last(), F.col("batch_id").desc_nulls_last()]
+    newest = [F.col(c).desc_nulls_last() for c in ["batch_runtime", "batch_date", "batch_id"]]
+    newest.append(F.xxhash64("note_attributes").desc())
     return attributes_map(rows, ORDER_KEY, "note_attributes", newest)
 
 
@@ -147,7 +151,7 @@ def storefront_line_items(
     rows = _union(legacy, replacement, LINE_KEY + columns, migrated)
     rows = rows.where(F.col("source_name") != platforms.marketplace_tag)
     rows = rows.withColumn("line_item_id", normalize_id("line_item_id"))
-    rows = keep_latest(rows, LINE_KEY, VERSION_ORDER)
+    rows = _newest(rows, LINE_KEY)
     if attributes is not None:
         rows = with_attributes(rows, attributes, allow)
 
@@ -206,7 +210,7 @@ def storefront_shipping(
     rows = rows.where(
         nonzero(F.col("shipping_price")) & (F.col("source_name") != platforms.marketplace_tag)
     )
-    rows = keep_latest(rows, SHIPPING_KEY, VERSION_ORDER)
+    rows = _newest(rows, SHIPPING_KEY)
     if attributes is not None:
         rows = with_attributes(rows, attributes, allow)
 
@@ -240,7 +244,7 @@ def storefront_shipping(
 
 def history_rows(lines: DataFrame, key_columns: Sequence[str] = tuple(LINE_KEY)) -> DataFrame:
     """The current row per key, keyed for the history table: ``history_key``, ``updated_at_utc``."""
-    latest = keep_latest(lines, key_columns, VERSION_ORDER)
+    latest = _newest(lines, key_columns)
     return latest.withColumns(
         {
             "history_key": K.history_key(*[F.col(c) for c in key_columns]),
@@ -280,6 +284,10 @@ def _finish(rows: DataFrame, allow: Sequence[str]) -> DataFrame:
     return drop_pii(rows, IDENTIFYING, allow)
 
 
+def _newest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return keep_latest(rows, keys, [*VERSION_ORDER, row_hash(rows)])
+
+
 def _union(
     legacy: DataFrame, replacement: DataFrame, columns: Sequence[str], migrated: Sequence[str]
 ) -> DataFrame:

@@ -60,8 +60,15 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
 def append_increment(
     df: DataFrame, path: str, schema: T.StructType | None = None, partition_by: Sequence[str] = ()
 ) -> None:
-    """Append ``df`` to the table at ``path``, in the target's schema when one is given."""
-    rows = conform(df, schema) if schema else df
+    """Append ``df`` to the table at ``path``.
+
+    With the target's ``schema`` its columns keep their types and those ``df`` lacks are NULL; columns new in ``df``
+    are added behind them. Earlier rows read them as NULL (:func:`read_table`).
+    """
+    rows = df
+    if schema:
+        new = [f for f in df.schema.fields if f.name not in schema.names]
+        rows = conform(df, T.StructType([*schema.fields, *new]))
     _writer(rows, partition_by).mode("append").parquet(path)
 
 

@@ -2,15 +2,16 @@
 
 Each load runs to the end of what has arrived (``availableNow``) and can be started again: the
 checkpoint replaces the high-water mark. Tables that are merged are partitioned by a hash bucket
-of the key, so a batch rewrites the buckets it touches. A batch that is repeated after a
-failure merges to the same rows.
+of the key: a batch writes the buckets it touches into a new version folder, which Spark's success
+marker commits, so readers never see half a batch. A batch that is repeated after a failure merges
+to the same rows. ``buckets`` belongs to the table; another count is refused. Choose it so that a
+bucket is about a gigabyte.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,9 +19,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from orderloom.operators.dedup import keep_first
 from orderloom.operators.history import scd2_merge, scd2_schema
-from orderloom.operators.merge import merge_ranked, touched_partitions, with_bucket
-from orderloom.session import cut_lineage
-from orderloom.sources.sinks import replace_partitions
+from orderloom.operators.merge import merge_ranked, with_bucket
+from orderloom.sources.folders import committed, matching, number, remove
+from orderloom.sources.sinks import empty, write_table
 
 BUCKET = "key_bucket"
 
@@ -91,17 +92,19 @@ def _fold_stream(
     schema: T.StructType,
     fold: Callable[[DataFrame | None, DataFrame], DataFrame],
 ) -> StreamingQuery:
-    stored = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
-
     def apply(batch: DataFrame, _: int) -> None:
-        batch = with_bucket(batch, keys, buckets, BUCKET)
-        target = _existing(batch.sparkSession, path, stored)
-        part = None
-        if target is not None:
-            part = touched_partitions(target, batch, BUCKET).drop(BUCKET)
+        spark = batch.sparkSession
+        versions, held = _current(spark, path, buckets)
+        batch = with_bucket(batch, keys, buckets, BUCKET).persist()
+        # At most ``buckets`` numbers.
+        touched = {r[0] for r in batch.select(BUCKET).distinct().collect()}
+        parts = [held[b] for b in sorted(touched) if b in held]
+        part = spark.read.schema(schema).parquet(*parts) if parts else None
         merged = with_bucket(fold(part, batch.drop(BUCKET)), keys, buckets, BUCKET)
-        # Written aside first: the table must not be replaced while it is being read.
-        replace_partitions(cut_lineage(merged, "merge"), path, [BUCKET])
+        version = max(versions, default=0) + 1
+        write_table(merged, f"{path}/buckets={buckets}/version={version}", [BUCKET])
+        batch.unpersist()
+        _remove_superseded(spark, path, buckets, version)
 
     return (
         arrivals.writeStream.foreachBatch(apply)
@@ -111,15 +114,36 @@ def _fold_stream(
     )
 
 
-def _existing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def _bucket_count(spark: SparkSession, path: str) -> int | None:
+    """The bucket count the table was made with; it is part of the folder names."""
+    return next((number(p) for p in matching(spark, f"{path}/buckets=*")), None)
+
+
+def _current(spark: SparkSession, path: str, buckets: int, before: int | None = None) -> tuple[set[int], dict[int, str]]:
+    """Committed versions (up to ``before``) and, per bucket, the folder of the last of them that wrote it."""
+    stored = _bucket_count(spark, path)
+    if stored not in (None, buckets):
+        raise ValueError(f"{path} has {stored} buckets, not {buckets}")
+    base = f"{path}/buckets={buckets}"
+    versions = {v for v in committed(spark, f"{base}/version=*") if before is None or v <= before}
+    held: dict[int, tuple[int, str]] = {}
+    for folder in matching(spark, f"{base}/version=*/{BUCKET}=*"):
+        version = number(folder.rsplit("/", 1)[0])
+        if version in versions:
+            held[number(folder)] = max(held.get(number(folder), (0, "")), (version, folder))
+    return versions, {b: folder for b, (_, folder) in held.items()}
+
+
+def _remove_superseded(spark: SparkSession, path: str, buckets: int, version: int) -> None:
+    """Remove what neither this version nor the one before it reads; a reader of that one goes on."""
+    used = {f for v in (version - 1, version) for f in _current(spark, path, buckets, v)[1].values()}
+    for folder in matching(spark, f"{path}/buckets={buckets}/version=*/{BUCKET}=*"):
+        if folder not in used:
+            remove(spark, folder)
 
 
 def current_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table at ``path`` without its bucket column."""
-    return spark.read.schema(schema).parquet(path).select(*[F.col(n) for n in schema.names])
+    """The table at ``path`` as of its last committed version, without its bucket column."""
+    buckets = _bucket_count(spark, path)
+    held = _current(spark, path, buckets)[1] if buckets else {}
+    return spark.read.schema(schema).parquet(*sorted(held.values())) if held else empty(spark, schema)

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from orderloom.operators.attributes import MAP, attribute_columns, attributes_map
 from orderloom.operators.dedup import first_and_last, keep_earliest, keep_first, keep_latest, ordering
-from orderloom.operators.history import scd2_as_of, scd2_current, scd2_merge
+from orderloom.operators.history import scd2_as_of, scd2_current, scd2_merge, scd2_run, scd2_schema, scd2_table
 from orderloom.operators.incremental import FLOOR, MARK, high_water, high_water_overall, increment
 from orderloom.operators.merge import (
     merge_ranked,
@@ -264,3 +264,33 @@ def test_attributes_last_duplicate_of_the_latest_payload_wins(spark, rows):
     got = {(r["brand"], r["order_id"]): r[MAP] for r in out.collect()}
     assert got == {("A", "1"): {"utm_source": "last", "orderType": "7"}, ("A", "2"): {}, ("A", "3"): {}, ("B", "1"): {}}
     assert rows(out.where("order_id = '1' and brand = 'A'").select(*attribute_columns()))[0][:4] == (None, "7", None, "last")
+
+
+def test_scd2_runs_on_a_table(spark, rows, tmp_path):
+    """Equal to the runs in one plan; a run that is repeated or broke off changes nothing; earlier runs are refused."""
+    path, schema = str(tmp_path / "h"), "k string, upd int, v string"
+    runs = [
+        [("a", 1, "a1"), ("b", 1, "b1")],
+        [("a", 2, "a2"), ("b", 0, "older"), ("c", 1, "c1")],
+        [("c", 5, "c5"), (None, 1, "n1")],
+    ]
+    history = None
+    for number, data in enumerate(runs):
+        current = spark.createDataFrame(data, schema)
+        history = scd2_merge(history, current, ["k"], "upd")
+        scd2_run(spark, path, number, current, ["k"], "upd")
+        kept = scd2_schema(current.schema, "upd")
+        assert rows(scd2_table(spark, path, kept)) == rows(history)
+    scd2_run(spark, path, 2, current, ["k"], "upd")
+    spark.createDataFrame([("z", 1, "half", 1, None)], kept).write.parquet(f"{path}/run=3/history_state=open")
+    assert rows(scd2_table(spark, path, kept)) == rows(history)
+    with pytest.raises(ValueError, match="comes after"):
+        scd2_run(spark, path, 1, current, ["k"], "upd")
+
+
+def test_append_adds_new_columns(spark, rows, tmp_path):
+    path = str(tmp_path / "log")
+    first = spark.createDataFrame([(1, "a")], "k int, v string")
+    append_increment(first, path)
+    append_increment(spark.createDataFrame([(2, 0.5)], "k long, w double"), path, first.schema)
+    assert rows(read_table(spark, path), "k", "v", "w") == [(1, "a", None), (2, None, 0.5)]

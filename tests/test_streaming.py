@@ -1,3 +1,5 @@
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from orderloom.operators.dedup import keep_first
@@ -63,3 +65,23 @@ def test_repeated_batch_changes_nothing(spark, rows, tmp_path):
     again = loads.read_arrivals(spark, str(tmp_path / "landing"), schema)
     loads.upsert_stream(again, path, str(tmp_path / "c2"), ["k"], newest(), buckets=4).awaitTermination()
     assert rows(loads.current_rows(spark, path, schema)) == before
+
+
+def test_another_bucket_count_is_refused(spark, rows, tmp_path):
+    path, schema = str(tmp_path / "t"), everything(spark).schema
+    arrive(spark, tmp_path, lambda s: loads.upsert_stream(s, path, str(tmp_path / "c1"), ["k"], newest(), buckets=4))
+    before = rows(loads.current_rows(spark, path, schema))
+    again = loads.read_arrivals(spark, str(tmp_path / "landing"), schema)
+    with pytest.raises(StreamingQueryException, match="4 buckets, not 8"):
+        loads.upsert_stream(again, path, str(tmp_path / "c2"), ["k"], newest(), buckets=8).awaitTermination()
+    assert rows(loads.current_rows(spark, path, schema)) == before
+
+
+def test_a_version_that_broke_off_is_not_read(spark, rows, tmp_path):
+    path, schema = tmp_path / "t", everything(spark).schema
+    arrive(spark, tmp_path, lambda s: loads.upsert_stream(s, str(path), str(tmp_path / "c"), ["k"], newest(), buckets=4))
+    before = rows(loads.current_rows(spark, str(path), schema))
+    versions = sorted((path / "buckets=4").glob("version=*"))
+    broken = path / "buckets=4" / f"version={len(versions) + 1}"
+    spark.createDataFrame([("a", 9, "half")], SCHEMA).write.parquet(str(broken / "key_bucket=0"))
+    assert rows(loads.current_rows(spark, str(path), schema)) == before
