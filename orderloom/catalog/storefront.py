@@ -132,9 +132,9 @@ def _refund_columns(records: DataFrame) -> DataFrame:
 def refunds_canonical(spark: SparkSession, sf: str) -> DataFrame:
     lineitem = _lineitem(spark, sf)
     replacement = D.storefront_refunds(lineitem, native=True).where(F.col("brand").isin(*D.MOVED))
+    feeds = [_legacy(spark, sf), _replacement(spark, sf)]
     known = R.known_orders(
-        S.stage_order_lines(_legacy(spark, sf)).where("source_name != 'marketplace'"),
-        S.stage_order_lines(_replacement(spark, sf)).where("source_name != 'marketplace'"),
+        *[f.where("source_name != 'marketplace'").select("brand", normalize_id(F.col("id")).alias("order_id")) for f in feeds]
     )
     out = R.canonical_refunds(
         R.refund_records(D.storefront_refunds(lineitem)), R.refund_records(replacement), known, D.MOVED
