@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +12,26 @@ from pyspark.sql import functions as F
 from orderloom.llm.bpe import SLICE, _worker
 
 
-def ranks_of(spark: SparkSession, path: str) -> dict[bytes, int]:
-    """Token bytes to id of a byte-level BPE tokenizer file (JSON of the tokenizers library).
+class Vocabulary(NamedTuple):
+    """Token bytes to id, and the literals that are one token wherever a text holds them."""
+
+    ranks: dict[bytes, int]
+    added: dict[str, int]
+
+
+def _added(path: str, entries: list[dict]) -> dict[str, int]:
+    """Added tokens of a tokenizer file; those that the library and tiktoken find in other places raise ValueError."""
+    added = {entry["content"]: entry["id"] for entry in entries if entry["content"]}
+    if flags := {flag for entry in entries for flag in ("lstrip", "rstrip", "single_word", "normalized") if entry.get(flag)}:
+        raise ValueError(f"{path}: added tokens with {', '.join(sorted(flags))}")
+    # Of two that begin at one place the library takes the longer, tiktoken any.
+    if any(a != b and b.startswith(a) for a in added for b in added):
+        raise ValueError(f"{path}: an added token begins with another")
+    return added
+
+
+def ranks_of(spark: SparkSession, path: str) -> Vocabulary:
+    """Tokens of a byte-level BPE tokenizer file (JSON of the tokenizers library), its added tokens included.
 
     Its merges must be in the order of the ids they make, as rank files require; else the ids would differ: ValueError.
     """
@@ -21,7 +40,8 @@ def ranks_of(spark: SparkSession, path: str) -> dict[bytes, int]:
     else:
         with open(path, encoding="utf-8") as file:
             text = file.read()
-    model = json.loads(text)["model"]
+    spec = json.loads(text)
+    model = spec["model"]
     merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
     made = [model["vocab"][a + b] for a, b in merges]
     if made != sorted(made):
@@ -31,30 +51,30 @@ def ranks_of(spark: SparkSession, path: str) -> dict[bytes, int]:
     others = [b for b in range(256) if b not in set(plain)]
     byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
     parts = {token for merge in merges for token in merge} | {a + b for a, b in merges} | set(byte)
-    return {bytes(byte[c] for c in token): model["vocab"][token] for token in parts}
+    return Vocabulary({bytes(byte[c] for c in token): model["vocab"][token] for token in parts}, _added(path, spec.get("added_tokens") or []))
 
 
 def token_pieces(
-    docs: DataFrame, ranks: dict[bytes, int], pattern: str, longest: int = 1024, end_id: int | None = 2, text: str = "text", width: int = 4
+    docs: DataFrame, ranks: Vocabulary, pattern: str, longest: int = 1024, end_id: int | None = 2, text: str = "text", width: int = 4
 ) -> DataFrame:
     """One row per piece of at most ``longest`` tokens: the other columns of ``docs``, ``piece``, ``start``, ``length``, ``ids``.
 
     ``ids`` are little-endian unsigned numbers of ``width`` bytes. Only texts of more tokens are cut; then all pieces but the first are
-    full. Null and empty texts have the end id alone, and no piece if there is none. Texts are read whole, rows one by one; repeated
-    rows give equal pieces. Columns named like an output are replaced.
+    full. Null and empty texts have the end id alone, and no piece if there is none. An added token is found inside texts, too. Texts are read whole,
+    rows one by one; repeated rows give equal pieces. Columns named like an output are replaced.
     """
     made = ["piece", "start", "length", "ids"]
     own = [c for c in docs.columns if c not in (*made, text)]
-    shared = docs.sparkSession.sparkContext.broadcast((ranks, pattern))
-    key = ("tokens", pattern, len(ranks), hash(frozenset(ranks.items())))
+    shared = docs.sparkSession.sparkContext.broadcast((*ranks, pattern))
+    key = ("tokens", pattern, *(hash(frozenset(ids.items())) for ids in ranks))
     types = (("piece", "int"), ("start", "long"), ("length", "long"), ("ids", "binary"))
     schema = docs.select(*own, *[F.lit(None).cast(kind).alias(name) for name, kind in types]).schema
 
     def build():
         import tiktoken
 
-        ranks, pattern = shared.value
-        return tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        ranks, added, pattern = shared.value
+        return tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
 
     def run(parts: Iterator) -> Iterator:
         import numpy as np
@@ -66,7 +86,7 @@ def token_pieces(
                 part = whole.slice(begin, SLICE)
                 rows, piece, start, length, ids = [], [], [], [], []
                 for row, body in enumerate(part.column(text).to_pylist()):
-                    tokens = encoding.encode_ordinary(body or "")
+                    tokens = encoding.encode(body or "", allowed_special="all", disallowed_special=())
                     if end_id is not None:
                         tokens.append(end_id)
                     data, cut = np.array(tokens, dtype=f"<u{width}"), 0

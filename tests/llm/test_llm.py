@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import json
 import random
 import re
 import zlib
@@ -186,6 +187,25 @@ def test_tokens_agree_with_the_library(spark, docs, corpus):
     assert got == want
 
 
+def test_added_tokens_in_texts(spark, tmp_path):
+    path, end = public_tokenizers.path("byte_bpe_50k.json"), "<|endoftext|>"
+    tokenizer = pytest.importorskip("tokenizers").Tokenizer.from_file(path)
+    texts = [f"a{end}b", end, f"{end}{end}", f" {end} \n {end}  é", f"one  {end}  two  ", "<|endoftext|", "<|ENDOFTEXT|>", f"<|endof{end}text|>", "plain", f"{'x ' * 300}{end}" * 3]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got: dict[int, list[int]] = {}
+    for r in sorted(tokens.token_pieces(docs, tokens.ranks_of(spark, path), public_tokenizers.PATTERN, 100).collect(), key=lambda r: (r.doc_id, r.start)):
+        got.setdefault(r.doc_id, []).extend(np.frombuffer(r.ids, "<u4").tolist())
+    assert got == {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 2] for i, t in enumerate(texts)}
+    assert got[0] == [64, 50256, 65, 2]
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    for change in ([{"lstrip": True}], [{"normalized": True}], [{}, {"content": f"{end}2", "id": 50257}]):
+        odd = spec | {"added_tokens": [spec["added_tokens"][0] | c for c in change]}
+        (tmp_path / "odd.json").write_text(json.dumps(odd))
+        with pytest.raises(ValueError, match="added token"):
+            tokens.ranks_of(spark, str(tmp_path / "odd.json"))
+
+
 def test_token_shards(spark, docs, tmp_path):
     ranks = tokens.ranks_of(spark, public_tokenizers.path("byte_bpe_50k.json"))
     pieces = tokens.token_pieces(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN, 32, width=2)
