@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderloom.llm.bpe import SLICE
 from orderloom.llm.common import cut_lineage, partitions, shared_folder
 from orderloom.llm.files import Committed, filesystem
 
@@ -100,7 +101,9 @@ def write(
     )
     dealt = both.repartitionByRange(tasks or partitions(spark), "key").sortWithinPartitions("key", "digest", "kind", "url")
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # Over Arrow, not pandas: there a whole number beside nulls becomes a double, exact to 2**53 only.
+    def run(parts: Iterator) -> Iterator:
+        import pyarrow as pa
         from pyspark import TaskContext
 
         shard, number = TaskContext.get().partitionId(), 0
@@ -110,20 +113,21 @@ def write(
 
         def closed():
             out.commit()
-            return pd.DataFrame([[*facts[:4], out.size, facts[4].hexdigest()]], columns=["file", "first_key", "records", "payload_bytes", "file_bytes", "file_sha256"])
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+            values = [pa.array([x], kind) for x, kind in zip([*facts[:4], out.size, facts[4].hexdigest()], kinds, strict=True)]
+            return pa.RecordBatch.from_arrays(values, names=[c.split()[0] for c in MANIFEST.split(", ")])
 
-        for part in parts:
-            for k, u, data, digest, leader, kind in zip(part["key"], part["url"], part["payload"], part["digest"], part["first"], part["kind"], strict=True):
-                k = None if pd.isna(k) else int(k)
+        slices = (whole.slice(at, SLICE) for whole in parts for at in range(0, whole.num_rows, SLICE))
+        for part in slices:
+            for k, u, data, digest, leader, kind in zip(*(part.column(c).to_pylist() for c in ("key", "url", "payload", "digest", "first", "kind")), strict=True):
                 if kind == 0:
-                    entry = (k, digest, None if pd.isna(leader) else int(leader))
+                    entry = (k, digest, leader)
                     continue
-                u = None if u is None or u != u else u
                 shared = entry is not None and entry[:2] == (k, digest)
                 copy = copy + 1 if last == (k, digest) else 0
                 last = (k, digest)
                 revisit = shared and (entry[2] != k or copy > 0)
-                data, b32 = bytes(data), base64.b32encode(bytes.fromhex(digest)).decode()
+                b32 = base64.b32encode(bytes.fromhex(digest)).decode()
                 record = _gzip(_record("revisit" if revisit else "response", k, u, data, b32, date, copy, entry[2] if revisit else None))
                 if out is not None and out.size + len(record) > roll_bytes:
                     yield closed()
@@ -138,7 +142,7 @@ def write(
         if out is not None:
             yield closed()
 
-    manifest = dealt.mapInPandas(run, MANIFEST)
+    manifest = dealt.mapInArrow(run, MANIFEST)
     manifest.write.mode("overwrite").parquet(f"{folder}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 

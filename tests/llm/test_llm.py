@@ -316,6 +316,21 @@ def test_warc(spark, tmp_path):
     assert warc.write(pages.limit(0), str(tmp_path / "d")).count() == 0 and warc.read(spark, str(tmp_path / "d")).count() == 0
 
 
+def test_warc_large_keys(spark, tmp_path):
+    low = (1 << 62) + 1
+    # Neighbours that a double cannot tell apart; a payload met thrice, one met twice, one under a null key only, one shared with a null key.
+    rows = [(low + i, f"http://a/{i}", body) for i, body in enumerate(["x", "y", "x", "z", "y", "x", "w"])]
+    rows += [(None, "http://n/0", "null only"), (None, "http://n/1", "z"), (-low, "http://a/low", "v"), (-low - 2, "http://a/lower", "v")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    first: dict[str, int | None] = {}
+    for i, _, body in rows:
+        first[body] = i if first.get(body) is None else first[body] if i is None else min(i, first[body])
+    manifest = warc.write(pages, str(tmp_path), tasks=1).collect()
+    assert [(m.first_key, m.records) for m in manifest] == [(None, len(rows))]
+    want = {(i, u, *(("response", None, body.encode()) if i == first[body] else ("revisit", first[body], None))) for i, u, body in rows}
+    assert {(r.key, r.url, r.record_type, r.refers_to, r.payload and bytes(r.payload)) for r in warc.read(spark, str(tmp_path)).collect()} == want
+
+
 def test_toxicity_held_out(spark, nothing):
     rnd = random.Random(9)
     bad = ["idiot", "scum", "loser"]
