@@ -132,7 +132,7 @@ def _refund_columns(records: DataFrame) -> DataFrame:
 def refunds_canonical(spark: SparkSession, sf: str) -> DataFrame:
     lineitem = _lineitem(spark, sf)
     replacement = D.storefront_refunds(lineitem, native=True).where(F.col("brand").isin(*D.MOVED))
-    feeds = [_legacy(spark, sf), _replacement(spark, sf)]
+    feeds = [S.orders_with_lines(_legacy(spark, sf)), S.orders_with_lines(_replacement(spark, sf))]
     known = R.known_orders(
         *[f.where("source_name != 'marketplace'").select("brand", normalize_id(F.col("id")).alias("order_id")) for f in feeds]
     )

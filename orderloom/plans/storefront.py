@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from orderloom.functions import keys as K
 from orderloom.functions.ids import normalize_id
 from orderloom.functions.money import nonzero, safe_divide, to_money
-from orderloom.functions.semi import array_sum, explode_array
+from orderloom.functions.semi import array_sum, explode_array, json_array
 from orderloom.functions.times import as_utc, to_pacific
 from orderloom.operators.attributes import ATTRIBUTES, MAP, attribute_columns, attributes_map
 from orderloom.operators.connectors import union_connectors
@@ -102,6 +102,11 @@ def stage_shipping_lines(
     return _finish(explode_shipping(orders, platforms.marketplace_tag, strict), allow)
 
 
+def orders_with_lines(orders: DataFrame) -> DataFrame:
+    """The raw orders that :func:`stage_order_lines` has rows of: their line payload parses and is not empty."""
+    return orders.where(F.size(json_array(orders, "line_items")[0]) > 0)
+
+
 def line_discounts(lines: DataFrame) -> DataFrame:
     """Discount total and discount per unit of each line's latest version."""
     discounts = ["line_item_discount_total", "line_item_discount_per_unit"]

@@ -257,6 +257,30 @@ def test_shipping_refund_counts_once(spark, rows):
     assert rows(check_refund_overlap(records), "brand", "order_id", "line_rows", "adjustment_rows", "overlap_rows") == [("A", "1", 1, 1, 1)]
 
 
+def test_refunds_of_orders_without_lines_are_left_out(spark, rows, monkeypatch):
+    from orderloom.catalog import storefront as catalog
+
+    folder = "/root/testdata/sf0.001"
+    whole = rows(catalog.refunds_canonical(spark, folder))
+    number = F.col("id").cast("decimal(38,0)").cast("bigint")
+    legacy, replacement = catalog._legacy(spark, folder), catalog._replacement(spark, folder)
+    bad = {0: "[]", 1: "[{", 2: None, 3: "", 4: "{}"}
+    text = F.col("line_items")
+    for rest, payload in (bad | {5: "[1, null]", 6: '[{"id": {}, "quantity": "x"}]'}).items():
+        text = F.when(number % 9 == rest, F.lit(payload)).otherwise(text)
+    none = F.when(number % 2 == 0, F.expr("filter(line_items, x -> false)"))
+    native = F.when(number % 9 < len(bad), none).otherwise(F.col("line_items"))
+    damaged = [legacy.withColumn("line_items", text), replacement.withColumn("line_items", native)]
+    for raw in damaged:
+        staged = S.stage_order_lines(raw).select("brand", "order_id").distinct()
+        assert rows(staged) == rows(R.known_orders(S.orders_with_lines(raw).withColumn("order_id", number.cast("string"))))
+    monkeypatch.setattr(catalog, "_legacy", lambda *_: damaged[0])
+    monkeypatch.setattr(catalog, "_replacement", lambda *_: damaged[1])
+    out = catalog.refunds_canonical(spark, folder)
+    left = [r for r in whole if int(r[out.columns.index("order_id")]) % 9 >= len(bad)]
+    assert rows(out) == left and 0 < len(left) < len(whole)
+
+
 def test_reconcile(spark, rows):
     schema = "k string, amount bigint"
     old = spark.createDataFrame([("same", 1), ("diff", 1), ("old", 1), ("dup", 2), ("dup", 3), (None, 1)], schema)
