@@ -2,8 +2,9 @@
 
 Each stage takes all rows its predecessor kept and returns the columns of ``documents``; the last returns the packed pieces. Near
 duplicates are texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, directly or through others; the one with the smallest
-doc_id stays. Null and empty texts are no toxicity, fail the quality rules and so leave there. Other columns are carried along unchanged, except
-``n_chars``, which follows the text when passages are cut. Empty tables stay empty.
+doc_id stays, null ids last, and of equal ids the one with the smallest hash of its text. Null and empty texts are no toxicity, fail the quality rules
+and so leave there. Other columns are carried along unchanged, except ``n_chars``, which follows the text when passages are cut. Empty tables stay
+empty.
 """
 
 from __future__ import annotations
@@ -29,10 +30,10 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group the document with the smallest id stays, once if its row is repeated."""
-    groups = jaccard_join.jaccard_components(docs, words=5, percent=80)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    """Of each group the document with the smallest id stays, once if its row is repeated; of different texts with that id, one."""
+    first = jaccard_join.jaccard_firsts(docs, words=5, percent=80).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & jaccard_join.text_hash().eqNullSafe(F.col("_hash"))
+    kept = docs.join(first, same, "left_semi")
     return kept.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
 
 

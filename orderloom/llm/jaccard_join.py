@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import cut_lineage, partitions
@@ -83,9 +83,16 @@ def counts(members: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount(group, minlength=DIMENSIONS), FULL).astype(np.int16)
 
 
-def _sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """Per row: key, set size, digest and point of the set."""
-    schema = docs.select(F.col(key).alias("key"), F.lit(0).cast("long").alias("n"), F.lit(b"").alias("node"), F.array().cast("array<smallint>").alias("point")).schema
+def text_hash(text: str = "text") -> Column:
+    """What tells texts under one key apart; null for null."""
+    return F.sha2(F.col(text).cast("binary"), 256)
+
+
+def _sets(docs: DataFrame, key: str, text: str, words: int, hashed: bool = False) -> DataFrame:
+    """Per row: key, set size, digest and point of the set, and if ``hashed`` the hash of its text."""
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("_text"), *([text_hash(text).alias("hash")] if hashed else []))
+    own = [c for c in rows.columns if c != "_text"]
+    schema = rows.select(*own, F.lit(0).cast("long").alias("n"), F.lit(b"").alias("node"), F.array().cast("array<smallint>").alias("point")).schema
 
     def run(parts: Iterator) -> Iterator:
         import pyarrow as pa
@@ -93,13 +100,13 @@ def _sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
         for whole in parts:
             for start in range(0, whole.num_rows, 512):
                 part = whole.slice(start, 512)
-                sets = [shingle_set(body, words) for body in part.column(1).to_pylist()]
+                sets = [shingle_set(body, words) for body in part.column("_text").to_pylist()]
                 points = pa.array(np.concatenate([counts(x) for x in sets]), pa.int16())
                 offsets = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * DIMENSIONS)
-                arrays = [part.column(0), pa.array([x.size for x in sets], pa.int64()), pa.array([digest(x) for x in sets], pa.binary()), pa.ListArray.from_arrays(offsets, points)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["key", "n", "node", "point"])
+                arrays = [pa.array([x.size for x in sets], pa.int64()), pa.array([digest(x) for x in sets], pa.binary()), pa.ListArray.from_arrays(offsets, points)]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in own), *arrays], names=[*own, "n", "node", "point"])
 
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("_text")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def _marks(docs: DataFrame, text: str, words: int, percent: int) -> DataFrame:
@@ -274,19 +281,13 @@ def _links(members: DataFrame, percent: int, sets: Callable[[DataFrame], DataFra
     return dealt.mapInPandas(run, f"a {kind}, b {kind}")
 
 
-def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, percent: int = 90) -> DataFrame:
-    """Per row of ``docs``: the key, ``n_shingles`` and ``component_id``, the smallest key reachable by links, its own included.
-
-    Two texts link when 100 * overlap >= percent * union of their shingle sets. Null and empty texts, and those without words, have no shingles and
-    no links; their component is their own key. Repeated rows and texts with equal sets share a component. A null key counts as larger than any
-    other; a component of null keys only has a null id. Texts are read whole; an empty table stays empty; other columns play no part.
-    """
-    table = cut_lineage(_sets(docs, key, text, words), "sets")
-    nodes = table.where("n > 0").groupBy("node").agg(F.min("key").alias("key"), F.min("n").alias("n"), F.any_value("point").alias("point"))
+def _roots(docs: DataFrame, nodes: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
+    """``root`` of the component per node, with the other columns of ``nodes`` (node, key, n, point and more)."""
     # Along the rank: size, then members in half the groups, then chance; distinct for distinct sets.
     half = F.aggregate(F.slice("point", 1, DIMENSIONS // 2), F.lit(0), lambda s, x: s + x.cast("int"))
     chance = F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / (1 << 20)
-    nodes = cut_lineage(nodes.select("node", "key", "n", "point", (F.col("n") + (half + chance) / (F.col("n") + 1)).alias("rank"), F.xxhash64("node").alias("short")), "nodes")
+    own = [c for c in nodes.columns if c not in ("n", "point")]
+    nodes = cut_lineage(nodes.select(*own, "n", "point", (F.col("n") + (half + chance) / (F.col("n") + 1)).alias("rank"), F.xxhash64("node").alias("short")), "nodes")
 
     marks = _marks(docs, text, words, percent).select(F.xxhash64("node").alias("short"), F.explode("marks").alias("mark")).where("mark is not null")
     dealt = marks.repartition(partitions(docs.sparkSession), "mark")
@@ -295,13 +296,41 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     shared = cut_lineage(dealt.join(buckets, "mark").distinct(), "buckets")
     lean = shared.join(nodes.select("short", "n", "point", "rank"), "short").select(F.col("mark").alias("block"), F.col("short").alias("node"), "n", "rank", "point")
     maybe = components(_links(lean, percent), "a", "b")
-    wanted = nodes.join(maybe.select(F.col("node").alias("short"), F.col("root").alias("block")), "short").drop("short")
+    plain = nodes.select("node", "key", "n", "point", "rank", "short")
+    wanted = plain.join(maybe.select(F.col("node").alias("short"), F.col("root").alias("block")), "short").drop("short")
     wanted = cut_lineage(wanted, "wanted")
 
     # Only now, and only for candidates, the sets: made from the texts where these meet their tiles.
     found = components(_links(wanted, percent, lambda rows: _members(docs, rows, key, text, words)), "a", "b")
-    roots = nodes.select("node", "key").join(found, "node", "left").select("node", "key", F.coalesce("root", "node").alias("root"))
+    return nodes.select(*own).join(found, "node", "left").select(*own, F.coalesce("root", "node").alias("root"))
+
+
+def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, percent: int = 90) -> DataFrame:
+    """Per row of ``docs``: the key, ``n_shingles`` and ``component_id``, the smallest key reachable by links, its own included.
+
+    Two texts link when 100 * overlap >= percent * union of their shingle sets. Null and empty texts, and those without words, have no shingles and
+    no links; their component is their own key. Repeated rows and texts with equal sets share a component. A null key counts as larger than any
+    other; a component of null keys only has a null id. Texts are read whole; an empty table stays empty; other columns play no part.
+    """
+    table = cut_lineage(_sets(docs, key, text, words), "sets")
+    nodes = table.where("n > 0").groupBy("node").agg(F.min("key").alias("key"), F.min("n").alias("n"), F.any_value("point").alias("point"))
+    roots = _roots(docs, nodes, key, text, words, percent)
     smallest = roots.groupBy("root").agg(F.min("key").alias("component_id"))
     named = roots.join(smallest, "root").select("node", "component_id")
     out = table.select("key", "n", "node").join(named, "node", "left")
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"))
+
+
+def jaccard_firsts(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, percent: int = 90) -> DataFrame:
+    """Per component of :func:`jaccard_components` the key and the ``text_hash`` of one row: the smallest key, null last, then the smallest hash.
+
+    Components are told apart by their sets, not by their ids, so keys may be shared or null. Texts without shingles are each a component of their own,
+    those under equal keys with equal texts once.
+    """
+    table = cut_lineage(_sets(docs, key, text, words, hashed=True), "sets")
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "hash"))
+    nodes = table.where("n > 0").groupBy("node").agg(first.alias("first"), F.min("n").alias("n"), F.any_value("point").alias("point"))
+    roots = _roots(docs, nodes.select("node", "first.key", "n", "point", "first"), key, text, words, percent)
+    firsts = roots.groupBy("root").agg(F.min("first").alias("first")).select("first.key", "first.hash")
+    alone = table.where("n = 0").select("key", "hash").distinct()
+    return firsts.union(alone).select(F.col("key").alias(key), F.col("hash").alias("text_hash"))

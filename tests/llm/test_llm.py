@@ -352,6 +352,23 @@ def test_toxicity_held_out(spark, nothing):
     assert toxicity.score(docs, empty).count() == len(rows) and toxicity.score(nothing, model).count() == 0
 
 
+def test_one_document_of_each_group(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rnd = random.Random(12)
+    base = [words(rnd, 60) for _ in range(6)]
+    near = [f"{text} more" for text in base]
+    rows = [(1, base[0]), (1, near[0]), (1, base[0]), (1, base[1])]  # an id with two near copies, one of them twice, and with another text
+    rows += [(0, near[1]), (5, base[2]), (5, near[2].replace("a", "A")), (5, base[2].replace("a", "A"))]  # a group headed by another id; two texts of one set
+    rows += [(None, base[3]), (None, near[3]), (None, base[4]), (7, near[4]), (None, base[5]), (None, ""), (None, None), (8, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], DOCS)
+    out = pipeline.drop_near_duplicates(spark, docs, "")
+    assert out.columns == docs.columns
+    got = Counter((r.doc_id, r.text) for r in out.collect())
+    low = {i: min((t for j, t in rows if j == i and t and t.lower().startswith(base[b])), key=lambda t: hashlib.sha256(t.encode()).hexdigest()) for i, b in ((1, 0), (5, 2), (None, 3))}
+    want = [*low.items(), (0, near[1]), (7, near[4]), (None, base[5]), (None, ""), (None, None), (8, "")]
+    assert got == Counter(want)
+
+
 def test_pipeline_stages(spark, docs, nothing, tmp_path):
     pipeline = pytest.importorskip("corpus_pipeline")
     for name, table in (("some", docs), ("none", nothing)):
