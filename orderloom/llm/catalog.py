@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, embedding_dedup, jaccard_join, packing, quality_rules, suffix_dedup, token_output, tokens, toxicity, url_filters, warc
+from orderloom.llm import (
+    bpe, collocations, embedding_dedup, jaccard_join, lexical_search, packing, quality_classifier, quality_rules, suffix_dedup, token_output, tokens, toxicity, twins, url_filters, warc,
+)
 from orderloom.llm.common import cut_lineage, read_table, shared_folder
 
 
@@ -85,5 +87,25 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op2_best_fit_packing, op3_embedding_dedup, op4_suffix_dedup, op5_byte_bpe, op6_jaccard_join, op7_token_output, op8_quality_rules, op9_warc, op10_toxicity)}
-ORACLES: dict[str, str] = {}
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").where(~toxicity.held_out()).select("doc_id", "quality")
+    scored = quality_classifier.score(docs, quality_classifier.fit(docs, labels), into="score")
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build(read_table(spark, sf_dir, "documents"))
+    return lexical_search.search(spark, index, read_table(spark, sf_dir, "benchmark"))
+
+
+_ALL = (
+    op1_url_filters, op2_best_fit_packing, op3_embedding_dedup, op4_suffix_dedup, op5_byte_bpe, op6_jaccard_join, op7_token_output, op8_quality_rules, op9_warc, op10_toxicity,
+    op11_quality_classifier, op12_collocations, op13_lexical_search,
+)
+QUERIES = {f.__name__: f for f in _ALL}
+ORACLES = {"op12_collocations": twins.COLLOCATIONS, "op13_lexical_search": twins.LEXICAL_SEARCH}
