@@ -88,10 +88,10 @@ def text_hash(text: str = "text") -> Column:
     return F.sha2(F.col(text).cast("binary"), 256)
 
 
-def _sets(docs: DataFrame, key: str, text: str, words: int, hashed: bool = False) -> DataFrame:
-    """Per row: key, set size, digest and point of the set, and if ``hashed`` the hash of its text."""
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("_text"), *([text_hash(text).alias("hash")] if hashed else []))
-    own = [c for c in rows.columns if c != "_text"]
+def _sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """Per row: key, hash of its text, set size, digest and point of the set."""
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("_text"), text_hash(text).alias("hash"))
+    own = ["key", "hash"]
     schema = rows.select(*own, F.lit(0).cast("long").alias("n"), F.lit(b"").alias("node"), F.array().cast("array<smallint>").alias("point")).schema
 
     def run(parts: Iterator) -> Iterator:
@@ -136,24 +136,20 @@ def _marks(docs: DataFrame, text: str, words: int, percent: int) -> DataFrame:
 
 
 def _members(docs: DataFrame, wanted: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """``wanted`` (key of one of its texts, node and more) with the sets of the nodes."""
-    texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    """``wanted`` (key and hash of one of its texts, node and more) with the sets of the nodes; keys may be shared or null."""
+    texts = docs.select(F.col(key).alias("_key"), text_hash(text).alias("_hash"), F.col(text).alias("_text"))
     # Merged at every size: below the broadcast threshold a small run would not show what a large one moves.
     carried = wanted.columns
-    texts = texts.hint("merge").join(wanted, F.col("_key").eqNullSafe(F.col("key"))).select(*carried, "_text")
+    texts = texts.hint("merge").join(wanted, (F.col("_hash") == F.col("hash")) & F.col("_key").eqNullSafe(F.col("key"))).select(*carried, "_text")
 
     def run(parts: Iterator) -> Iterator:
         import pyarrow as pa
-        import pyarrow.compute as pc
 
         for whole in parts:
             for start in range(0, whole.num_rows, 512):
                 part = whole.slice(start, 512)
-                sets = [shingle_set(body, words) for body in part.column("_text").to_pylist()]
-                # A repeated key may stand for other texts, too.
-                same = pc.equal(part.column("node"), pa.array([digest(x) for x in sets], pa.binary()))
-                made = pa.RecordBatch.from_arrays([*(part.column(c) for c in carried), pa.array([x.tobytes() for x in sets], pa.binary())], names=[*carried, "members"])
-                yield made.filter(same)
+                sets = [shingle_set(body, words).tobytes() for body in part.column("_text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in carried), pa.array(sets, pa.binary())], names=[*carried, "members"])
 
     return texts.mapInArrow(run, wanted.select("*", F.lit(b"").alias("members")).schema)
 
@@ -240,7 +236,7 @@ def _links(members: DataFrame, percent: int, sets: Callable[[DataFrame], DataFra
     large = tiled.join(tiled.where("tile > 0").select("block").distinct(), "block", "left_semi")
     pairs = cut_lineage(_tile_pairs(large, percent), "pairs")
     sides = pairs.select("block", "a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("tile"))
-    columns = ["block", "a", "b", "tile", "node", "n", "point", *(["key"] if verified else [])]
+    columns = ["block", "a", "b", "tile", "node", "n", "point", *(["key", "hash"] if verified else [])]
     zero = F.lit(0).cast("long")
     single = tiled.join(large.select("block").distinct(), "block", "left_anti").select("*", zero.alias("a"), zero.alias("b"))
     rows = single.select(*columns).union(large.join(sides, ["block", "tile"]).select(*columns))
@@ -251,7 +247,8 @@ def _links(members: DataFrame, percent: int, sets: Callable[[DataFrame], DataFra
         held: list = []
 
         def done() -> list[tuple]:
-            group = pd.concat(held) if len(held) > 1 else held[0]
+            # Rows of docs that are repeated whole bring their set as often.
+            group = (pd.concat(held) if len(held) > 1 else held[0]).drop_duplicates(["tile", "node"])
             tile, a, b = group["tile"].to_numpy(), group["a"].iloc[0], group["b"].iloc[0]
             left = np.flatnonzero(tile == a)
             right = left if a == b else np.flatnonzero(tile == b)
@@ -282,7 +279,7 @@ def _links(members: DataFrame, percent: int, sets: Callable[[DataFrame], DataFra
 
 
 def _roots(docs: DataFrame, nodes: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
-    """``root`` of the component per node, with the other columns of ``nodes`` (node, key, n, point and more)."""
+    """``root`` of the component per node, with the other columns of ``nodes`` (node, key, hash, n, point and more)."""
     # Along the rank: size, then members in half the groups, then chance; distinct for distinct sets.
     half = F.aggregate(F.slice("point", 1, DIMENSIONS // 2), F.lit(0), lambda s, x: s + x.cast("int"))
     chance = F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / (1 << 20)
@@ -296,7 +293,7 @@ def _roots(docs: DataFrame, nodes: DataFrame, key: str, text: str, words: int, p
     shared = cut_lineage(dealt.join(buckets, "mark").distinct(), "buckets")
     lean = shared.join(nodes.select("short", "n", "point", "rank"), "short").select(F.col("mark").alias("block"), F.col("short").alias("node"), "n", "rank", "point")
     maybe = components(_links(lean, percent), "a", "b")
-    plain = nodes.select("node", "key", "n", "point", "rank", "short")
+    plain = nodes.select("node", "key", "hash", "n", "point", "rank", "short")
     wanted = plain.join(maybe.select(F.col("node").alias("short"), F.col("root").alias("block")), "short").drop("short")
     wanted = cut_lineage(wanted, "wanted")
 
@@ -305,6 +302,13 @@ def _roots(docs: DataFrame, nodes: DataFrame, key: str, text: str, words: int, p
     return nodes.select(*own).join(found, "node", "left").select(*own, F.coalesce("root", "node").alias("root"))
 
 
+def _nodes(table: DataFrame) -> DataFrame:
+    """A row per distinct set, with the key and hash of the first text that has it."""
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "hash")).alias("first")
+    nodes = table.where("n > 0").groupBy("node").agg(first, F.min("n").alias("n"), F.any_value("point").alias("point"))
+    return nodes.select("node", "first.key", "first.hash", "n", "point", "first")
+
+
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, percent: int = 90) -> DataFrame:
     """Per row of ``docs``: the key, ``n_shingles`` and ``component_id``, the smallest key reachable by links, its own included.
 
@@ -313,8 +317,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     other; a component of null keys only has a null id. Texts are read whole; an empty table stays empty; other columns play no part.
     """
     table = cut_lineage(_sets(docs, key, text, words), "sets")
-    nodes = table.where("n > 0").groupBy("node").agg(F.min("key").alias("key"), F.min("n").alias("n"), F.any_value("point").alias("point"))
-    roots = _roots(docs, nodes, key, text, words, percent)
+    roots = _roots(docs, _nodes(table), key, text, words, percent)
     smallest = roots.groupBy("root").agg(F.min("key").alias("component_id"))
     named = roots.join(smallest, "root").select("node", "component_id")
     out = table.select("key", "n", "node").join(named, "node", "left")
@@ -327,10 +330,8 @@ def jaccard_firsts(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     Components are told apart by their sets, not by their ids, so keys may be shared or null. Texts without shingles are each a component of their own,
     those under equal keys with equal texts once.
     """
-    table = cut_lineage(_sets(docs, key, text, words, hashed=True), "sets")
-    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "hash"))
-    nodes = table.where("n > 0").groupBy("node").agg(first.alias("first"), F.min("n").alias("n"), F.any_value("point").alias("point"))
-    roots = _roots(docs, nodes.select("node", "first.key", "n", "point", "first"), key, text, words, percent)
+    table = cut_lineage(_sets(docs, key, text, words), "sets")
+    roots = _roots(docs, _nodes(table), key, text, words, percent)
     firsts = roots.groupBy("root").agg(F.min("first").alias("first")).select("first.key", "first.hash")
     alone = table.where("n = 0").select("key", "hash").distinct()
     return firsts.union(alone).select(F.col("key").alias(key), F.col("hash").alias("text_hash"))

@@ -3,8 +3,8 @@
 A Feistel network with cycle-walking permutes the numbers of the sequences inside a fixed span without any table. As the permuted numbers are
 even over the span, the splitters of the range partitions are known beforehand: a shard is a range of them and one task's file. A
 sequence's slot is its rank in that order: the shard's first slot, from the manifest, and its place in the shard. A record is its number of tokens (4 bytes)
-and ``seq_len`` ids, padded, so place p lies at p * stride: readers start at any slot, and a repeated write skips shards that are there. Sequences
-go from the tokenizer through one shuffle into the shards; they are not stored in between.
+and ``seq_len`` ids, padded, so place p lies at p * stride: readers start at any slot. Sequences go from the tokenizer through one shuffle into
+the shards; they are not stored in between. A write makes a run of its own below the folder; its manifest commits it, and readers see the last run that was committed.
 """
 
 from __future__ import annotations
@@ -19,10 +19,11 @@ from pyspark.sql.window import Window
 
 from orderloom.llm.common import cut_lineage, partitions
 from orderloom.llm.files import Committed, filesystem
+from orderloom.sources.folders import committed, matching, number, remove
 
 MANIFEST = "shard long, file string, first_slot long, records long, file_bytes long, stride long, width int"
 ROUNDS = 6
-#: Numbers of rows are (task << 33) + place; this span holds those of 400 million tasks.
+#: Numbers of rows are hashes of 61 bits, below this span.
 SPAN = 3 << 60
 
 
@@ -58,43 +59,44 @@ def training_order(number: Column, key: int) -> Column:
 def write(sequences: DataFrame, folder: str, key: int, seq_len: int, keys: list[str], shards: int | None = None, width: int = 2, pad_id: int = 0, ids: str = "ids") -> DataFrame:
     """Write ``sequences`` to shards below ``folder``; return the index: ``keys``, ``length``, ``slot``, ``shard`` and ``byte_offset``.
 
-    ``ids`` are little-endian numbers of ``width`` bytes; null is an empty sequence, more than ``seq_len`` tokens are an error. Repeated rows are
-    sequences of their own. An empty table gives no shard and an empty index. The numbers come from the place of a row in the
-    task that reads it, so the same files read in the same splits give the same order, also when tasks are run again.
+    ``ids`` are little-endian numbers of ``width`` bytes; null is an empty sequence, more than ``seq_len`` tokens are an error. A row's number is a hash
+    of its ``keys`` and ids, so the order hangs on the rows and on ``key`` alone, not on files, splits or tasks; rows of equal numbers lie by keys and ids, and repeated
+    rows, sequences of their own, side by side. An empty table gives no shard and an empty index.
+
+    A folder may be used again, with any key and rows: shards of a run that broke off are never read, and a commit removes all runs but the one before.
     """
     spark = sequences.sparkSession
     shards, stride = shards or partitions(spark), 4 + seq_len * width
     own = [F.col(k) for k in keys]
-    numbered = sequences.select(*own, F.coalesce(ids, F.lit(b"")).alias("_ids"), F.monotonically_increasing_id().alias("_number"))
+    hashed = F.xxhash64(*own, F.coalesce(F.col(ids), F.lit(b"")))
+    numbered = sequences.select(*own, F.coalesce(ids, F.lit(b"")).alias("_ids"), F.shiftrightunsigned(hashed, 3).alias("_number"))
     ordered = numbered.withColumn("_order", training_order(F.col("_number"), key)).drop("_number")
     # Both shifted so that the product fits.
     shard = F.expr(f"cast(shiftright(_order, 24) * {shards} div {SPAN >> 24} as int)")
-    dealt = ordered.withColumn("_shard", shard).repartitionById(shards, "_shard").sortWithinPartitions("_order")
+    dealt = ordered.withColumn("_shard", shard).repartitionById(shards, "_shard").sortWithinPartitions("_order", *own, "_ids")
+    run_number = max((number(p) for p in matching(spark, f"{folder}/shards/run=*")), default=0) + 1
+    place = f"{folder}/shards/run={run_number}"
     schema = dealt.select(*own, F.lit(0).cast("long").alias("length"), F.lit(0).cast("long").alias("shard"), F.lit(0).cast("long").alias("place")).schema
 
     def run(parts: Iterator) -> Iterator:
         import pyarrow as pa
 
-        out, name, records = None, "", 0
+        out, records = None, 0
         for part in parts:
             if not part.num_rows:
                 continue
-            number = part.column("_shard")[0].as_py()
-            if not name:
-                name = f"{folder}/shard-{number:06d}.bin"
-                system, path = filesystem(name)
-                out = None if system.get_file_info(path).is_file else Committed(name)
+            shard_number = part.column("_shard")[0].as_py()
+            out = out or Committed(f"{place}/shard-{shard_number:06d}.bin")
             sizes = []
             for data in part.column("_ids").to_pylist():
                 size = len(data) // width
                 if size > seq_len:
                     raise ValueError(f"a sequence of {size} tokens does not fit {seq_len}")
                 sizes.append(size)
-                if out is not None:
-                    out.write(size.to_bytes(4, "little") + data + np.full(seq_len - size, pad_id, dtype=f"<u{width}").tobytes())
+                out.write(size.to_bytes(4, "little") + data + np.full(seq_len - size, pad_id, dtype=f"<u{width}").tobytes())
             places = np.arange(records, records + len(sizes))
             records += len(sizes)
-            arrays = [pa.array(sizes, pa.int64()), pa.array(np.full(len(sizes), number), pa.int64()), pa.array(places, pa.int64())]
+            arrays = [pa.array(sizes, pa.int64()), pa.array(np.full(len(sizes), shard_number), pa.int64()), pa.array(places, pa.int64())]
             yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keys), *arrays], names=[*keys, "length", "shard", "place"])
         if out is not None:
             out.commit()
@@ -104,18 +106,29 @@ def write(sequences: DataFrame, folder: str, key: int, seq_len: int, keys: list[
     # One row per shard.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     manifest = counts.select(
-        "shard", F.format_string("shard-%06d.bin", "shard").alias("file"), F.coalesce(F.sum("records").over(before), F.lit(0)).alias("first_slot"), "records",
+        "shard", F.format_string(f"shards/run={run_number}/shard-%06d.bin", "shard").alias("file"), F.coalesce(F.sum("records").over(before), F.lit(0)).alias("first_slot"), "records",
         (F.col("records") * stride).alias("file_bytes"), F.lit(stride).cast("long").alias("stride"), F.lit(width).alias("width"),
     )
-    manifest.write.mode("overwrite").parquet(f"{folder}/manifest")
-    first = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").select("shard", "first_slot")
+    manifest.write.mode("overwrite").parquet(f"{folder}/manifest/run={run_number}")
+    for old in (p for kind in ("shards", "manifest") for p in matching(spark, f"{folder}/{kind}/run=*")):
+        if number(old) < max((r for r in committed(spark, f"{folder}/manifest/run=*") if r < run_number), default=run_number):
+            remove(spark, old)
+    first = _manifest(spark, folder).select("shard", "first_slot")
     found = index.join(first, "shard")
     return found.select(*keys, "length", (F.col("first_slot") + F.col("place")).alias("slot"), "shard", (F.col("place") * stride).alias("byte_offset"))
 
 
+def _manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The shards of the last committed run."""
+    runs = committed(spark, f"{folder}/manifest/run=*")
+    if not runs:
+        raise FileNotFoundError(f"{folder} holds no committed run")
+    return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest/run={max(runs)}")
+
+
 def read(spark: SparkSession, folder: str, from_slot: int = 0) -> DataFrame:
     """``slot``, ``shard``, ``byte_offset``, ``length`` and ``ids`` from a slot on, each shard read in sequence."""
-    manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
+    manifest = _manifest(spark, folder)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:

@@ -109,7 +109,7 @@ def labelled_urls(split: DataFrame, rules: Sequence[tuple[str, str]], max_rows:
 
 
 def url_filter(docs: DataFrame, url: str = "url", rules: Sequence[tuple[str, str]] = RULES, max_rows: int = 4000) -> DataFrame:
-    """``docs`` with ``host``, ``path``, ``rule``, ``score`` (chance that the url is to be blocked) and ``verdict``.
+    """``docs`` with ``host``, ``path``, ``rule``, ``verdict`` and ``score`` (chance that the url is to be blocked).
 
     A rule's verdict wins; else a score of 0.5 or more blocks. Null urls and those without ``://`` have an empty host and
     path and are scored as such. Every row is judged alone, so repeated rows agree. Without urls that a rule decides, or with an
@@ -123,4 +123,4 @@ def url_filter(docs: DataFrame, url: str = "url", rules: Sequence[tuple[str, str
     name, verdict = rule(rules)
     scored = parts(base, url).withColumn("_places", features())
     scored = scored.select(*own, "host", "path", name.alias("rule"), verdict.alias("_says"), (1 / (1 + F.exp(-_margin(F.col("_places"), weights, bias)))).alias("score"))
-    return scored.select(*own, "host", "path", "rule", "score", F.coalesce("_says", F.when(F.col("score") >= 0.5, "block").otherwise("allow")).alias("verdict"))
+    return scored.select(*own, "host", "path", "rule", F.coalesce("_says", F.when(F.col("score") >= 0.5, "block").otherwise("allow")).alias("verdict"), "score")

@@ -218,7 +218,7 @@ def test_token_shards(spark, docs, tmp_path):
     late = token_output.read(spark, str(tmp_path / "a"), from_slot=40).collect()
     assert {r.slot: bytes(r.ids) for r in late} == {s: x for s, x in back.items() if s >= 40}
     for r in index:
-        with open(tmp_path / "a" / f"shard-{r.shard:06d}.bin", "rb") as file:
+        with open(tmp_path / "a" / "shards" / "run=2" / f"shard-{r.shard:06d}.bin", "rb") as file:
             file.seek(r.byte_offset)
             assert int.from_bytes(file.read(4), "little") == r.length
     for total in (1, 2, 5, 100, 1025):
@@ -226,6 +226,35 @@ def test_token_shards(spark, docs, tmp_path):
     assert token_output.write(pieces.limit(0), str(tmp_path / "b"), 7, 32, ["doc_id"], shards=2).count() == 0
 
 
+def test_a_shard_folder_is_used_again(spark, docs, tmp_path, monkeypatch):
+    """Other splits give the same order, another key and other rows theirs; a broken run is never read; old runs go."""
+    ranks = tokens.ranks_of(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    # A null id and null tokens are rows like others.
+    rows = tokens.token_pieces(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN, 32, width=2).select("doc_id", "piece", "ids")
+    rows = spark.createDataFrame([*rows.collect(), (None, 0, None), (None, 0, b"\1\0")], rows.schema)
+    folder = str(tmp_path / "again")
+
+    def written(table, key, shards=3):
+        index = token_output.write(table, folder, key, 32, ["doc_id", "piece"], shards=shards).collect()
+        back = {r.slot: bytes(r.ids) for r in token_output.read(spark, folder).collect()}
+        assert sorted(back) == sorted(r.slot for r in index) == list(range(table.count()))
+        assert Counter((r.doc_id, r.piece, back[r.slot]) for r in index) == Counter((r.doc_id, r.piece, bytes(r.ids or b"")) for r in table.collect())
+        return [back[slot] for slot in sorted(back)]
+
+    first = written(rows.repartition(2), 7)
+    assert written(rows.repartition(9), 7) == first and written(rows.repartition(9), 7, shards=5) == first
+    other = written(rows, 8)
+    assert other != first and Counter(other) == Counter(first)
+    written(rows.where("doc_id % 2 = 0"), 8)
+    with pytest.raises(Exception, match="does not fit"):
+        token_output.write(rows, folder, 7, 2, ["doc_id", "piece"], shards=3)
+    assert token_output.read(spark, folder).count() == rows.where("doc_id % 2 = 0").count()
+    assert written(rows, 7) == first
+    assert len(list((tmp_path / "again" / "shards").iterdir())) <= 3
+    with pytest.raises(FileNotFoundError):
+        token_output.read(spark, str(tmp_path / "never"))
+
+
 def test_bpe_round_trip(spark, docs, corpus, nothing):
     tiktoken = pytest.importorskip("tiktoken")
     ranks = bpe.load_ranks(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -369,6 +398,38 @@ def test_one_document_of_each_group(spark):
     assert got == Counter(want)
 
 
+def test_pipeline_keeps_columns_of_any_name(spark, docs, tmp_path):
+    """Names that the operators use inside, or give to their results, are ordinary columns of the input."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    names = ["n_words", "kept", "spans", "_id", "_hash", "_row", "_toxicity", "toxicity", "node", "key", "carried", "a.b", "n_bytes", "_text", "_words", "measure", "hash"]
+    table = docs.select("*", *[pipeline.F.concat_ws(":", pipeline.F.lit(n), pipeline.F.col("doc_id").cast("string")).alias(n) for n in names])
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 0), (2, 0), (3, 0), (12, 0), (65, 1)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = plain = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    plain = plain.select(*docs.columns)
+    for step, stage in pipeline.STAGES[:-1]:
+        kept, plain = stage(spark, kept, str(tmp_path)), stage(spark, plain, str(tmp_path))
+        assert kept.columns == table.columns, step
+        kept.write.parquet(f"{tmp_path}/{step}")
+        plain.write.parquet(f"{tmp_path}/{step}-plain")
+        kept, plain = spark.read.parquet(f"{tmp_path}/{step}"), spark.read.parquet(f"{tmp_path}/{step}-plain")
+        rows = kept.collect()
+        assert Counter(map(tuple, kept.select(*docs.columns).collect())) == Counter(map(tuple, plain.collect()))
+        assert all(r[n] == f"{n}:{r['doc_id']}" for r in rows for n in names), step
+
+
+def test_jaccard_with_shared_and_null_ids(spark):
+    """Keys that say nothing: the groups are those of the texts; a third of all rows is one row."""
+    rnd = random.Random(4)
+    base = [words(rnd, 40) for _ in range(6)]
+    near = [" ".join([*b.split()[:-1], "changed"]) for b in base]
+    table = spark.createDataFrame([(None, t) for t in base + near] + [(1, base[0])] * 8, "doc_id long, text string")
+    got = jaccard_join.jaccard_components(table, words=3, percent=80).collect()
+    assert len(got) == 20 and Counter(r.component_id for r in got) == {1: 10, None: 10}
+    firsts = jaccard_join.jaccard_firsts(table, words=3, percent=80).collect()
+    assert len(firsts) == 6 and sum(r.doc_id == 1 for r in firsts) == 1
+
+
 def test_pipeline_stages(spark, docs, nothing, tmp_path):
     pipeline = pytest.importorskip("corpus_pipeline")
     for name, table in (("some", docs), ("none", nothing)):
