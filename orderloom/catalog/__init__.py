@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orderloom.catalog import fees, marketplace, quality, state, storefront, streams
+from orderloom.catalog import fees, loads, marketplace, quality, state, storefront, streams
 
-MODULES = [fees, storefront, marketplace, state, quality, streams]
+MODULES = [fees, storefront, marketplace, state, quality, streams, loads]
 
 QUERIES = {name: run for module in MODULES for name, run in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}

@@ -10,12 +10,17 @@ from pyspark.sql import functions as F
 from orderloom.catalog.shared import LINES, plain
 from orderloom.operators.dedup import first_and_last, keep_earliest, keep_latest, ordering
 from orderloom.operators.history import scd2_as_of, scd2_current, scd2_run, scd2_schema, scd2_table
-from orderloom.operators.incremental import FLOOR, high_water, increment
+from orderloom.functions.times import from_micros, micros
+from orderloom.operators.incremental import FLOOR, high_water, high_water_overall, increment, increment_by_store
 from orderloom.operators.merge import merge_ranked, merge_upsert
-from orderloom.session import shared_folder
+from orderloom.session import cut_lineage, shared_folder
 from orderloom.plans import storefront as S
 from orderloom.sources.derived import storefront_orders, table
+from orderloom.sources.folders import matching
+from orderloom.sources.readers import read_footers
 from orderloom.sources.sinks import append_increment, read_table
+from orderloom.sources.versions import read as read_version
+from orderloom.sources.versions import vacuum, write
 
 LINE = ["l_orderkey", "l_linenumber"]
 NEWEST = ["l_shipdate", "l_partkey", "l_suppkey"]
@@ -57,20 +62,67 @@ def _loaded_before(ts: str) -> Column:
     return (F.col(ts) < F.lit(EVENT_CUT).cast("timestamp_ntz")) & (F.col("event_type") != "click")
 
 
-def increment_inclusive(spark: SparkSession, sf: str) -> DataFrame:
+def _at_rest(events: DataFrame, name: str) -> str:
+    """Events stored as a feed: a table per type, in order of load; the load time is a whole number."""
+    folder = shared_folder(events.sparkSession, name)
+    rows = events.withColumn("loaded", micros(F.col("ts"))).hint("rebalance", "event_type")
+    rows.sortWithinPartitions("event_type", "loaded").write.partitionBy("event_type").parquet(folder)
+    return folder
+
+
+def _since_marks(spark: SparkSession, sf: str, **how) -> DataFrame:
+    """What the target lacks of the events, by the marks in the footers of its files."""
     events = _events(spark, sf)
-    marks = high_water(events.where(_loaded_before("ts")), "event_type", "ts")
-    return plain(increment(events, marks, "event_type", "ts"))
+    feed = _at_rest(events, "feed")
+    target = _at_rest(events.where(_loaded_before("ts")), "target")
+    marks = cut_lineage(high_water(read_footers(spark, target), "event_type", "loaded"), "marks")
+    stores = [(p.rsplit("=", 1)[1], spark.read.parquet(p)) for p in sorted(matching(spark, f"{feed}/event_type=*"))]
+    return increment_by_store(stores, marks, "event_type", "loaded", **how).drop("loaded")
+
+
+def increment_inclusive(spark: SparkSession, sf: str) -> DataFrame:
+    return plain(_since_marks(spark, sf))
 
 
 def increment_exclusive_floor(spark: SparkSession, sf: str) -> DataFrame:
+    return plain(_since_marks(spark, sf, inclusive=False, floor=int(FLOOR.replace(tzinfo=dt.UTC).timestamp()) * 1_000_000))
+
+
+def increment_joined(spark: SparkSession, sf: str) -> DataFrame:
+    """The marks of all stores meet one table of them in a join."""
     events = _events(spark, sf)
-    marks = high_water(events.where(_loaded_before("ts")), "event_type", "ts")
-    return plain(increment(events, marks, "event_type", "ts", inclusive=False, floor=FLOOR))
+    return plain(increment(events, high_water(events.where(_loaded_before("ts")), "event_type", "ts"), "event_type", "ts"))
 
 
 def high_water_marks(spark: SparkSession, sf: str) -> DataFrame:
-    return plain(high_water(_events(spark, sf), "event_type", "ts", "max_ts"))
+    marks = high_water(read_footers(spark, _at_rest(_events(spark, sf), "target")), "event_type", "loaded", "newest")
+    return plain(marks.select("event_type", from_micros(F.col("newest")).alias("max_ts")))
+
+
+def high_water_of_all(spark: SparkSession, sf: str) -> DataFrame:
+    """One mark for the whole table, and for an empty one its floor."""
+    events, floor = _events(spark, sf), -1
+    marks = high_water_overall(read_footers(spark, _at_rest(events, "target")), "loaded", floor, "newest")
+    none = high_water_overall(events.where("event_type = 'none'").withColumn("loaded", micros(F.col("ts"))), "loaded", floor, "floor")
+    return plain(marks.join(none, on=marks.newest != none.floor).select(from_micros(F.col("newest")).alias("max_ts"), "floor"))
+
+
+def merge_committed(spark: SparkSession, sf: str) -> DataFrame:
+    """Three loads into a committed table: the second widens a column and brings one, the third drops one; one in between breaks off."""
+    events, path, keys = _events(spark, sf), shared_folder(spark, "committed"), ["user_id", "event_type"]
+    newest = [F.col("ts").desc_nulls_last(), F.col("event_id").desc_nulls_last()]
+    before, after = _halves(events)
+    write(spark, path, before.withColumn("event_id", F.col("event_id").cast("int")).drop("props"), keys, newest, buckets=8)
+    broken = after.withColumn("value", F.when(F.col("event_id") >= 0, F.raise_error(F.lit("the feed broke off"))).otherwise(F.col("value")).cast("double"))
+    try:
+        write(spark, path, broken, keys, newest)
+    except Exception as error:
+        if "the feed broke off" not in str(error):
+            raise
+    write(spark, path, after, keys, newest, mode="ranked")
+    write(spark, path, events.where("event_type = 'error'").drop("value"), keys, newest, mode="ranked", sync=True)
+    vacuum(spark, path)
+    return plain(read_version(spark, path))
 
 
 def _halves(events: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -170,7 +222,10 @@ QUERIES = {
     "line_items_first_last": line_items_first_last,
     "increment_inclusive": increment_inclusive,
     "increment_exclusive_floor": increment_exclusive_floor,
+    "increment_joined": increment_joined,
     "high_water_marks": high_water_marks,
+    "high_water_of_all": high_water_of_all,
+    "merge_committed": merge_committed,
     "append_then_latest": append_then_latest,
     "append_new_column": append_new_column,
     "merge_upsert": merge_upsert_events,
@@ -251,6 +306,7 @@ _STORE_HISTORY = f"""
 """
 
 ORACLES = {
+    "increment_joined": _MARKS + f" select {_EVENT} from events left join marks on event_type = t where mark is null or events.ts >= mark",
     "line_items_latest": f"""
     select {_LINEITEM} from lineitem
     qualify row_number() over (partition by l_orderkey, lineitem.l_linenumber
@@ -284,6 +340,13 @@ ORACLES = {
     where events.ts > coalesce(mark, timestamp '1900-01-01')
 """,
     "high_water_marks": "select event_type, cast(max(ts) as varchar) as max_ts from events group by event_type",
+    "high_water_of_all": "select cast(max(ts) as varchar) as max_ts, -1::bigint as floor from events",
+    # The whole table is loaded; ``props`` is missing in rows that only the first load had, ``value`` from the end.
+    "merge_committed": f"""
+    with latest as ({_LATEST_EVENT})
+    select event_id, ts, user_id, event_type, case when ts >= cast(timestamp '{EVENT_CUT}' - interval 1 day as varchar) or event_type = 'error' then props end as props
+    from latest
+""",
     "append_then_latest": _LATEST_EVENT,
     "append_new_column": f"""
     select event_id, cast(ts as varchar) as ts, user_id, event_type, value,

@@ -39,6 +39,20 @@ def to_millis(ntz: Column) -> Column:
     return to_seconds(ntz) * 1000
 
 
+def exact_millis(ntz: Column) -> Column:
+    """Milliseconds since the epoch, rounded down: the inverse of :func:`from_millis`."""
+    return F.floor(micros(ntz).cast("decimal(20,0)") / 1000).cast("bigint")
+
+
+def micros(ntz: Column) -> Column:
+    """Microseconds since the epoch: a time as a whole number, of which files keep statistics."""
+    return F.timestamp_diff("MICROSECOND", _epoch(), ntz)
+
+
+def from_micros(col: Column) -> Column:
+    return F.timestamp_add("MICROSECOND", col, _epoch())
+
+
 def to_pacific(ntz: Column) -> Column:
     """The Pacific wall clock of a UTC wall clock, daylight saving included.
 

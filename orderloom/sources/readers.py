@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderloom.operators.incremental import increment_by_store
 from orderloom.operators.joins import with_lookup
 from orderloom.sources.registry import STORE_NAMES, StoreSource
 
@@ -38,12 +40,55 @@ def read_stores(
     )
 
 
+def read_increment(
+    spark: SparkSession,
+    sources: Sequence[StoreSource],
+    platform: str,
+    marks: DataFrame | None,
+    ts: str,
+    inclusive: bool = True,
+    floor: object = None,
+    read: Callable[[SparkSession, str], DataFrame] = read_location,
+) -> DataFrame:
+    """:func:`read_stores`, but only rows the target does not have yet; see :func:`increment_by_store`.
+
+    ``marks`` holds a mark per upper-case store (:func:`high_water` of the target by ``brand``); None is the first run.
+    """
+    stores = [(s.brand.upper(), read(spark, s.location).withColumnsRenamed(dict(s.rename))) for s in sources]
+    return increment_by_store(stores, marks, "brand", ts, inclusive, floor).withColumn("source_platform", F.lit(platform))
+
+
+def read_footers(spark: SparkSession, location: str) -> DataFrame:
+    """A parquet table for its marks: Spark takes minima, maxima and counts from file footers and reads no data page.
+
+    That holds for whole numbers, floats and dates, such as load times as epoch numbers, of the whole table or by all
+    its partition columns. Spark has no such statistics for timestamps and text; it then reads those columns alone.
+    """
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    with _setting(spark, "spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text"):
+        return spark.read.parquet(location)
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def read_statement_feeds(
-    spark: SparkSession, registry: Mapping[str, Sequence[StoreSource]], platform: str
+    spark: SparkSession,
+    registry: Mapping[str, Sequence[StoreSource]],
+    platform: str,
+    marks: DataFrame | None = None,
+    read: Callable[[SparkSession, str], DataFrame] = read_location,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The three linked statement feeds: headers, transactions, fee breakdowns."""
+    """The three linked statement feeds: headers, transactions, fee breakdowns; all from one mark per store on, if there are marks."""
     feeds = ("statement_headers", "statement_transactions", "statement_breakdowns")
-    headers, transactions, breakdowns = (read_stores(spark, registry[f], platform) for f in feeds)
+    headers, transactions, breakdowns = (read_increment(spark, registry[f], platform, marks, "batch_runtime", read=read) for f in feeds)
     return headers, transactions, breakdowns
 
 
