@@ -8,14 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.catalog.shared import LINES, plain
+from orderloom.operators.asof import as_of_join
 from orderloom.operators.dedup import first_and_last, keep_earliest, keep_latest, ordering
 from orderloom.operators.history import scd2_as_of, scd2_current, scd2_run, scd2_schema, scd2_table
 from orderloom.functions.times import from_micros, micros
 from orderloom.operators.incremental import FLOOR, high_water, high_water_overall, increment, increment_by_store
 from orderloom.operators.merge import merge_ranked, merge_upsert
 from orderloom.session import cut_lineage, shared_folder
+from orderloom.plans import marketplace as M
 from orderloom.plans import storefront as S
-from orderloom.sources.derived import storefront_orders, table
+from orderloom.sources.derived import marketplace_orders, storefront_orders, table
 from orderloom.sources.folders import matching
 from orderloom.sources.readers import read_footers
 from orderloom.sources.sinks import append_increment, read_table
@@ -171,7 +173,7 @@ def _history(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_folder(spark, "history")
     for number, run in enumerate(RUNS):
         seen = lineitem.where(F.col("l_shipdate") < F.lit(run).cast("timestamp_ntz")) if run else lineitem
-        scd2_run(spark, path, number, keep_latest(seen, LINE, NEWEST), LINE, "l_shipdate")
+        scd2_run(spark, path, number, keep_latest(seen, LINE, NEWEST), LINE, "l_shipdate", buckets=8)
     return scd2_table(spark, path, scd2_schema(lineitem.schema, "l_shipdate"))
 
 
@@ -188,7 +190,7 @@ def storefront_history(spark: SparkSession, sf: str) -> DataFrame:
     path, schema = shared_folder(spark, "history"), None
     for number, seen in enumerate(runs):
         current = S.history_rows(lines.where(seen)).select("history_key", "quantity", "updated_at_utc")
-        scd2_run(spark, path, number, current, ["history_key"], "updated_at_utc")
+        scd2_run(spark, path, number, current, ["history_key"], "updated_at_utc", buckets=8)
         schema = scd2_schema(current.schema, "updated_at_utc")
     return plain(scd2_table(spark, path, schema))
 
@@ -216,6 +218,40 @@ def scd2_as_of_rows(spark: SparkSession, sf: str) -> DataFrame:
     return plain(scd2_as_of(_history(spark, sf), at))
 
 
+def as_of_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line of every order as it was when the order was placed."""
+    history = _history(spark, sf)
+    lines = table(spark, sf, "lineitem").select(*LINE).distinct()
+    facts = table(spark, sf, "orders").select("o_orderkey", "o_orderdate").join(lines, F.col("o_orderkey") == F.col("l_orderkey")).drop("o_orderkey")
+    return plain(as_of_join(facts, history, LINE, "o_orderdate", ["l_shipdate", "l_extendedprice", "l_linestatus"], "was_"))
+
+
+def marketplace_history(spark: SparkSession, sf: str) -> DataFrame:
+    """History of marketplace lines over three runs."""
+    lines = M.stage_lines(marketplace_orders(table(spark, sf, "lineitem")))
+    return _line_history(spark, lines, "update_time", ["order_status", "sale_price"])
+
+
+def shipping_history(spark: SparkSession, sf: str) -> DataFrame:
+    """History of storefront shipping lines over three runs."""
+    staged = S.stage_shipping_lines(storefront_orders(table(spark, sf, "lineitem")))
+    path = shared_folder(spark, "history")
+    for number, run in enumerate(RUNS):
+        seen = staged.where(F.col("updated_at") < F.lit(run).cast("timestamp_ntz")) if run else staged
+        current = S.history_rows(seen, S.SHIPPING_KEY).select("history_key", "shipping_price", "updated_at_utc")
+        scd2_run(spark, path, number, current, ["history_key"], "updated_at_utc", buckets=8)
+    return plain(scd2_table(spark, path, scd2_schema(current.schema, "updated_at_utc")))
+
+
+def _line_history(spark: SparkSession, lines: DataFrame, at: str, tracked: list[str]) -> DataFrame:
+    path = shared_folder(spark, "history")
+    for number, run in enumerate(RUNS):
+        seen = lines.where(F.col(at) < F.lit(run).cast("timestamp_ntz")) if run else lines
+        current = M.history_rows(seen).select("history_key", *tracked, at)
+        scd2_run(spark, path, number, current, ["history_key"], at, buckets=8)
+    return plain(scd2_table(spark, path, scd2_schema(current.schema, at)))
+
+
 QUERIES = {
     "line_items_latest": line_items_latest,
     "line_items_earliest": line_items_earliest,
@@ -235,6 +271,9 @@ QUERIES = {
     "storefront_history": storefront_history,
     "scd2_current": scd2_current_rows,
     "scd2_as_of": scd2_as_of_rows,
+    "as_of_orders": as_of_orders,
+    "marketplace_history": marketplace_history,
+    "shipping_history": shipping_history,
 }
 
 _LINEITEM = """l_orderkey, l_partkey, l_suppkey, l_linenumber::bigint as l_linenumber, l_quantity, l_extendedprice,
@@ -305,7 +344,50 @@ _STORE_HISTORY = f"""
     from opened
 """
 
+# Runs that see the rows updated by then; a key gets a history row per distinct time of its newest version.
+_RUN_HISTORY = """
+    with li as ({lines}),
+    rows as ({rows}),
+    seen as (
+        {runs}
+    ),
+    versions as (select * from seen qualify row_number() over (partition by history_key, changed_at order by run) = 1)
+    select history_key, {tracked}, cast(changed_at as varchar) as {at}, cast(changed_at as varchar) as valid_from,
+           cast(lead(changed_at) over (partition by history_key order by changed_at) as varchar) as valid_to
+    from versions
+"""
+
+
+def _run_history(rows: str, tracked: str, at: str, newest: str) -> str:
+    runs = " union all ".join(
+        f"""(select *, {i} as run from rows {f"where changed_at < timestamp '{run}'" if run else ""}
+             qualify row_number() over (partition by history_key order by {newest}) = 1)"""
+        for i, run in enumerate(RUNS)
+    )
+    return _RUN_HISTORY.format(lines=LINES, rows=rows, runs=runs, tracked=tracked, at=at)
+
+
 ORACLES = {
+    "as_of_orders": f"""
+    with history as (select *, valid_from as f, valid_to as t from ({_HISTORY})),
+    facts as (select distinct l.l_orderkey, l.l_linenumber, o.o_orderdate from lineitem l join orders o on o.o_orderkey = l.l_orderkey)
+    select x.l_orderkey, x.l_linenumber::bigint as l_linenumber, cast(x.o_orderdate as varchar) as o_orderdate,
+           h.l_shipdate as was_l_shipdate, h.l_extendedprice as was_l_extendedprice, h.l_linestatus as was_l_linestatus
+    from facts x left join history h
+      on h.l_orderkey = x.l_orderkey and h.l_linenumber = x.l_linenumber
+     and h.f::timestamp <= x.o_orderdate and (h.t is null or x.o_orderdate < h.t::timestamp)
+""",
+    "marketplace_history": _run_history(
+        """select brand || '|' || order_id || '|' || line_id as history_key, l_shipdate + interval 2 hour as changed_at, loaded_at, batch_id,
+                  case when l_returnflag = 'A' and l_linestatus = 'F' then 'CANCELLED' else 'COMPLETED' end as order_status,
+                  l_extendedprice * (1 - l_discount) as sale_price from li""",
+        "order_status, sale_price", "update_time", "changed_at desc, loaded_at desc, batch_id desc",
+    ),
+    "shipping_history": _run_history(
+        """select 'Storefront|' || brand || '|' || order_id || '|' || line_id || '|sale' as history_key, l_shipdate as changed_at, loaded_at, batch_id,
+                  l_tax * 100 as shipping_price from li where l_returnflag = 'R'""",
+        "shipping_price", "updated_at_utc", "changed_at desc, loaded_at desc, batch_id desc",
+    ),
     "increment_joined": _MARKS + f" select {_EVENT} from events left join marks on event_type = t where mark is null or events.ts >= mark",
     "line_items_latest": f"""
     select {_LINEITEM} from lineitem

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.sources.folders import committed
+from orderloom.sources.folders import committed, matching, number, remove
 
-FROM, TO, STATE = "valid_from", "valid_to", "history_state"
+FROM, TO, STATE, ID = "valid_from", "valid_to", "history_state", "history_id"
 
 
 def scd2_schema(schema: T.StructType, updated_at: str) -> T.StructType:
@@ -58,33 +60,90 @@ def _meet(history: DataFrame, opened: DataFrame, key: Sequence[str], updated_at:
 
 
 def scd2_run(
-    spark: SparkSession, path: str, run: int, current: DataFrame, key: Sequence[str], updated_at: str
+    spark: SparkSession, path: str, run: int, current: DataFrame, key: Sequence[str], updated_at: str, buckets: int = 64
 ) -> None:
-    """One run over the history table at ``path``, which holds a folder per run.
+    """One run over the history table at ``path``, which holds a folder per run; ``current`` has one row per key.
 
-    A run reads only the rows the run before left open, in one scan, and writes those it closes and all that are open now;
-    rows closed earlier are neither read nor written. ``run`` numbers must rise. Spark's success marker commits a run:
-    one that broke off is not seen by readers and may be repeated.
+    Rows lie in files by the hash of their key, ``buckets`` of them, and Spark knows that, so only ``current`` is shuffled: the rows the run
+    before left open meet it where they lie. The run writes those it closes and all that are open now; rows closed earlier are neither read nor written.
+    Then the open rows of all runs but this one and the one before are removed, so the table stays below twice its live rows, and a reader of the run
+    before goes on. ``run`` numbers, of 64 bits, must rise; ``buckets`` belongs to the table, and another count is refused. Spark's success marker commits a
+    run: one that broke off is not seen by readers and may be repeated.
     """
-    runs = committed(spark, f"{path}/run=*")
-    before = max((r for r in runs if r < run), default=None)
+    base = _base(spark, path, buckets)
+    runs = committed(spark, f"{base}/run=*")
     if any(r > run for r in runs):
         raise ValueError(f"run {run} of {path} comes after run {max(runs)}")
-    opened = current.withColumns({FROM: F.col(updated_at), TO: _empty(current, updated_at)})
-    rows = opened
-    if before is not None:
-        old = spark.read.schema(opened.schema).parquet(f"{path}/run={before}/{STATE}=open")
-        rows = _meet(old, opened, key, updated_at)
+    before = max((r for r in runs if r < run), default=None)
+    opened = current.withColumns({FROM: F.col(updated_at), TO: _empty(current, updated_at), ID: key_id(key)})
     state = F.when(F.col(TO).isNull(), "open").otherwise("closed")
-    rows.withColumn(STATE, state).write.partitionBy(STATE).mode("overwrite").parquet(f"{path}/run={run}")
+    with _bucketed(spark, opened.schema, f"{base}/run={before}/{STATE}=open", buckets) as old:
+        if before is None:
+            rows = opened.repartition(buckets, ID)
+        else:
+            rows = _rejoin(spark.table(old), opened, updated_at)
+        folder, name = f"{base}/run={run}", _name()
+        remove(spark, folder)
+        writer = rows.withColumn(STATE, state).write.partitionBy(STATE).bucketBy(buckets, ID).sortBy(ID)
+        try:
+            writer.option("path", folder).mode("overwrite").saveAsTable(name)
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    for superseded in runs - {before, run}:
+        remove(spark, f"{base}/run={superseded}/{STATE}=open")
+
+
+def key_id(key: Sequence[str]) -> Column:
+    """A text that tells keys apart, NULLs included: the MD5 of their JSON."""
+    return F.md5(F.to_json(F.struct(*key)))
+
+
+def _rejoin(history: DataFrame, opened: DataFrame, updated_at: str) -> DataFrame:
+    """Open rows of the history and the current rows, joined where the history lies."""
+    columns = opened.columns
+    old, new = F.col("old"), F.col("new")
+    both = history.select(F.col(ID).alias("_old"), F.struct(*columns).alias("old")).join(
+        opened.select(F.col(ID).alias("_new"), F.struct(*columns).alias("new")), F.col("_old") == F.col("_new"), "full"
+    )
+    changed = new.isNotNull() & (new[updated_at] > old[updated_at])
+    rows = F.when(old.isNull(), F.array(new)).when(changed, F.array(old.withField(TO, new[updated_at]), new)).otherwise(F.array(old))
+    return both.select(F.inline(rows))
 
 
 def scd2_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The history :func:`scd2_run` keeps at ``path``: closed rows of all runs, open rows of the last."""
-    runs = committed(spark, f"{path}/run=*")
-    stored = T.StructType([*schema.fields, T.StructField(STATE, T.StringType()), T.StructField("run", T.IntegerType())])
-    rows = spark.read.schema(stored).option("basePath", path).parquet(*[f"{path}/run={r}" for r in sorted(runs)])
-    return rows.where((F.col(STATE) == "closed") | (F.col("run") == max(runs))).select(*schema.names)
+    """The history :func:`scd2_run` keeps at ``path``: closed rows of all runs, open rows of the last. Empty before the first run."""
+    base = next(iter(matching(spark, f"{path}/buckets=*")), None)
+    runs = committed(spark, f"{base}/run=*") if base else set()
+    if not runs:
+        return spark.createDataFrame([], schema)
+    closed = [f for f in matching(spark, f"{base}/run=*/{STATE}=closed") if number(f.rsplit("/", 1)[0]) in runs]
+    places = [*matching(spark, f"{base}/run={max(runs)}/{STATE}=open"), *sorted(closed)]
+    return spark.read.schema(schema).parquet(*places) if places else spark.createDataFrame([], schema)
+
+
+def _base(spark: SparkSession, path: str, buckets: int) -> str:
+    for there in matching(spark, f"{path}/buckets=*"):
+        if number(there) != buckets:
+            raise ValueError(f"{path} has {number(there)} buckets, not {buckets}")
+    return f"{path}/buckets={buckets}"
+
+
+def _name() -> str:
+    return f"orderloom_history_{uuid.uuid4().hex}"
+
+
+@contextmanager
+def _bucketed(spark: SparkSession, schema: T.StructType, folder: str, buckets: int) -> Iterator[str]:
+    """A name in the session's catalog for files of a run, which says in which buckets they lie; the files stay when it goes."""
+    name = _name()
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({ID}) SORTED BY ({ID}) INTO {buckets} BUCKETS LOCATION '{folder}'"
+    )
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def scd2_current(history: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from orderloom.operators.attributes import MAP, attribute_columns, attributes_map
 from orderloom.operators.dedup import first_and_last, keep_earliest, keep_first, keep_latest, ordering
+from orderloom.operators import history
 from orderloom.operators.history import scd2_as_of, scd2_current, scd2_merge, scd2_run, scd2_schema, scd2_table
 from orderloom.operators.incremental import FLOOR, MARK, high_water, high_water_overall, increment
 from orderloom.operators.merge import (
@@ -274,18 +275,46 @@ def test_scd2_runs_on_a_table(spark, rows, tmp_path):
         [("a", 2, "a2"), ("b", 0, "older"), ("c", 1, "c1")],
         [("c", 5, "c5"), (None, 1, "n1")],
     ]
-    history = None
+    kept_rows = None
     for number, data in enumerate(runs):
         current = spark.createDataFrame(data, schema)
-        history = scd2_merge(history, current, ["k"], "upd")
-        scd2_run(spark, path, number, current, ["k"], "upd")
+        kept_rows = scd2_merge(kept_rows, current, ["k"], "upd")
+        scd2_run(spark, path, number, current, ["k"], "upd", buckets=4)
         kept = scd2_schema(current.schema, "upd")
-        assert rows(scd2_table(spark, path, kept)) == rows(history)
-    scd2_run(spark, path, 2, current, ["k"], "upd")
-    spark.createDataFrame([("z", 1, "half", 1, None)], kept).write.parquet(f"{path}/run=3/history_state=open")
-    assert rows(scd2_table(spark, path, kept)) == rows(history)
+        assert rows(scd2_table(spark, path, kept)) == rows(kept_rows)
+    scd2_run(spark, path, 2, current, ["k"], "upd", buckets=4)
+    spark.createDataFrame([("z", 1, "half", 1, None)], kept).write.parquet(f"{path}/buckets=4/run=3/history_state=open")
+    assert rows(scd2_table(spark, path, kept)) == rows(kept_rows)
     with pytest.raises(ValueError, match="comes after"):
-        scd2_run(spark, path, 1, current, ["k"], "upd")
+        scd2_run(spark, path, 1, current, ["k"], "upd", buckets=4)
+
+
+def test_history_moves_the_batch_alone(spark, rows, tmp_path):
+    """No exchange of the rows that are there, disk below twice the live table, run numbers beyond 32 bits, an empty table, a fixed bucket count."""
+    path, schema = str(tmp_path / "h"), "k int, upd int, v string"
+    kept = scd2_schema(spark.createDataFrame([], schema).schema, "upd")
+    assert scd2_table(spark, path, kept).count() == 0
+    for run in (1, 2):
+        scd2_run(spark, path, run, spark.createDataFrame([], schema), ["k"], "upd", buckets=4)
+        assert scd2_table(spark, path, kept).count() == 0
+    for step in range(10):
+        current = spark.range(step, 2000).select(F.col("id").cast("int").alias("k"), (F.col("id") * 0 + (step if step else 1)).cast("int").alias("upd"), F.repeat(F.lit("x"), F.lit(100)).alias("v"))
+        current = current.where((F.col("k") % 10 == step) | F.lit(step == 0))
+        scd2_run(spark, path, 202612041530 + step, current, ["k"], "upd", buckets=4)
+    table = scd2_table(spark, path, kept)
+    assert scd2_current(table).count() == 2000 and table.count() > 2000
+    live = sum(f.stat().st_size for r in [max((tmp_path / "h" / "buckets=4").iterdir(), key=lambda p: p.name)] for f in r.rglob("*.parquet"))
+    closed = sum(f.stat().st_size for f in (tmp_path / "h").rglob("*state=closed/*.parquet"))
+    disk = sum(f.stat().st_size for f in (tmp_path / "h").rglob("*.parquet"))
+    assert disk < 2 * (live + closed)
+    with pytest.raises(ValueError, match="has 4 buckets"):
+        scd2_run(spark, path, 202612041550, current, ["k"], "upd", buckets=8)
+    opened = current.withColumns({"valid_from": F.col("upd"), "valid_to": F.lit(None).cast("int"), history.ID: history.key_id(["k"])})
+    with history._bucketed(spark, opened.schema, f"{path}/buckets=4/run=202612041539/history_state=open", 4) as name:
+        text = plan(history._rejoin(spark.table(name), opened, "upd")).split("Physical Plan ==")[1]
+    assert text.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" in text
+    below = text[text.index("SortMergeJoin") :]
+    assert "Bucketed: true" in below
 
 
 def test_append_adds_new_columns(spark, rows, tmp_path):
