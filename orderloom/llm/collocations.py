@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orderloom.llm.common import cut_lineage, partitions
+from orderloom.llm.common import cut_large_rows, cut_lineage, partitions, small_batches
 from orderloom.llm.words import LOWER, sequence_hash, span_hashes, spans, text_hash
 
 #: The bytes that end a piece, and those that part its words.
@@ -24,13 +24,15 @@ MARKS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
 LONGEST = 3
 #: Bytes of text in a block; a longer text is a block of its own.
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 #: Words numbered at once: three numbers fit one 64-bit code.
-SLICE = 1 << 20
+SLICE = 1 << 19
 #: A summary loses at most a part in so many of the threshold, so what it keeps is nearly what is frequent.
 SLACK = 4
+#: Bits of an n-gram's key in its hash partition.
+KEY = 24
 #: Bytes of text per hash partition, so that a task's part of the n-grams stays of one size at any size of the corpus.
-PART = 16 << 20
+PART = 4 << 20
 
 _INSIDE = np.array([b not in MARKS + BLANKS for b in range(256)])
 _MARK = np.array([b in MARKS for b in range(256)])
@@ -131,41 +133,61 @@ def _blocks(parts: Iterator, size: int) -> Iterator[tuple[str, bytes]]:
 
 
 def _numbered(hashes: np.ndarray, deal: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash partition of each n-gram, by the upper half of its hash, and its key there, the lower half.
+    """Hash partition of each n-gram, by the upper half of its hash, and its key there, KEY bits of the lower half.
 
-    Equal keys of different n-grams add up in a summary: a few more survive, none is lost.
+    Counts of different n-grams with equal keys add up in a summary: a few more survive, none is lost.
     """
-    return ((hashes >> np.uint64(32)) * np.uint64(deal) >> np.uint64(32)).astype(np.int32), hashes.astype(np.uint32)
+    return ((hashes >> np.uint64(32)) * np.uint64(deal) >> np.uint64(32)).astype(np.int32), (hashes & np.uint64((1 << KEY) - 1)).astype(np.uint32)
 
 
-_BLOCKS = "block long, lang string, words long, text binary, part int, keys binary, counts binary"
+def _packed(keys: np.ndarray) -> bytes:
+    """Three bytes a key."""
+    return keys.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
 
 
-def _deal(texts: DataFrame, deal: int, longest: int, size: int) -> DataFrame:
-    """A row per block with its text, and one per block and hash partition with n-grams and counts."""
+def _unpacked(data: bytes) -> np.ndarray:
+    keys = np.zeros((len(data) // 3, 4), np.uint8)
+    keys[:, :3] = np.frombuffer(data, np.uint8).reshape(-1, 3)
+    return keys.view("<u4")[:, 0]
+
+
+def _gathered(texts: DataFrame, size: int) -> DataFrame:
+    """``block``, ``lang`` and ``text`` of the blocks."""
 
     def run(parts: Iterator) -> Iterator:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        schema = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("words", pa.int64()), ("text", pa.binary()), ("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
         number = TaskContext.get().partitionId() << 32
         for lang, text in _blocks(parts, size):
-            found = list(_grams(text, text_hash(lang), longest))
-            rows = [(number, lang, sum(int(f.counts.sum()) for f in found if len(f.words) == 1), text, None, None, None)]
-            if found:
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([lang]), pa.array([text], pa.binary())], names=["block", "lang", "text"])
+            number += 1
+
+    return texts.mapInArrow(run, "block long, lang string, text binary")
+
+
+def _dealt(blocks: DataFrame, deal: int, longest: int) -> DataFrame:
+    """Per block and hash partition the block's n-grams with their counts: a summary that lost nothing."""
+
+    def run(parts: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        schema = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+        for batch in parts:
+            for block, lang, text in zip(batch.column("block").to_pylist(), batch.column("lang").to_pylist(), batch.column("text"), strict=True):
+                found = list(_grams(text.as_py(), text_hash(lang), longest))
+                if not found:
+                    continue
                 part, keys = _numbered(np.concatenate([f.hashes for f in found]), deal)
                 counts = np.concatenate([f.counts for f in found]).astype(np.uint32)
                 order = np.argsort(part, kind="stable")
                 part, keys, counts = part[order], keys[order], counts[order]
                 first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-                for a, b in zip(first, [*first[1:], part.size], strict=True):
-                    rows.append((number, lang, None, None, int(part[a]), keys[a:b].tobytes(), counts[a:b].tobytes()))
-            for begin in range(0, len(rows), 256):
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[begin : begin + 256], strict=True), schema, strict=True)], schema=schema)
-            number += 1
+                rows = [(block, int(part[a]), _packed(keys[a:b]), counts[a:b].tobytes()) for a, b in zip(first, [*first[1:], part.size], strict=True)]
+                for begin in range(0, len(rows), 256):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[begin : begin + 256], strict=True), schema, strict=True)], schema=schema)
 
-    return texts.mapInArrow(run, _BLOCKS)
+    return blocks.mapInArrow(run, "block long, part int, keys binary, counts binary")
 
 
 def _surviving(dealt: DataFrame, deal: int, least: int) -> DataFrame:
@@ -174,45 +196,59 @@ def _surviving(dealt: DataFrame, deal: int, least: int) -> DataFrame:
     def run(parts: Iterator) -> Iterator:
         import pyarrow as pa
 
-        held: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = {}
+        held: dict[int, list[tuple[int, bytes, bytes]]] = {}
         for batch in parts:
-            for block, part, keys, counts in zip(*(batch.column(c).to_pylist() for c in ("block", "part", "keys", "counts")), strict=True):
-                held.setdefault(part, []).append((block, np.frombuffer(keys, np.uint32), np.frombuffer(counts, np.uint32)))
-        for part, rows in held.items():
-            mass = sum(int(c.sum()) for _, _, c in rows)
+            for begin in range(0, batch.num_rows, 64):
+                for block, part, keys, counts in zip(*(batch.column(c).slice(begin, 64).to_pylist() for c in ("block", "part", "keys", "counts")), strict=True):
+                    held.setdefault(part, []).append((block, keys, counts))
+        survives = np.zeros(1 << KEY, bool)
+        while held:
+            part, rows = held.popitem()
+            mass = sum(int(np.frombuffer(c, np.uint32).sum()) for _, _, c in rows)
             summary = Summary(SLACK * mass // least + 1)
             for _, keys, counts in rows:
-                summary.merge(keys, counts)
+                summary.merge(_unpacked(keys), np.frombuffer(counts, np.uint32))
             kept = summary.survivors(least)
-            for block, keys, _ in rows:
-                if (own := keys[np.isin(keys, kept)]).size:
-                    yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([part], pa.int32()), pa.array([own.tobytes()], pa.binary())], names=["block", "part", "keys"])
+            survives[kept] = True
+            for block, data, _ in rows:
+                keys = _unpacked(data)
+                if (own := keys[survives[keys]]).size:
+                    yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([part], pa.int32()), pa.array([_packed(own)], pa.binary())], names=["block", "part", "keys"])
+            survives[kept] = False
 
-    rows = dealt.where("part is not null").select("block", "part", "keys", "counts")
-    return rows.repartitionById(deal, "part").mapInArrow(run, "block long, part int, keys binary")
+    return dealt.repartitionById(deal, "part").mapInArrow(run, "block long, part int, keys binary")
 
 
 def _recount(blocks: DataFrame, deal: int, longest: int) -> DataFrame:
-    """Occurrences, in each block, of the n-grams that survive, by their words."""
+    """Occurrences, in each block, of the n-grams that survive, by their words; and the block's words, as those of a phrase of no words."""
 
     def run(parts: Iterator) -> Iterator:
         import pyarrow as pa
         import pyarrow.compute as pc
 
+        def out(lang, words, phrases, counts):
+            size = len(phrases)
+            arrays = [pa.repeat(pa.scalar(lang, pa.string()), size), pa.repeat(pa.scalar(words, pa.int32()), size), phrases, pa.array(counts, pa.int64())]
+            return pa.RecordBatch.from_arrays(arrays, names=["lang", "words", "phrase", "f"])
+
         for batch in parts:
-            for lang, text, kept in zip(batch.column("lang").to_pylist(), batch.column("text"), batch.column("kept").to_pylist(), strict=True):
-                wanted = np.sort(np.concatenate([np.frombuffer(k["keys"], np.uint32).astype(np.uint64) | np.uint64(k["part"] << 32) for k in kept]))
-                body = text.as_py()
+            for lang, text, kept in zip(batch.column("lang").to_pylist(), batch.column("text"), batch.column("kept"), strict=True):
+                body, total = text.as_py(), 0
+                keys = [_unpacked(k["keys"]).astype(np.uint64) | np.uint64(k["part"] << KEY) for k in kept.as_py() or []]
+                wanted = np.sort(np.concatenate([*keys, np.zeros(0, np.uint64)]))
                 for found in _grams(body, text_hash(lang), longest):
+                    total += int(found.counts.sum()) if len(found.words) == 1 else 0
                     part, keys = _numbered(found.hashes, deal)
-                    mine = np.flatnonzero(np.isin(part.astype(np.uint64) << np.uint64(32) | keys, wanted))
+                    own = part.astype(np.uint64) << np.uint64(KEY) | keys
+                    at = np.searchsorted(wanted, own)
+                    mine = np.flatnonzero((at < wanted.size) & (wanted[np.minimum(at, wanted.size - 1)] == own)) if wanted.size else np.zeros(0, np.int64)
                     used = np.unique(np.concatenate([w[mine] for w in found.words]))
                     names = pa.array([body[a:b] for a, b in found.places[used].tolist()], pa.binary())
                     for begin in range(0, mine.size, 1 << 16):
                         some = mine[begin : begin + (1 << 16)]
-                        phrase = pc.binary_join_element_wise(*(names.take(pa.array(np.searchsorted(used, w[some]))) for w in found.words), b" ")
-                        arrays = [pa.array([lang] * some.size), pa.array(np.full(some.size, len(found.words), np.int32)), phrase, pa.array(found.counts[some])]
-                        yield pa.RecordBatch.from_arrays(arrays, names=["lang", "words", "phrase", "f"])
+                        phrases = pc.binary_join_element_wise(*(names.take(pa.array(np.searchsorted(used, w[some]))) for w in found.words), b" ")
+                        yield out(lang, len(found.words), phrases, found.counts[some])
+                yield out(lang, 0, pa.array([b""], pa.binary()), [total])
 
     found = blocks.mapInArrow(run, "lang string, words int, phrase binary, f long")
     return found.select("lang", "words", F.col("phrase").cast("string").alias("phrase"), "f")
@@ -221,20 +257,22 @@ def _recount(blocks: DataFrame, deal: int, longest: int) -> DataFrame:
 def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = 10, longest: int = LONGEST, size: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """Phrases of up to ``longest`` words that occur ``least`` times or more in a language, and every language's words.
 
-    The first frame has ``lang``, ``words`` (of the phrase), ``phrase`` and ``f``; the second ``lang`` and ``n``. Both are written
-    tables. Null texts are empty, null languages are ``und``, texts are read whole, repeated rows count as often as they come.
+    The first frame has ``lang``, ``words`` (of the phrase), ``phrase`` and ``f``; the second ``lang`` and ``n``. Both read one written
+    table. Null texts are empty, null languages are ``und``, texts are read whole, repeated rows count as often as they come.
     An empty table gives empty frames.
     """
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").cast("binary").alias("text"))
     volume = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     deal = max(partitions(spark), -(-volume // PART))
-    dealt = cut_lineage(_deal(texts, deal, longest, size), "blocks")
-    kept = _surviving(dealt, deal, least).groupBy("block").agg(F.collect_list(F.struct("part", "keys")).alias("kept"))
-    blocks = dealt.where("text is not null").select("block", "lang", "text").join(kept.hint("merge"), "block").select("lang", "text", "kept")
-    counted = _recount(blocks, deal, longest).groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
-    totals = dealt.where("words is not null").groupBy("lang").agg(F.sum("words").alias("n"))
-    return cut_lineage(counted, "phrases"), cut_lineage(totals, "totals")
+    with small_batches(spark):
+        blocks = cut_large_rows(_gathered(texts, size), "blocks")
+    kept = _surviving(_dealt(blocks, deal, longest), deal, least).groupBy("block").agg(F.collect_list(F.struct("part", "keys")).alias("kept"))
+    again = blocks.join(kept.hint("merge"), "block", "left").select("lang", "text", "kept")
+    counted = _recount(again, deal, longest).groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
+    with small_batches(spark):
+        counted = cut_lineage(counted.where((F.col("words") == 0) | (F.col("f") >= least)), "phrases")
+    return counted.where("words > 0"), counted.where("words = 0").select("lang", F.col("f").alias("n"))
 
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = 10, share: int = 50, first: int = 2000) -> DataFrame:
