@@ -8,7 +8,7 @@ its worst result so far. Every text is read whole and every row with a term is i
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -17,19 +17,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from orderloom.llm.common import cut_lineage, partitions
+from orderloom.llm.common import cut_large_rows, cut_lineage, partitions, small_batches
 from orderloom.llm.words import LOWER, span_hashes, spans
 
 #: The normaliser of a document of average length, and how many hundredths of it follow the length.
 NORM, SLOPE = 100, 25
 #: Documents and postings of a block; a longer document is a block of its own.
-DOCS, POSTINGS = 8192, 1 << 21
+DOCS, POSTINGS = 4096, 1 << 19
 #: Bytes of blocks that a task looks at together; the results so far go on to the next ones.
-SLAB = 64 << 20
+SLAB = 16 << 20
 #: Terms of the queries that are searched at once.
 QUERY_TERMS = 1 << 18
 #: Bytes of texts that are tokenized at once.
-TEXTS = 4 << 20
+TEXTS = 1 << 20
 
 # Letters and digits of ASCII, and every byte of a longer character.
 _INSIDE = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
@@ -52,41 +52,97 @@ def _counted(texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray
         begin = end
 
 
-def _forward(rows: DataFrame, own: list[str]) -> DataFrame:
-    """``own`` columns, a number ``row``, the count ``n`` of terms, distinct ``terms`` (64-bit hashes) and ``tfs`` of every text."""
-    types = (("row", "long"), ("n", "long"), ("terms", "binary"), ("tfs", "binary"))
-    schema = rows.select(*own, *[F.lit(None).cast(kind).alias(name) for name, kind in types]).schema
+class Strata(NamedTuple):
+    """Documents with a term, their terms in all, and the lengths at which the next shard begins."""
+
+    documents: int
+    length: int
+    begins: np.ndarray
+
+    def normalisers(self, n: np.ndarray) -> np.ndarray:
+        return NORM - SLOPE + (SLOPE * n * self.documents) // max(self.length, 1)
+
+    def shards(self, n: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """Ranges of lengths; where a length begins several shards, its documents are dealt to all of them."""
+        low, high = np.searchsorted(self.begins, n, side="left"), np.searchsorted(self.begins, n, side="right")
+        return low + number % (high - low + 1)
+
+
+def _lengths(rows: DataFrame) -> DataFrame:
+    """``n``, the terms of each text that has any."""
+
+    def run(parts: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for part in parts:
+            n = np.array([int(spans(np.frombuffer(t.as_py() or b"", np.uint8), _INSIDE)[0].size) for t in part.column("_text")], np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(n[n > 0])], names=["n"])
+
+    return rows.select("_text").mapInArrow(run, "n long")
+
+
+def _strata(rows: DataFrame, shards: int) -> Strata:
+    """One pass over the texts; the shards hold about as many terms each, whatever the lengths."""
+    cuts = [i / shards for i in range(1, shards)] or [0.5]
+    measured = _lengths(rows).agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.percentile("n", cuts, F.col("n"))).first()
+    return Strata(measured[0], measured[1], np.array(measured[2] if measured[2] and shards > 1 else [], np.float64))
+
+
+def _tokenized(rows: DataFrame, strata: Strata | None = None) -> DataFrame:
+    """``_key``, a ``number``, distinct ``terms`` (64-bit hashes) and ``tfs`` of every text that has a term; with strata ``m`` and ``shard``."""
+    types = {"number": "long", "terms": "binary", "tfs": "binary"} | ({"m": "long", "shard": "int"} if strata else {})
+    schema = rows.select("_key", *[F.lit(None).cast(kind).alias(name) for name, kind in types.items()]).schema
 
     def run(parts: Iterator) -> Iterator:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        number = TaskContext.get().partitionId() << 33
+        next_number = TaskContext.get().partitionId() << 33
         for part in parts:
             for begin in range(0, part.num_rows, 1024):
                 some = part.slice(begin, 1024)
                 found = list(_counted(some.column("_text").to_pylist()))
-                row = np.arange(number, number + len(found))
-                number += len(found)
-                n = [int(c.sum()) for _, c in found]
-                data = [pa.array([x.tobytes() for x, _ in found], pa.binary()), pa.array([c.astype(np.uint32).tobytes() for _, c in found], pa.binary())]
-                yield pa.RecordBatch.from_arrays([*(some.column(c) for c in own), pa.array(row), pa.array(n, pa.int64()), *data], names=[*own, "row", "n", "terms", "tfs"])
+                n = np.array([int(c.sum()) for _, c in found], np.int64)
+                own = np.flatnonzero(n)
+                number = np.arange(next_number, next_number + own.size)
+                next_number += own.size
+                data = [pa.array([found[i][0].tobytes() for i in own], pa.binary()), pa.array([_narrow(found[i][1]) for i in own], pa.binary())]
+                arrays = [some.column("_key").take(pa.array(own)), pa.array(number), *data]
+                if strata:
+                    arrays += [pa.array(strata.normalisers(n[own]), pa.int64()), pa.array(strata.shards(n[own], number), pa.int32())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["_key", *types])
 
     return rows.mapInArrow(run, schema)
 
 
-def _frequencies(forward: DataFrame) -> DataFrame:
-    """Documents per term, summed in the tasks before the shuffle."""
+def _narrow(numbers: np.ndarray) -> bytes:
+    """One byte each if that holds them, else four; the number of bytes tells."""
+    return numbers.astype(np.uint8 if numbers.max(initial=0) < 256 else np.uint32).tobytes()
+
+
+def _widened(data: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint8 if len(data) == count else np.uint32)
+
+
+def _rows(batch, columns: Sequence[str], some: int = 128) -> Iterator[tuple]:
+    """Rows of an Arrow batch, a few at a time, so that large values are not held twice."""
+    for begin in range(0, batch.num_rows, some):
+        part = batch.slice(begin, some)
+        yield from zip(*(part.column(c).to_pylist() for c in columns), strict=True)
+
+
+def _frequencies(blocks: DataFrame) -> DataFrame:
+    """Documents per term: the lengths of its postings in all blocks."""
 
     def run(parts: Iterator) -> Iterator:
         import pyarrow as pa
 
         for part in parts:
-            terms, counts = np.unique(np.frombuffer(b"".join(part.column("terms").to_pylist()), np.int64), return_counts=True)
-            for begin in range(0, terms.size, 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(terms[begin : begin + (1 << 16)]), pa.array(counts[begin : begin + (1 << 16)])], names=["term", "df"])
+            for terms, ends in _rows(part, ("terms", "ends"), 1):
+                counts = np.diff(np.frombuffer(ends, np.uint32).astype(np.int64), prepend=0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(terms, np.int64)), pa.array(counts)], names=["term", "df"])
 
-    return forward.select("terms").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    return blocks.select("terms", "ends").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
 
 
 class Block(NamedTuple):
@@ -105,7 +161,7 @@ class Block(NamedTuple):
         return (1_000_000_000 * self.tfs) // (1000 * self.tfs + 12 * self.m)
 
 
-def _blocks(strata: DataFrame, key: str) -> DataFrame:
+def _blocks(strata: DataFrame) -> DataFrame:
     """Strata in blocks, one row each; the rows of a task come by ``m``."""
     kind = strata.schema["_key"].dataType
     schema = T.StructType([T.StructField("m", T.LongType()), T.StructField("docs", T.ArrayType(kind))] + [T.StructField(c, T.BinaryType()) for c in ("terms", "ends", "tfs", "level", "place")])
@@ -132,15 +188,15 @@ def _blocks(strata: DataFrame, key: str) -> DataFrame:
 
     def run(parts: Iterator) -> Iterator:
         now, docs, rows, size = None, [], [], 0
-        for part in parts:
-            for m, doc, terms, tfs in zip(*(part.column(c).to_pylist() for c in ("m", "_key", "terms", "tfs")), strict=True):
-                if docs and (m != now or len(docs) >= DOCS or size + len(tfs) // 4 > POSTINGS):
+        for whole in parts:
+            for m, doc, terms, tfs in _rows(whole, ("m", "_key", "terms", "tfs")):
+                if docs and (m != now or len(docs) >= DOCS or size + len(terms) // 8 > POSTINGS):
                     yield block(now, docs, rows)
                     docs, rows, size = [], [], 0
                 now = m
                 docs.append(doc)
-                rows.append((np.frombuffer(terms, np.int64), np.frombuffer(tfs, np.uint32)))
-                size += len(tfs) // 4
+                rows.append((np.frombuffer(terms, np.int64), _widened(tfs, len(terms) // 8)))
+                size += len(terms) // 8
         if docs:
             yield block(now, docs, rows)
 
@@ -161,14 +217,13 @@ def build(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Index:
 
     Terms are known by 64-bit hashes. Written tables; a stratum of any size is dealt over tasks.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").cast("binary").alias("_text"))
-    forward = cut_lineage(_forward(rows, ["_key"]).where("n > 0"), "terms")
-    documents, length = forward.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    strata = forward.withColumn("m", F.expr(f"{NORM - SLOPE}L + ({SLOPE}L * n * {documents}L) div {max(length, 1)}L"))
-    dealt = strata.select("m", "row", "_key", "terms", "tfs").repartitionByRange(partitions(spark), "m", "row")
-    ordered = dealt.sortWithinPartitions(F.col("m"), F.col("_key").asc_nulls_last())
-    return Index(cut_lineage(_blocks(ordered, key), "index"), cut_lineage(_frequencies(forward), "frequencies"), documents, length)
+    shards = partitions(docs.sparkSession)
+    with small_batches(docs.sparkSession):
+        strata = _strata(rows, shards)
+        dealt = _tokenized(rows, strata).repartitionById(shards, "shard")
+        blocks = cut_large_rows(_blocks(dealt.sortWithinPartitions(F.col("m"), F.col("_key").asc_nulls_last())), "index")
+        return Index(blocks, cut_lineage(_frequencies(blocks), "frequencies"), strata.documents, strata.length)
 
 
 class Queries(NamedTuple):
@@ -258,7 +313,7 @@ def _searched(index: Index, queries: Queries, first: int) -> DataFrame:
         best: list[list] = [[] for _ in asked.numbers]
         slab, size = [], 0
         for part in parts:
-            for row in part.to_pylist():
+            for row in (dict(zip(part.schema.names, values, strict=True)) for values in _rows(part, part.schema.names, 1)):
                 documents, tfs = len(row["docs"]), np.frombuffer(row["tfs"], np.int64)
                 ends = np.frombuffer(row["ends"], np.uint32)
                 level = np.frombuffer(row["level"], np.uint16 if tfs.size <= 1 << 16 else np.uint32)
@@ -283,27 +338,29 @@ def search(spark: SparkSession, index: Index, items: DataFrame, item_key: str =
     Documents without a term of the item are no results; equal scores go by ascending key, null keys last. A row of ``items`` that is
     repeated whole counts once, other rows of equal keys are items of their own; null and empty items find nothing. Empty tables give an empty frame.
     """
-    asked = items.select(F.col(item_key).alias("_item"), F.col(text).cast("string").cast("binary").alias("_text")).distinct()
-    asked = cut_lineage(_forward(asked, ["_item"]).where("n > 0"), "items")
+    asked = items.select(F.col(item_key).alias("_key"), F.col(text).cast("string").cast("binary").alias("_text")).distinct()
+    asked = cut_lineage(_tokenized(asked), "items")
 
     def spread(parts: Iterator) -> Iterator:
         import pyarrow as pa
 
         for part in parts:
-            for row, terms, tfs in zip(*(part.column(c).to_pylist() for c in ("row", "terms", "tfs")), strict=True):
-                term, repeats = np.frombuffer(terms, np.int64), np.frombuffer(tfs, np.uint32).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(term.size, row)), pa.array(term), pa.array(repeats)], names=["query", "term", "repeats"])
+            for number, terms, tfs in _rows(part, ("number", "terms", "tfs")):
+                term = np.frombuffer(terms, np.int64)
+                repeats = _widened(tfs, term.size).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(term.size, number)), pa.array(term), pa.array(repeats)], names=["query", "term", "repeats"])
 
-    terms = asked.select("row", "terms", "tfs").mapInArrow(spread, "query long, term long, repeats long")
+    terms = asked.select("number", "terms", "tfs").mapInArrow(spread, "query long, term long, repeats long")
     weight = F.floor(1000 * F.log((2 * F.lit(index.documents) + 2).cast("double") / (2 * F.col("df") + 1).cast("double")))
     weighted = terms.join(index.frequencies, "term").select("query", "term", (weight * F.col("repeats")).cast("long").alias("weight"))
     results = None
     for queries in _in_turn(cut_lineage(weighted, "queries")):
-        part = cut_lineage(_searched(index, queries, first), "results")
+        with small_batches(spark):
+            part = cut_lineage(_searched(index, queries, first), "results")
         results = part if results is None else results.union(part)
     if results is None:
         kind = index.blocks.schema["docs"].dataType.elementType
         results = spark.createDataFrame([], T.StructType([T.StructField("query", T.LongType()), T.StructField("_key", kind), T.StructField("score", T.LongType())]))
     order = Window.partitionBy("query").orderBy(F.desc("score"), F.col("_key").asc_nulls_last())
     ranked = results.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= first)
-    return ranked.join(asked.select(F.col("row").alias("query"), "_item"), "query").select(F.col("_item").alias(item_key), "rank", F.col("_key").alias(key), "score")
+    return ranked.join(asked.select(F.col("number").alias("query"), F.col("_key").alias("_item")), "query").select(F.col("_item").alias(item_key), "rank", F.col("_key").alias(key), "score")
