@@ -10,6 +10,7 @@ length, in blocks so that a common length is no single task, and each number fin
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -19,6 +20,8 @@ from pyspark.sql.window import Window
 
 from orderloom.llm.common import partitions
 
+#: Borders tried between small lengths and large ones; at 1 all are small.
+SMALLS = (1 / 4, 1 / 2, 1.0)
 PLAN = "length long, first long, last long, sequence long, each long, base long"
 
 
@@ -106,12 +109,20 @@ def _configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, full:
     return chosen
 
 
-def plan(histogram: dict[int, int], capacity: int = 1024, groups: int = 256, small: float = 1 / 8, full: float = 0.998) -> Plan:
-    """Place ``histogram`` (length to count, lengths from 1 to ``capacity``)."""
+def plan(histogram: dict[int, int], capacity: int = 1024, groups: int = 256, smalls: Sequence[float] = SMALLS, full: float = 0.998) -> Plan:
+    """Place ``histogram`` (length to count, lengths from 1 to ``capacity``) in the fewest sequences that any border of ``smalls`` gives.
+
+    Where the border lies between large lengths and small ones, in shares of the capacity, decides how much is left to fill the gaps of the configurations;
+    which is best hangs on the lengths. Beyond the largest length nothing is grouped, so the plan is never worse than best fit alone.
+    """
+    if any(not 1 <= length <= capacity for length, count in histogram.items() if count):
+        raise ValueError("lengths must lie between 1 and the capacity")
+    return min((_plan(histogram, capacity, groups, small, full) for small in smalls), key=lambda p: p.sequences)
+
+
+def _plan(histogram: dict[int, int], capacity: int, groups: int, small: float, full: float) -> Plan:
     out = Plan(capacity)
     remaining = {length: count for length, count in histogram.items() if count}
-    if any(not 1 <= length <= capacity for length in remaining):
-        raise ValueError("lengths must lie between 1 and the capacity")
     large = sorted((x for x in remaining if x > small * capacity), reverse=True)
     if large:
         total = sum(remaining[x] for x in large)

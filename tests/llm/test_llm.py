@@ -168,6 +168,45 @@ def test_packing(spark, docs, corpus):
         assert length <= 64 and ids[4 * r.offset : 4 * (r.offset + r.length)] == bytes(r.ids)
     total = sum(n for n, _ in joined.values())
     assert len(joined) <= total / 64 * 1.1 + 2
+    assert packing.pack(pieces.limit(0), ["doc_id", "piece", "start", "ids"], 64).count() == 0
+
+
+def fewest(lengths, capacity):
+    """The least number of sequences, by trying every place for each length, longest first."""
+    best = len(lengths)
+
+    def put(i, gaps):
+        nonlocal best
+        if len(gaps) >= best:
+            return
+        if i == len(lengths):
+            best = len(gaps)
+            return
+        for j, gap in enumerate(gaps):
+            if gap >= lengths[i] and gap not in gaps[:j]:
+                put(i + 1, [*gaps[:j], gap - lengths[i], *gaps[j + 1 :]])
+        put(i + 1, [*gaps, capacity - lengths[i]])
+
+    lengths = sorted(lengths, reverse=True)
+    put(0, [])
+    return best
+
+
+def test_packing_is_near_the_least(docs):
+    rnd = random.Random(8)
+    for _ in range(150):
+        capacity = rnd.choice([10, 20, 1024])
+        lengths = [rnd.randint(1, capacity) for _ in range(rnd.randint(0, 9))]
+        got = packing.plan(Counter(lengths), capacity).sequences
+        assert fewest(lengths, capacity) <= got <= fewest(lengths, capacity) + (len(lengths) > 6)
+    for seed in range(4):
+        lengths = Counter(min(int(np.random.default_rng([seed, i]).lognormal(6, 1)) + 1, 1024) for i in range(3000))
+        alone = packing.Plan(1024)
+        for length in sorted(lengths, reverse=True):
+            alone.best_fit(length, lengths[length])
+        bound = -(-sum(length * n for length, n in lengths.items()) // 1024)
+        got = packing.plan(lengths).sequences
+        assert bound <= got <= min(alone.sequences, int(bound * 1.005) + 1)
 
 
 def test_tokens_agree_with_the_library(spark, docs, corpus):
