@@ -31,6 +31,8 @@ SLICE = 1 << 19
 SLACK = 4
 #: Bits of an n-gram's key in its hash partition.
 KEY = 24
+#: Parts of a language that are ranked by themselves first.
+DEALT = 16
 #: Bytes of text per hash partition, so that a task's part of the n-grams stays of one size at any size of the corpus.
 PART = 4 << 20
 
@@ -296,6 +298,10 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     held = cuts.where(F.col("words") == LONGEST).select("lang", F.when(F.col("k") == 1, F.col("right")).otherwise(F.col("left")).alias("phrase"), "a")
     held = held.groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
     kept = worst.join(held, ["lang", "phrase"], "left").where(F.col("longer").isNull() | (100 * F.col("longer") < share * F.col("a")))
-    order = Window.partitionBy("lang").orderBy(F.desc("worst.score"), F.desc("a"), F.asc("phrase"))
-    ranked = kept.select("lang", "phrase", "a", "worst", F.row_number().over(order).alias("rank")).where(F.col("rank") <= first)
+    # First in DEALT parts of each language, so that the last step sees no more rows than these keep, however many tasks there are.
+    order = [F.desc("worst.score"), F.desc("a"), F.asc("phrase")]
+    part = Window.partitionBy("lang", "dealt").orderBy(*order)
+    few = kept.select("lang", "phrase", "a", "worst", F.pmod(F.xxhash64("phrase"), F.lit(DEALT)).alias("dealt"))
+    few = few.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= first)
+    ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= first)
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "worst.l", "worst.r", "n", "worst.score")
