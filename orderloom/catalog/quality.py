@@ -10,7 +10,7 @@ from orderloom.catalog.shared import LINES, money, pacific, plain, store
 from orderloom.functions.ids import normalize_id
 from orderloom.functions.money import MONEY, to_money
 from orderloom.functions.semi import object_entries
-from orderloom.functions.times import from_millis, pacific_date, to_millis
+from orderloom.functions.times import as_utc, from_millis, micros, pacific_date, to_millis, to_pacific
 from orderloom.operators.connectors import reconcile, reconcile_summary
 from orderloom.operators.quality import (
     check_id_consistency,
@@ -25,6 +25,9 @@ from orderloom.sources.registry import StoreSource
 from orderloom.sources.sinks import conform
 
 
+CUT_OVER = "1998-01-01"
+
+
 def id_normalize(spark: SparkSession, sf: str) -> DataFrame:
     """Order keys in four spellings: plain, decimal, exponent, and not a number."""
     key = F.col("o_orderkey").cast("string")
@@ -68,17 +71,36 @@ def id_consistency_check(spark: SparkSession, sf: str) -> DataFrame:
     return plain(found.drop("error_message"))
 
 
+def id_consistency_since(spark: SparkSession, sf: str) -> DataFrame:
+    """The same among rows shipped after a cut-over."""
+    text = F.col("l_linenumber").cast("string")
+    rows = D.table(spark, sf, "lineitem").select(
+        D.store_of("l_orderkey").alias("brand"),
+        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.when(F.col("l_linestatus") == "F", F.concat(text, F.lit(".000000000"))).otherwise(text).alias("raw_id"),
+        "l_shipdate",
+    )
+    since = F.col("l_shipdate") >= F.lit(CUT_OVER).cast("timestamp_ntz")
+    return plain(check_id_consistency([("lines", rows, "raw_id")], ["brand", "order_id"], since).drop("error_message"))
+
+
+def zoned_times(spark: SparkSession, sf: str) -> DataFrame:
+    """Times that arrive as instants: UTC wall clocks, whatever the session's zone."""
+    events = D.table(spark, sf, "events").select("event_id", F.timestamp_micros(micros(F.col("ts"))).alias("at"))
+    return plain(as_utc(events, "at").select("event_id", "at", to_pacific(F.col("at")).alias("at_pacific")))
+
+
 def unique_check(spark: SparkSession, sf: str) -> DataFrame:
     found = check_unique(D.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], "Duplicate line item.")
     return plain(found)
 
 
 def mart_unique_check(spark: SparkSession, sf: str) -> DataFrame:
-    """Keys of the current line items that still occur twice: none."""
-    raw = D.storefront_orders(D.table(spark, sf, "lineitem"))
-    staged = S.stage_order_lines(raw)
-    mart = S.storefront_line_items(staged, staged.limit(0), migrated=[])
-    return plain(check_unique(mart, S.LINE_KEY, "Duplicate line item."))
+    """Keys that occur twice in the current line items: those of one store, whose mart rows were appended a second time."""
+    lineitem = D.table(spark, sf, "lineitem")
+    legacy, replacement = (S.stage_order_lines(D.storefront_orders(lineitem, native)) for native in (False, True))
+    mart = S.storefront_line_items(legacy, replacement, migrated=D.MOVED).select(*S.LINE_KEY)
+    return plain(check_unique(mart.unionByName(mart.where("brand = 'STORE_B'")), S.LINE_KEY, "Duplicate line item."))
 
 
 def freshness(spark: SparkSession, sf: str) -> DataFrame:
@@ -145,6 +167,8 @@ def schema_sync(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "id_consistency_since": id_consistency_since,
+    "zoned_times": zoned_times,
     "id_normalize": id_normalize,
     "id_format_check": id_format_check,
     "id_consistency_check": id_consistency_check,
@@ -179,6 +203,17 @@ _COPIES = f"""
 """
 
 ORACLES = {
+    "id_consistency_since": f"""
+    with li as ({LINES}),
+    raw as (
+        select brand, order_id, line_id, case when l_linestatus = 'F' then line_id || '.000000000' else line_id end as raw_id
+        from li where l_shipdate >= timestamp '{CUT_OVER}'
+    )
+    select 'lines' as model_name, brand, order_id, line_id as normalized_id, count(distinct raw_id) as distinct_formats,
+           string_agg(distinct raw_id, ', ' order by raw_id) as format_examples
+    from raw group by brand, order_id, line_id having count(distinct raw_id) > 1
+""",
+    "zoned_times": f"select event_id, cast(ts as varchar) as at, cast({pacific('ts')} as varchar) as at_pacific from events",
     "id_normalize": """
     select o_orderkey, cast(o_orderkey as varchar) as id_plain, cast(o_orderkey as varchar) as id_decimal,
            cast(o_orderkey as varchar) as id_exponent, null::varchar as id_text
@@ -204,10 +239,22 @@ ORACLES = {
            'Duplicate line item.' as error_message
     from lineitem group by l_orderkey, lineitem.l_linenumber having count(*) > 1
 """,
-    "mart_unique_check": """
-    select 'Storefront' as source_platform, '' as brand, '' as order_id, '' as line_item_id, 'sale' as row_type,
-           0::bigint as row_count, '' as error_message
-    from lineitem where false
+    # Every line is a sale of its own and brings a gift line.
+    "mart_unique_check": f"""
+    with li as ({LINES}),
+    lines as (select order_id, line_id, l_returnflag, l_shipdate, loaded_at, batch_id from li where brand = 'STORE_B'),
+    newest as (
+        select * from (
+            select order_id, line_id as line_item_id, l_returnflag, l_shipdate, loaded_at, batch_id from lines
+            union all
+            select order_id, cast(line_id::int + 100 as varchar), l_returnflag, l_shipdate, loaded_at, batch_id from lines
+        )
+        where l_returnflag <> 'A'
+        qualify row_number() over (partition by order_id, line_item_id order by l_shipdate desc, loaded_at desc, batch_id desc) = 1
+    )
+    select 'Storefront' as source_platform, 'STORE_B' as brand, order_id, line_item_id, 'sale' as row_type,
+           2::bigint as row_count, 'Duplicate line item.' as error_message
+    from newest
 """,
     "freshness": f"""
     select cast(max(ts) as varchar) as max_loaded_at,

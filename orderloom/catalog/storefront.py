@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.catalog.shared import LINES, MOVED, money, pacific, plain
 from orderloom.functions.ids import normalize_id
+from orderloom.functions.semi import explode_array
 from orderloom.functions.semi import rejected_payloads as rejected
 from orderloom.operators.attributes import MAP, attribute_columns
 from orderloom.operators.connectors import union_connectors
 from orderloom.operators.quality import check_refund_overlap
+from orderloom.plans import marketplace as M
 from orderloom.plans import refunds as R
 from orderloom.plans import storefront as S
+from orderloom.plans.columns import IDENTIFYING
 from orderloom.sources import derived as D
 
 _STAGED = [
@@ -31,7 +36,8 @@ def _legacy(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _replacement(spark: SparkSession, sf: str) -> DataFrame:
-    return D.storefront_orders(_lineitem(spark, sf), native=True).where(F.col("brand").isin(*D.MOVED))
+    """The replacement connector holds all stores, moved or not."""
+    return D.storefront_orders(_lineitem(spark, sf), native=True)
 
 
 def explode_json_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -109,7 +115,8 @@ def connector_union(spark: SparkSession, sf: str) -> DataFrame:
 def storefront_mart(spark: SparkSession, sf: str) -> DataFrame:
     legacy, replacement = _legacy(spark, sf), _replacement(spark, sf)
     kept = legacy.where(~F.col("brand").isin(*D.MOVED))
-    attributes = S.order_attributes(kept).unionByName(S.order_attributes(replacement))
+    # Each store's attributes come from the connector it is on.
+    attributes = S.order_attributes(kept).unionByName(S.order_attributes(replacement.where(F.col("brand").isin(*D.MOVED))))
     mart = S.storefront_line_items(
         S.stage_order_lines(legacy), S.stage_order_lines(replacement), attributes, migrated=D.MOVED
     )
@@ -131,7 +138,7 @@ def _refund_columns(records: DataFrame) -> DataFrame:
 
 def refunds_canonical(spark: SparkSession, sf: str) -> DataFrame:
     lineitem = _lineitem(spark, sf)
-    replacement = D.storefront_refunds(lineitem, native=True).where(F.col("brand").isin(*D.MOVED))
+    replacement = D.storefront_refunds(lineitem, native=True)
     feeds = [S.orders_with_lines(_legacy(spark, sf)), S.orders_with_lines(_replacement(spark, sf))]
     known = R.known_orders(
         *[f.where("source_name != 'marketplace'").select("brand", normalize_id(F.col("id")).alias("order_id")) for f in feeds]
@@ -153,7 +160,62 @@ def refund_overlap_check(spark: SparkSession, sf: str) -> DataFrame:
     return plain(check_refund_overlap(R.refund_records(D.storefront_refunds(_lineitem(spark, sf)))))
 
 
+def shipping_outer(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders with each of their shipping lines, or with none."""
+    rows, line = explode_array(_legacy(spark, sf), "shipping_lines", outer=True)
+    return plain(rows.select("brand", normalize_id(F.col("id")).alias("order_id"), "updated_at", line.get("$.title", "string").alias("title"), F.col("element_pos").cast("bigint").alias("at")))
+
+
+def attributes_default(spark: SparkSession, sf: str) -> DataFrame:
+    """Attribute maps of orders of which some have no notes, an empty list, or text that is no list: their map is empty, not missing."""
+    number = normalize_id(F.col("id")).cast("bigint")
+    notes = F.when(number % 5 == 1, F.lit(None)).when(number % 5 == 2, "[]").when(number % 5 == 3, "{").otherwise(F.col("note_attributes"))
+    mapped = S.order_attributes(_legacy(spark, sf).withColumn("note_attributes", notes.cast("string")))
+    return mapped.select("brand", "order_id", F.size(MAP).cast("bigint").alias("attributes"), F.col(MAP).isNull().alias("missing"))
+
+
+def discount_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The allocations of staged lines, kept whole as JSON text."""
+    lines = S.stage_order_lines(_legacy(spark, sf))
+    text = F.col("discount_allocations")
+    kinds = [F.get_json_object(text, f"$[{i}].amount").cast("double").alias(f"amount_{i}") for i in range(2)]
+    return plain(lines.select("brand", "order_id", "line_item_id", "updated_at", "batch_id", F.json_array_length(text).cast("bigint").alias("allocations"), *kinds))
+
+
+def null_elements(spark: SparkSession, sf: str) -> DataFrame:
+    """Payloads that begin with a JSON null, and prices that are one: a line without an id, and a NULL price beside its neighbours' values."""
+    first = F.concat(F.lit("[null,"), F.expr("substring(line_items, 2)"))
+    priced = F.regexp_replace(first, '"price":"0"', '"price":null')
+    lines = S.stage_order_lines(_legacy(spark, sf).withColumn("line_items", priced))
+    counts = [F.count("*").alias("lines"), F.count("line_item_id").alias("with_id"), F.count("product_price").alias("with_price"), F.sum("product_price").cast("decimal(38,2)").alias("price")]
+    return plain(lines.groupBy("brand", "element_pos").agg(*counts))
+
+
+def personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    """Identifying columns of every staged feed: none by default, and the one that is asked for by name."""
+    lineitem, orders = _lineitem(spark, sf), D.table(spark, sf, "orders")
+    raw = D.marketplace_returns(orders)
+    made = {
+        "order_lines": S.stage_order_lines(_legacy(spark, sf)),
+        "refunds": R.refund_records(D.storefront_refunds(lineitem)),
+        "marketplace_lines": M.stage_lines(D.marketplace_orders(lineitem)),
+        "returns": M.returns(raw),
+        "returns_asked": M.returns(raw, allow=["return_reason_text"]),
+    }
+    shown = []
+    for feed, rows in made.items():
+        known = [c for c in rows.columns if c in IDENTIFYING]
+        cells = sum((F.count(c) for c in known), F.lit(0))
+        shown.append(rows.agg(F.lit(feed).alias("feed"), F.lit(",".join(known)).alias("columns"), cells.cast("bigint").alias("cells")))
+    return reduce(DataFrame.unionByName, shown)
+
+
 QUERIES = {
+    "shipping_outer": shipping_outer,
+    "attributes_default": attributes_default,
+    "discount_text": discount_text,
+    "null_elements": null_elements,
+    "personal_data": personal_data,
     "rejected_payloads": rejected_payloads,
     "both_connectors_refunds": both_connectors_refunds,
     "explode_json_lines": explode_json_lines,
@@ -257,6 +319,37 @@ _RECORD_COLUMNS = """
 _BRAND_FULL = "'Store ' || right(brand, 1)"
 
 ORACLES = {
+    "shipping_outer": f"""
+    select brand, order_id, cast(l_shipdate as varchar) as updated_at, case when l_returnflag <> 'N' then 'Standard' end as title,
+           case when l_returnflag <> 'N' then 0 end::bigint as "at"
+    from ({LINES})
+""",
+    "attributes_default": f"""
+    select distinct brand, order_id, case when l_orderkey % 5 in (1, 2, 3) then 0 else 4 end::bigint as attributes, false as missing from ({LINES})
+""",
+    "discount_text": _EXPLODED
+    + """
+    select brand, order_id, line_item_id, cast(l_shipdate as varchar) as updated_at, batch_id,
+           case when line_item_discount_total is null then 0 else 2 end::bigint as allocations,
+           case when line_item_discount_total is not null then l_extendedprice * l_discount end as amount_0,
+           case when line_item_discount_total is not null then l_tax end as amount_1
+    from staged
+""",
+    "null_elements": f"""
+    with li as ({LINES})
+    select brand, 0::bigint as element_pos, count(*) as lines, 0::bigint as with_id, 0::bigint as with_price, null::double as price from li group by 1
+    union all
+    select brand, 1, count(*), count(*), count(*), sum(l_extendedprice::decimal(18,2))::double from li group by 1
+    union all
+    select brand, 2, count(*), count(*), 0, null from li group by 1
+""",
+    "personal_data": """
+    select 'order_lines' as feed, '' as columns, 0::bigint as cells
+    union all select 'refunds', '', 0
+    union all select 'marketplace_lines', '', 0
+    union all select 'returns', '', 0
+    union all select 'returns_asked', 'return_reason_text', 2 * count(*) from orders where o_orderpriority <> '5-LOW'
+""",
     "rejected_payloads": f"""
     select brand, order_id, cast(l_shipdate as varchar) as updated_at from ({LINES})
     where l_orderkey % 7 = 0 or l_orderkey % 11 = 0
@@ -309,9 +402,9 @@ ORACLES = {
 """,
     "connector_union": _EXPLODED
     + f"""
-    select brand, order_id, line_item_id, quantity, product_price,
-           case when brand in {MOVED} then null else batch_id end as batch_id
-    from staged
+    select brand, order_id, line_item_id, quantity, product_price, batch_id from staged where brand not in {MOVED}
+    union all
+    select brand, order_id, line_item_id, quantity, product_price, null from staged
 """,
     "storefront_mart": _EXPLODED
     + f""",

@@ -16,10 +16,6 @@ def to_money(col: Column) -> Column:
     return col.cast(MONEY)
 
 
-def try_money(col: Column) -> Column:
-    return col.try_cast(MONEY)
-
-
 def from_cents(cents: Column) -> Column:
     """Whole cents as money. Integer arithmetic on cents is exact and much cheaper than decimals."""
     return (cents.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")).cast(MONEY)
