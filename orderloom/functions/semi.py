@@ -34,6 +34,8 @@ class Element:
         found = _resolve(self.col, self.data_type, path)
         if found is None:
             return F.lit(None).cast(as_type)
+        if isinstance(found[1], T.VariantType):
+            return (F.variant_get if self.strict else F.try_variant_get)(found[0], found[2], as_type)
         return found[0].cast(as_type) if self.strict else found[0].try_cast(as_type)
 
     def first_of(self, paths: list[str], as_type: str) -> Column:
@@ -49,7 +51,7 @@ class Element:
             return F.try_variant_get(self.col, path, _structs_type(fields))
         found = _resolve(self.col, self.data_type, path)
         if found and isinstance(found[1], T.VariantType):
-            return F.try_variant_get(found[0], "$", _structs_type(fields))
+            return F.try_variant_get(found[0], found[2], _structs_type(fields))
         if found is None or not isinstance(found[1], T.ArrayType):
             return F.lit(None).cast(_structs_type(fields))
         return _native_structs(found[0], found[1].elementType, fields)
@@ -62,7 +64,7 @@ class Element:
         if found is None:
             return F.lit(None).cast("string")
         if isinstance(found[1], T.VariantType):
-            return F.try_variant_get(found[0], "$", "string")
+            return F.try_variant_get(found[0], found[2], "string")
         return F.to_json(found[0])
 
 
@@ -71,7 +73,7 @@ def json_structs(df: DataFrame, name: str, fields: Mapping[str, str]) -> Column:
     kind = df.schema[name].dataType
     if isinstance(kind, T.ArrayType):
         return _native_structs(F.col(name), kind.elementType, fields)
-    return _typed_array(df, name, fields, strict=False)[0]
+    return typed_array(df, name, fields, strict=False)[0]
 
 
 def json_array(df: DataFrame, name: str, strict: bool = False) -> tuple[Column, T.DataType]:
@@ -101,7 +103,7 @@ def explode_array(
     """
     array, kind = json_array(df, name, strict)
     if fields and isinstance(kind, T.VariantType):
-        array, kind = _typed_array(df, name, fields, strict)
+        array, kind = typed_array(df, name, fields, strict)
     explode = F.posexplode_outer if outer else F.posexplode
     rest = [F.col(c) for c in df.columns if c != name]
     rows = df.select(*rest, explode(array).alias(f"{element}_pos", element))
@@ -154,10 +156,10 @@ def _structs_type(fields: Mapping[str, str]) -> str:
     return "array<struct<" + ",".join(f"{n}:{t}" for n, t in fields.items()) + ">>"
 
 
-def _typed_array(
+def typed_array(
     df: DataFrame, name: str, fields: Mapping[str, str], strict: bool
 ) -> tuple[Column, T.DataType]:
-    """JSON text or a VARIANT as an array of structs, with the struct type."""
+    """JSON text or a VARIANT as an array of structs of ``fields`` (name to type), with the struct type."""
     col = F.col(name)
     if isinstance(df.schema[name].dataType, T.StringType):
         col = F.parse_json(col) if strict else F.try_parse_json(col)
@@ -179,9 +181,12 @@ def _native_structs(array: Column, kind: T.DataType, fields: Mapping[str, str])
     return F.transform(array, struct)
 
 
-def _resolve(col: Column, kind: T.DataType, path: str) -> tuple[Column, T.DataType] | None:
-    """Follow a JSON path through native types; None where the schema has no such path."""
-    for field, index in _STEP.findall(path):
+def _resolve(col: Column, kind: T.DataType, path: str) -> tuple[Column, T.DataType, str] | None:
+    """Follow a JSON path through native types, to its end or to a VARIANT and the path left in it; None where the schema has no such path."""
+    for step in _STEP.finditer(path):
+        field, index = step.groups()
+        if isinstance(kind, T.VariantType):
+            return col, kind, "$" + path[step.start() :]
         if field and isinstance(kind, T.StructType) and field in kind.names:
             col, kind = col.getField(field), kind[field].dataType
         elif field and isinstance(kind, T.MapType):
@@ -190,4 +195,4 @@ def _resolve(col: Column, kind: T.DataType, path: str) -> tuple[Column, T.DataTy
             col, kind = F.get(col, F.lit(int(index))), kind.elementType
         else:
             return None
-    return col, kind
+    return col, kind, "$"

@@ -7,11 +7,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderloom.functions import keys as K
 from orderloom.functions.ids import normalize_id
 from orderloom.functions.money import safe_divide
-from orderloom.functions.semi import Element, json_array
+from orderloom.functions.semi import Element, json_array, typed_array
 from orderloom.functions.times import as_utc, to_pacific
 from orderloom.operators.connectors import union_connectors
 from orderloom.operators.dedup import keep_latest, row_hash
@@ -55,6 +56,20 @@ RECORD = {
 }
 
 
+# The fields of the payloads' elements; those without a type of their own differ in shape between connectors.
+PAYLOADS = {
+    "order_adjustments": {
+        "id": "decimal(38,0)", "amount": "double", "kind": "string", "reason": "string", "refund_id": "decimal(38,0)",
+        "tax_amount": "double", "amount_set": "variant",
+    },
+    "refund_line_items": {
+        "id": "decimal(38,0)", "quantity": "int", "subtotal": "double", "restock_type": "string", "total_tax": "double",
+        "line_item": "variant", "subtotal_set": "variant",
+    },
+    "refund_shipping_lines": {"id": "decimal(38,0)", "shipping_line": "variant", "price_set": "variant"},
+}
+
+
 def refund_records(refunds: DataFrame, strict: bool = True, allow: Sequence[str] = ()) -> DataFrame:
     """Typed refund records of both connectors, latest version per record.
 
@@ -228,8 +243,13 @@ def _currency(e: Element, money_set: str) -> Column:
 def _records(
     rows: DataFrame, name: str, build: Callable[[Element], dict[str, Column]], strict: bool
 ) -> Column:
-    """The payload array in ``name`` as an array of records; empty when there is no payload."""
+    """The payload array in ``name`` as an array of records; empty when there is no payload.
+
+    JSON elements are read as structs in one step; only what comes as an object or as an array stays a VARIANT in them.
+    """
     array, kind = json_array(rows, name, strict)
+    if isinstance(kind, T.VariantType):
+        array, kind = typed_array(rows, name, PAYLOADS[name], strict)
     records = F.transform(array, lambda e: _record(build(Element(e, kind, strict))))
     return F.coalesce(records, F.array().cast(_record_array()))
 
