@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orderloom.catalog.shared import LINES, MOVED, money, pacific, plain
 from orderloom.functions.ids import normalize_id
-from orderloom.functions.semi import explode_array
+from orderloom.functions.semi import explode_array, parse_payloads
 from orderloom.functions.semi import rejected_payloads as rejected
 from orderloom.operators.attributes import MAP, attribute_columns
 from orderloom.operators.connectors import union_connectors
@@ -18,6 +18,7 @@ from orderloom.plans import marketplace as M
 from orderloom.plans import refunds as R
 from orderloom.plans import storefront as S
 from orderloom.plans.columns import IDENTIFYING
+from orderloom.session import shared_folder
 from orderloom.sources import derived as D
 
 _STAGED = [
@@ -27,6 +28,13 @@ _STAGED = [
 ]
 
 
+_SHIPPING = [
+    "brand", "brand_full", "order_id", "line_item_id", "order_line_key", "product_key",
+    "purchase_date", "purchase_date_pst", "last_updated_date", "currency", "shipping_price_total",
+    "shipping_promotion_discount_total", "status",
+]
+
+
 def _lineitem(spark: SparkSession, sf: str) -> DataFrame:
     return D.table(spark, sf, "lineitem")
 
@@ -96,13 +104,7 @@ def shipping_mart(spark: SparkSession, sf: str) -> DataFrame:
         S.stage_shipping_lines(_replacement(spark, sf)),
         migrated=D.MOVED,
     )
-    return plain(
-        mart.select(
-            "brand", "brand_full", "order_id", "line_item_id", "order_line_key", "product_key",
-            "purchase_date", "purchase_date_pst", "last_updated_date", "currency", "shipping_price_total",
-            "shipping_promotion_discount_total", "status",
-        )
-    )
+    return plain(mart.select(*_SHIPPING))
 
 
 def connector_union(spark: SparkSession, sf: str) -> DataFrame:
@@ -210,7 +212,40 @@ def personal_data(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, shown)
 
 
+def _stored(spark: SparkSession, orders: DataFrame, name: str) -> DataFrame:
+    """A feed stored with its payloads parsed."""
+    path = shared_folder(spark, name)
+    parse_payloads(orders, ["line_items", "shipping_lines", "note_attributes"]).write.partitionBy("brand").parquet(path)
+    return spark.read.parquet(path)
+
+
+def parsed_once_mart(spark: SparkSession, sf: str) -> DataFrame:
+    """The line-item mart over stored feeds whose payloads were parsed when they arrived; lines and notes read the same VARIANTs."""
+    legacy, replacement = _stored(spark, _legacy(spark, sf), "legacy"), _replacement(spark, sf)
+    kept = legacy.where(~F.col("brand").isin(*D.MOVED))
+    attributes = S.order_attributes(kept).unionByName(S.order_attributes(replacement.where(F.col("brand").isin(*D.MOVED))))
+    mart = S.storefront_line_items(S.stage_order_lines(legacy), S.stage_order_lines(replacement), attributes, migrated=D.MOVED)
+    return plain(mart.drop(MAP, "tags"))
+
+
+def parsed_once_shipping(spark: SparkSession, sf: str) -> DataFrame:
+    stored = _stored(spark, _legacy(spark, sf), "legacy")
+    mart = S.storefront_shipping(S.stage_shipping_lines(stored), S.stage_shipping_lines(_replacement(spark, sf)), migrated=D.MOVED)
+    return plain(mart.select(*_SHIPPING))
+
+
+def parsed_once_rejected(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders whose line payload was cut off: known from the stored feed, without parsing it again."""
+    number = normalize_id(F.col("id").cast("string")).cast("bigint")
+    cut = F.expr("substring(line_items, 1, length(line_items) - 2)")
+    stored = _stored(spark, _legacy(spark, sf).withColumn("line_items", F.when(number % 7 == 0, cut).otherwise(F.col("line_items"))), "legacy")
+    return plain(rejected(stored, "line_items").select("brand", normalize_id(F.col("id")).alias("order_id"), "updated_at"))
+
+
 QUERIES = {
+    "parsed_once_mart": parsed_once_mart,
+    "parsed_once_shipping": parsed_once_shipping,
+    "parsed_once_rejected": parsed_once_rejected,
     "shipping_outer": shipping_outer,
     "attributes_default": attributes_default,
     "discount_text": discount_text,
@@ -473,3 +508,9 @@ ORACLES = {
     from totals where line_rows > 0 and adjustment_rows > 0
 """,
 }
+
+ORACLES |= {
+    "parsed_once_mart": ORACLES["storefront_mart"],
+    "parsed_once_shipping": ORACLES["shipping_mart"],
+    "parsed_once_rejected": f"select brand, order_id, cast(l_shipdate as varchar) as updated_at from ({LINES}) where l_orderkey % 7 = 0",
+}

@@ -9,7 +9,7 @@ does not spoil its neighbours.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -113,13 +113,35 @@ def explode_array(
 def rejected_payloads(df: DataFrame, name: str) -> DataFrame:
     """The rows whose JSON text in ``name`` does not parse: what a tolerant read leaves out.
 
-    NULL texts are not rejected; a native column never is.
+    NULL texts are not rejected; a native column never is. Of payloads parsed before (:func:`parse_payloads`) those whose text was kept.
     """
+    if f"{name}_rejected" in df.columns:
+        return df.where(F.col(f"{name}_rejected").isNotNull())
     if not isinstance(df.schema[name].dataType, T.StringType):
         return df.where(F.lit(False))
     return df.where(F.col(name).isNotNull() & F.try_parse_json(F.col(name)).isNull())
 
 
+def parse_payloads(df: DataFrame, names: Sequence[str], strict: bool = False) -> DataFrame:
+    """``df`` with the JSON texts in ``names`` parsed, once, as VARIANTs; columns it lacks or that are no text stay as they are.
+
+    Written to parquet, a VARIANT's fields are columns of their own that later reads pick by path. A text that does not parse is kept in
+    ``<name>_rejected``, or with ``strict`` fails.
+    """
+    texts = [n for n in names if n in df.columns and isinstance(df.schema[n].dataType, T.StringType)]
+    if strict:
+        return df.withColumns({n: F.parse_json(n) for n in texts})
+    rejected = {f"{n}_rejected": F.when(F.col(n).isNotNull() & F.try_parse_json(n).isNull(), F.col(n)) for n in texts}
+    return df.withColumns(rejected).withColumns({n: F.try_parse_json(n) for n in texts})
+
+
+def typed_payload(df: DataFrame, name: str, fields: Mapping[str, str], strict: bool = False) -> DataFrame:
+    """``df`` with a VARIANT in ``name`` as an array of structs of ``fields``; other columns stay. Put right above a scan, it reads these fields alone."""
+    if name not in df.columns or not isinstance(df.schema[name].dataType, T.VariantType):
+        return df
+    return df.withColumn(name, typed_array(df, name, fields, strict)[0])
+
+
 def parse_head(df: DataFrame, name: str, into: str, strict: bool = False) -> tuple[DataFrame, Element]:
     """Element 0 of the array in ``name`` as column ``into``, parsed once per row."""
     array, kind = json_array(df, name, strict)

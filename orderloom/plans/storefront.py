@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from orderloom.functions import keys as K
 from orderloom.functions.ids import normalize_id
 from orderloom.functions.money import nonzero, safe_divide, to_money
-from orderloom.functions.semi import array_sum, explode_array, json_array
+from orderloom.functions.semi import array_sum, explode_array, json_array, typed_payload
 from orderloom.functions.times import as_utc, to_pacific
-from orderloom.operators.attributes import ATTRIBUTES, MAP, attribute_columns, attributes_map
+from orderloom.operators.attributes import ATTRIBUTES, MAP, NOTE, attribute_columns, attributes_map
 from orderloom.operators.connectors import union_connectors
 from orderloom.operators.dedup import keep_latest, row_hash
 from orderloom.plans.columns import (
@@ -44,7 +44,8 @@ def explode_lines(orders: DataFrame, strict: bool = False) -> DataFrame:
     The line's discount is the sum of the allocations in its own payload, taken inside the row:
     no join, and allocations of older versions are never added to newer ones.
     """
-    rows, line = explode_array(_order_rows(orders), "line_items", strict=strict, fields=ORDER_LINE)
+    rows = _order_rows(typed_payload(orders, "line_items", ORDER_LINE, strict))
+    rows, line = explode_array(rows, "line_items", strict=strict, fields=ORDER_LINE)
     allocations = line.structs("$.discount_allocations", {"amount": "double"})
     quantity = line.get("$.quantity", "double")
     out = rows.select(
@@ -72,7 +73,7 @@ def explode_shipping(orders: DataFrame, marketplace_tag: str, strict: bool = Tru
     Orders whose e-mail domain names the marketplace are left out, and so are orders without an
     e-mail, whose origin cannot be told.
     """
-    own = orders.where(~K.domain_mentions(F.col("email"), marketplace_tag))
+    own = typed_payload(orders, "shipping_lines", SHIPPING_LINE, strict).where(~K.domain_mentions(F.col("email"), marketplace_tag))
     rows, line = explode_array(_order_rows(own), "shipping_lines", strict=strict, fields=SHIPPING_LINE)
     allocations = line.structs("$.discount_allocations", {"amount": "double"})
     rows = rows.withColumnRenamed("name", "order_name")
@@ -116,7 +117,7 @@ def line_discounts(lines: DataFrame) -> DataFrame:
 
 def order_attributes(orders: DataFrame) -> DataFrame:
     """Attribute map per order, from the payload loaded last."""
-    rows = with_load_time(orders).select(
+    rows = with_load_time(typed_payload(orders, "note_attributes", NOTE)).select(
         F.upper("brand").alias("brand"),
         normalize_id(F.col("id")).alias("order_id"),
         "note_attributes",

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.semi import rejected_payloads
+from orderloom.functions.semi import parse_payloads, rejected_payloads
 from orderloom.operators.attributes import MAP
 from orderloom.operators.connectors import reconcile, reconcile_summary, union_connectors
 from orderloom.operators.quality import (
@@ -18,6 +18,7 @@ from orderloom.operators.quality import (
 )
 from orderloom.plans import refunds as R
 from orderloom.plans import storefront as S
+from orderloom.sources import derived as D
 from orderloom.sources.readers import brand_map, read_stores, with_brand_name
 from orderloom.sources.registry import MIGRATED, STORE_NAMES, StoreSource, store_mappings
 from orderloom.sources.sinks import register_view
@@ -356,3 +357,29 @@ def test_malformed_payloads_are_reported(spark, rows):
     assert rejected_payloads(native(raw), "line_items").count() == 0
     with pytest.raises(Exception, match="MALFORMED"):
         S.stage_shipping_lines(orders(spark, order("a", "1", None, shipping="[{"))).count()
+
+
+def test_stored_payloads_are_parsed_once_and_read_by_path(spark, tmp_path):
+    """The stored feed holds VARIANTs: staging parses no text, and its scan asks for the fields it needs, not for the payload."""
+    lineitem = D.table(spark, "/root/testdata/sf0.001", "lineitem")
+    raw = D.storefront_orders(lineitem)
+    parse_payloads(raw, ["line_items", "shipping_lines", "note_attributes", "absent"]).write.parquet(str(tmp_path / "f"))
+    stored = spark.read.parquet(str(tmp_path / "f"))
+    lines, notes = S.stage_order_lines(stored).drop("discount_allocations"), S.order_attributes(stored)
+    for df in (lines, notes, S.stage_shipping_lines(stored)):
+        assert "parse_json" not in df._jdf.queryExecution().optimizedPlan().toString().lower()
+    read = lines._jdf.queryExecution().executedPlan().toString()
+    schema = read[read.index("ReadSchema") :].split("\n")[0]
+    assert "variant" not in schema and "array<struct" in schema
+    for stage in (S.stage_order_lines, S.stage_shipping_lines):
+        columns = [c for c, kind in stage(raw).dtypes if kind != "map<string,string>"]
+        assert sorted(map(str, stage(stored).select(columns).collect())) == sorted(map(str, stage(raw).select(columns).collect()))
+
+
+def test_payloads_that_do_not_parse(spark):
+    df = spark.createDataFrame([(1, "[1]"), (2, "["), (3, None)], "k int, p string")
+    got = {r.k: r for r in parse_payloads(df, ["p"]).selectExpr("k", "cast(p as string) p", "p_rejected").collect()}
+    assert [got[k].p for k in (1, 2, 3)] == ["[1]", None, None] and [got[k].p_rejected for k in (1, 2, 3)] == [None, "[", None]
+    assert [r.k for r in rejected_payloads(parse_payloads(df, ["p"]), "p").collect()] == [2]
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        parse_payloads(df, ["p"], strict=True).collect()
