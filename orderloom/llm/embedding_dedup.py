@@ -5,8 +5,10 @@ halving radii: the centres of a level lie more than its radius apart, every poin
 levels. A pair of nodes is dropped when its centres are farther apart than the threshold chord plus both covering radii; what is left at
 the finest level is checked in double precision on the vectors as given.
 
-A label has as many trees as its size asks for: its points are dealt into cells of bounded size around pivots, a cell is a tree, and pairs of cells
-that pass the same test on pivots and radii are separate tasks. A task returns how many links each node has and a forest of them, not all pairs.
+A label has as many trees as its size asks for: its points are dealt to pivots, those of a crowded pivot to new pivots among them, and so on, until a
+cell is of bounded size. These top levels are walked in pairs on the cluster, level by level: only pairs of nodes that pass the test on pivots and
+radii go down to their children, so the pairs grow with what lies near, not with the square of the label. A cell is a tree of its own, and a pair of cells that is left
+a task. A task returns how many links each node has and a forest of them, not all pairs.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from orderloom.llm.components import components
 
 CELL = 2048
 PIVOTS = 32
+#: A cell that keeps more than this share of its points at one pivot is not split on: they lie too close together.
+STUCK = 0.9
 BLOCK = 256
 SLACK = 1e-7
 
@@ -135,17 +139,69 @@ def _children(left: np.ndarray, right: np.ndarray, up_a: np.ndarray, up_b: np.nd
     return x, y
 
 
-def _pivots(nodes: DataFrame, label: str) -> DataFrame:
-    """Per label: its number of cells and, chosen by hash, a pivot for each, PIVOTS at most."""
-    picks = [F.min_by("unit", F.xxhash64("node", F.lit(i))) for i in range(PIVOTS)]
-    counted = nodes.groupBy(label).agg(F.ceil(F.count("*") / CELL).cast("int").alias("_cells"), F.array(*picks).alias("_pivots"))
-    return counted.select(label, "_cells", F.slice("_pivots", 1, F.least("_cells", F.lit(PIVOTS))).alias("_pivots"))
-
-
 def _dot(a, b):
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
+def _chord(x, y):
+    return F.sqrt(F.greatest(2 - 2 * _dot(x, y), F.lit(0.0)))
+
+
+def _levels(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """``nodes`` with their ``cell``, a path of pivots; and per level the balls: label, parent, cell, centre, radius and whether it is split on.
+
+    A round deals the points of the cells that are still crowded to PIVOTS new pivots each, chosen by hash. It ends as every round makes cells
+    smaller than STUCK of what they were or leaves them.
+    """
+    opened = nodes.withColumn("cell", F.lit("0"))
+    done, levels = [], []
+    while True:
+        picks = [F.min_by("unit", F.xxhash64("node", "cell", F.lit(i))) for i in range(PIVOTS)]
+        counted = opened.groupBy("label", "cell").agg(F.count("*").alias("_rows"), F.array(*picks).alias("_pivots"))
+        wanted = F.least(F.ceil(F.col("_rows") / CELL), F.lit(PIVOTS)).cast("int")
+        chosen = cut_lineage(counted.select("label", "cell", "_rows", F.slice("_pivots", 1, wanted).alias("_pivots")), "pivots")
+        near = F.transform("_pivots", lambda p: _dot(p, F.col("unit")))
+        placed = opened.join(chosen, ["label", "cell"]).select(*opened.columns, "_rows", "_pivots", near.alias("_near"))
+        pivot = F.array_position("_near", F.array_max("_near")).cast("int")
+        placed = placed.select(*nodes.columns, "_rows", F.col("cell").alias("parent"), F.concat_ws(".", "cell", pivot.cast("string")).alias("cell"), F.element_at("_pivots", pivot).alias("centre"))
+        placed = cut_lineage(placed, "cells")
+        balls = placed.groupBy("label", "parent", "cell").agg(
+            F.any_value("centre").alias("centre"), F.max(_chord(F.col("centre"), F.col("unit"))).alias("radius"), F.count("*").alias("_now"), F.any_value("_rows").alias("_rows")
+        )
+        split = (F.col("_now") > CELL) & (F.col("_now") < STUCK * F.col("_rows"))
+        balls = cut_lineage(balls.select("label", "parent", "cell", "centre", "radius", split.alias("split")), "balls")
+        levels.append(balls)
+        crowded = balls.where("split").select("label", "cell")
+        done.append(placed.join(crowded, ["label", "cell"], "left_anti").select(*nodes.columns, "cell"))
+        if crowded.isEmpty():
+            break
+        opened = placed.join(crowded, ["label", "cell"], "left_semi").select(*nodes.columns, "cell")
+    cells = done[0]
+    for more in done[1:]:
+        cells = cells.union(more)
+    return cells, levels
+
+
+def _near_cells(levels: list[DataFrame], chord: float) -> DataFrame:
+    """Pairs of cells (label, a, b) whose balls may hold a link, each once, from the top level down."""
+    items = levels[0]
+    a, b = items.alias("a"), items.alias("b")
+    near = _chord(F.col("a.centre"), F.col("b.centre")) <= chord + F.col("a.radius") + F.col("b.radius") + SLACK
+    columns = [F.col("a.label").alias("label"), F.col("a.cell").alias("a"), F.col("b.cell").alias("b")]
+    pairs = a.join(b, (F.col("a.label") == F.col("b.label")) & (F.col("a.cell") <= F.col("b.cell")) & near).select(*columns)
+    for level in levels[1:]:
+        # Cells that were not split go on as their own only child.
+        ended = items.where("not split").withColumn("parent", F.col("cell"))
+        items = cut_lineage(ended.unionByName(level), "balls")
+        pairs = cut_lineage(pairs, "pairs").alias("p")
+        a, b = items.alias("a"), items.alias("b")
+        left = (F.col("p.label") == F.col("a.label")) & (F.col("p.a") == F.col("a.parent"))
+        right = (F.col("p.label") == F.col("b.label")) & (F.col("p.b") == F.col("b.parent"))
+        once = (F.col("p.a") != F.col("p.b")) | (F.col("a.cell") <= F.col("b.cell"))
+        pairs = pairs.join(a, left).join(b, right & once & near).select(*columns)
+    return pairs
+
+
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = 0.98) -> DataFrame:
     """Per row: the key, ``n_links``, ``component_id`` and ``kept``.
 
@@ -170,30 +226,25 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     some = rows.where("node is not null")
     nodes = some.groupBy("node").agg(F.min("key").alias("first"), F.count("*").alias("copies"), F.any_value("label").alias("label"), F.any_value("unit").alias("unit"))
     nodes = cut_lineage(nodes.withColumn("label", F.struct("label", F.size("unit"))), "nodes")
-    pivots = cut_lineage(_pivots(nodes, "label"), "pivots")
-
-    # A cell: the nearest pivot, dealt on by hash where a pivot would get more than a cell holds.
-    near = F.transform("_pivots", lambda p: _dot(p, F.col("unit")))
-    placed = nodes.join(pivots, "label").select("node", "label", "unit", "copies", near.alias("_near"))
-    pivot = (F.array_position("_near", F.array_max("_near")) - 1).cast("int")
-    placed = placed.select("node", "label", "unit", "copies", pivot.alias("pivot"))
-    crowd = placed.groupBy("label", "pivot").agg(F.ceil(F.count("*") / CELL).cast("int").alias("_parts"))
-    cells = placed.join(crowd, ["label", "pivot"]).withColumn("cell", F.col("pivot").cast("long") * F.lit(1 << 32) + F.pmod(F.xxhash64("node"), F.col("_parts")))
-    cells = cut_lineage(cells.select("node", "label", "unit", "copies", "pivot", "cell"), "cells")
-
-    centres = pivots.select("label", F.posexplode("_pivots").alias("pivot", "centre"))
-    chords = F.sqrt(F.greatest(2 - 2 * _dot(F.col("centre"), F.col("unit")), F.lit(0.0)))
-    balls = cells.join(centres, ["label", "pivot"]).groupBy("label", "pivot", "cell").agg(F.max(chords).alias("radius"))
-    balls = cut_lineage(balls.join(centres, ["label", "pivot"]).select("label", "cell", "centre", "radius"), "balls")
-    a, b = balls.alias("a"), balls.alias("b")
-    apart = F.sqrt(F.greatest(2 - 2 * _dot(F.col("a.centre"), F.col("b.centre")), F.lit(0.0)))
-    meet = (F.col("a.label") == F.col("b.label")) & (F.col("a.cell") <= F.col("b.cell")) & (apart <= chord + F.col("a.radius") + F.col("b.radius") + SLACK)
-    pairs = a.join(b, meet).select(F.col("a.label").alias("label"), F.col("a.cell").alias("a"), F.col("b.cell").alias("b"))
-    sides = pairs.select("label", "a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("cell"))
-    tasks = cells.join(sides, ["label", "cell"]).select(F.xxhash64("label", "a", "b").alias("task"), "a", "b", "cell", "node", "unit", "copies")
+    cells, levels = _levels(nodes.select("node", "label", "unit", "copies"))
+    # What no pivots part is dealt on by hash; such parts share a ball.
+    parts = cut_lineage(cells.groupBy("label", "cell").agg(F.ceil(F.count("*") / CELL).cast("int").alias("_parts")), "parts")
+    cells = cells.join(parts, ["label", "cell"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("_parts").cast("long"))).drop("_parts")
+    cells = cut_lineage(cells, "cells")
+    pairs = _near_cells(levels, chord)
+    each = parts.select("label", F.col("cell").alias("_cell"), F.explode(F.sequence(F.lit(0).cast("long"), (F.col("_parts") - 1).cast("long"))).alias("part"))
+    side_a, side_b = (each.select(F.col("label").alias(f"_l{s}"), F.col("_cell").alias(f"_c{s}"), F.col("part").alias(f"{s}_part")) for s in "ab")
+    pairs = pairs.join(side_a, (F.col("label") == F.col("_la")) & (F.col("a") == F.col("_ca"))).join(side_b, (F.col("label") == F.col("_lb")) & (F.col("b") == F.col("_cb")))
+    pairs = pairs.where("a != b or a_part <= b_part").select("label", F.struct(F.col("a").alias("cell"), F.col("a_part").alias("part")).alias("a"), F.struct(F.col("b").alias("cell"), F.col("b_part").alias("part")).alias("b"))
+    pairs = cut_lineage(pairs, "pairs")
+    sides = pairs.select("label", "a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("side"))
+    sides = sides.select("label", "a", "b", F.col("side.cell").alias("cell"), F.col("side.part").alias("part"))
+    tasks = cells.join(sides, ["label", "cell", "part"])
+    name = {c: F.concat_ws("#", f"{c}.cell", f"{c}.part") for c in "ab"}
+    tasks = tasks.select("label", name["a"].alias("a"), name["b"].alias("b"), F.concat_ws("#", "cell", "part").alias("cell"), "node", "unit", "copies")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        """One row per node with links (a, its links) and one per edge of the forest (a, b)."""
+        """Of a label and a pair of cells: one row per node with links (a, its links) and one per edge of the forest (a, b)."""
         one = group["a"].iloc[0] == group["b"].iloc[0]
         left = group[group["cell"] == group["a"].iloc[0]]
         right = left if one else group[group["cell"] == group["b"].iloc[0]]
@@ -232,7 +283,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
             }
         )
 
-    found = cut_lineage(tasks.groupBy("task").applyInPandas(run, "a string, b string, links long"), "links")
+    found = cut_lineage(tasks.groupBy("label", "a", "b").applyInPandas(run, "a string, b string, links long"), "links")
     links = found.where("b is null").groupBy("a").agg(F.sum("links").alias("links"))
     roots = components(found.where("b is not null"), "a", "b")
     known = nodes.select("node", "first", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

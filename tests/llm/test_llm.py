@@ -116,14 +116,20 @@ def test_suffix_windows_of_very_common_grams(docs, monkeypatch):
     assert Counter(plain) == Counter(suffix_dedup.suffix_dedup(docs).select("doc_id", "n_removed", "kept").collect())
 
 
-def test_near_duplicate_vectors(spark, monkeypatch):
-    monkeypatch.setattr(embedding_dedup, "CELL", 16)
+@pytest.mark.parametrize(("cell", "pivots", "levels"), [(16, 32, 1), (6, 2, 3)])
+def test_near_duplicate_vectors(spark, monkeypatch, cell, pivots, levels):
+    monkeypatch.setattr(embedding_dedup, "CELL", cell)
+    monkeypatch.setattr(embedding_dedup, "PIVOTS", pivots)
+    seen, walked = [], embedding_dedup._near_cells
+    monkeypatch.setattr(embedding_dedup, "_near_cells", lambda found, chord: seen.append(len(found)) or walked(found, chord))
     rnd = np.random.default_rng(3)
     base = rnd.normal(size=(60, 16))
     near = base[rnd.integers(0, 60, 60)] + rnd.normal(size=(60, 16)) * 0.05
     rows = [(i, [float(x) for x in v], int(i % 2)) for i, v in enumerate(np.concatenate([base, near, base[:5]]))]
     odd = [None, [], [0.0] * 16, [float("nan")] * 16, [None] * 16, [float("inf")] + [1.0] * 15]
     rows += [(200 + i, v, 0) for i, v in enumerate(odd)] + [(300, rows[0][1], None)]
+    # Vectors of other lengths link among themselves alone; copies of one vector are one point that no pivots part.
+    rows += [(400, rows[0][1][:15], 0), (401, rows[0][1][:15], 0), (402, [*rows[0][1], 0.0], 0)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").selectExpr("*", "1 as node")
     links, root = Counter(), {r[0]: r[0] for r in rows}
 
@@ -134,16 +140,33 @@ def test_near_duplicate_vectors(spark, monkeypatch):
 
     for i, v, a in rows[:125]:
         for j, w, b in rows[:i]:
-            if a == b and np.dot(v, w) / np.linalg.norm(v) / np.linalg.norm(w) >= 0.98:
+            if a == b and i < 200 and np.dot(v, w) / np.linalg.norm(v) / np.linalg.norm(w) >= 0.98:
                 links[i] += 1
                 links[j] += 1
                 p, q = sorted((top(i), top(j)))
                 root[q] = p
+    links[400], links[401], root[401] = 1, 1, 400
     want = {(i, links[i], top(i), top(i) == i) for i, _, _ in rows}
     assert links and {tuple(r) for r in embedding_dedup.near_duplicates(table).collect()} == want
+    assert seen and min(seen) >= levels
     assert embedding_dedup.near_duplicates(table.limit(0)).count() == 0
 
 
+def test_far_cells_never_meet(spark, monkeypatch):
+    """Points along a circle: pairs of cells grow with the points, not with their square."""
+    monkeypatch.setattr(embedding_dedup, "CELL", 16)
+    monkeypatch.setattr(embedding_dedup, "PIVOTS", 8)
+    share = {}
+    for points in (300, 1800):
+        angle = np.random.default_rng(5).uniform(0, 2 * np.pi, points)
+        nodes = [(f"n{i}", 1, [float(np.cos(x)), float(np.sin(x))], 1) for i, x in enumerate(angle)]
+        cells, levels = embedding_dedup._levels(spark.createDataFrame(nodes, "node string, label int, unit array<double>, copies int"))
+        assert cells.count() == points and len(levels) > 1 and cells.groupBy("cell").count().where("count > 32").count() == 0
+        many = cells.select("cell").distinct().count()
+        share[points] = embedding_dedup._near_cells(levels, 0.001).count() / (many * (many + 1) / 2)
+    assert share[1800] < share[300] / 3
+
+
 def test_packing(spark, docs, corpus):
     rnd = random.Random(4)
     for capacity in (10, 64, 1024):
