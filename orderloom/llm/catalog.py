@@ -108,4 +108,10 @@ _ALL = (
     op11_quality_classifier, op12_collocations, op13_lexical_search,
 )
 QUERIES = {f.__name__: f for f in _ALL}
-ORACLES = {"op12_collocations": twins.COLLOCATIONS, "op13_lexical_search": twins.LEXICAL_SEARCH}
+ORACLES = {
+    "op3_embedding_dedup": twins.EMBEDDING_DEDUP,
+    "op6_jaccard_join": twins.JACCARD_JOIN,
+    "op8_quality_rules": twins.QUALITY_RULES,
+    "op12_collocations": twins.COLLOCATIONS,
+    "op13_lexical_search": twins.LEXICAL_SEARCH,
+}

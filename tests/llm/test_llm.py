@@ -507,3 +507,14 @@ def test_pipeline_stages(spark, docs, nothing, tmp_path):
         packed = pipeline.STAGES[-1][1](spark, kept, folder)
         assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in kept.collect()}
         assert pipeline.run(spark, folder).count() == packed.count()
+
+
+def test_toxicity_of_texts_longer_than_a_block(monkeypatch):
+    """Blocks overlap, so a long text has the features it would have in one piece."""
+    rnd = random.Random(6)
+    text = words(rnd, 300) + " idiot é " + words(rnd, 300)
+    at = np.zeros(1 << toxicity.BITS, np.int32)
+    whole = np.sort(toxicity.features(text, at))
+    for block in (50, 64, 777):
+        monkeypatch.setattr(toxicity, "BLOCK", block)
+        assert np.array_equal(np.sort(toxicity.features(text, at)), whole)
