@@ -8,6 +8,7 @@ log-count ratio and fits a logistic regression on them. Texts are read whole, lo
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,6 +23,8 @@ BITS = 20
 LENGTHS = (3, 4, 5, 6, 7)
 BLOCK = 1 << 20
 SAMPLE_TASKS = 8
+#: Rows of a batch that are scored and sent on at once.
+SLICE = 512
 
 
 @dataclass(frozen=True)
@@ -88,12 +91,14 @@ def fit(
             for body, kind in zip(part["_text"], part["_label"] > 0, strict=True):
                 seen[int(kind), features(body, at)] += 1
                 rows[int(kind)] += 1
-        yield pd.DataFrame({"clean": [seen[0].tobytes()], "toxic": [seen[1].tobytes()], "n_clean": [rows[0]], "n_toxic": [rows[1]]})
+        # Nearly all counts are 0 or 1: packed, a task's answer is some hundred kilobytes.
+        packed = [zlib.compress(s.astype(np.uint32).tobytes(), 1) for s in seen]
+        yield pd.DataFrame({"clean": [packed[0]], "toxic": [packed[1]], "n_clean": [rows[0]], "n_toxic": [rows[1]]})
 
     counts, n = np.zeros((2, 1 << BITS), np.float32), np.zeros(2)
     for row in texts.mapInPandas(count, "clean binary, toxic binary, n_clean long, n_toxic long").toLocalIterator():
-        counts[0] += np.frombuffer(row["clean"], np.float32)
-        counts[1] += np.frombuffer(row["toxic"], np.float32)
+        for kind, name in enumerate(("clean", "toxic")):
+            counts[kind] += np.frombuffer(zlib.decompress(row[name]), np.uint32)
         n += (row["n_clean"], row["n_toxic"])
     if not n.all():
         return Model(np.zeros(0, np.int64), np.zeros(0), float(np.log((n[1] + 1) / (n[0] + 1))))
@@ -155,10 +160,12 @@ def score(docs: DataFrame, model: Model, text: str = "text", into: str = "toxici
         places, weights, intercept = shared.value
         table, at = np.zeros(1 << BITS), np.zeros(1 << BITS, np.int32)
         table[places] = weights
-        for part in parts:
-            sums = np.array([table[features(body, at)].sum() for body in part.column(text).to_pylist()], dtype=np.float64)
-            values = 1 / (1 + np.exp(-np.clip(sums + intercept, -700, 700)))
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in own), pa.array(values)], names=[*own, into])
+        for whole in parts:
+            for begin in range(0, whole.num_rows, SLICE):
+                part = whole.slice(begin, SLICE)
+                sums = np.array([table[features(body, at)].sum() for body in part.column(text).to_pylist()], dtype=np.float64)
+                values = 1 / (1 + np.exp(-np.clip(sums + intercept, -700, 700)))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in own), pa.array(values)], names=[*own, into])
 
     return docs.select(*dict.fromkeys([*own, text])).mapInArrow(run, schema)
 
