@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from orderloom.catalog.shared import LINES, plain
 from orderloom.operators.asof import as_of_join
 from orderloom.operators.dedup import first_and_last, keep_earliest, keep_latest, ordering
-from orderloom.operators.history import scd2_as_of, scd2_current, scd2_run, scd2_schema, scd2_table
+from orderloom.operators.history import buckets_for, scd2_as_of, scd2_current, scd2_run, scd2_schema, scd2_table
 from orderloom.functions.times import from_micros, micros
 from orderloom.operators.incremental import FLOOR, high_water, high_water_overall, increment, increment_by_store
 from orderloom.operators.merge import merge_ranked, merge_upsert
@@ -167,13 +167,18 @@ def merge_first_version(spark: SparkSession, sf: str) -> DataFrame:
     return plain(merge_ranked(keep_earliest(after, keys, ["ts", "event_id"]), before, keys, oldest))
 
 
+def _buckets(spark: SparkSession, sf: str) -> int:
+    """Buckets for a history of what the line items tell."""
+    return buckets_for(spark, f"{sf}/lineitem.parquet")
+
+
 def _history(spark: SparkSession, sf: str) -> DataFrame:
     """History of the line items over three runs, each seeing what had shipped by then, the last one everything."""
     lineitem = table(spark, sf, "lineitem").select(*LINE, *NEWEST, "l_extendedprice", "l_linestatus")
-    path = shared_folder(spark, "history")
+    path, buckets = shared_folder(spark, "history"), _buckets(spark, sf)
     for number, run in enumerate(RUNS):
         seen = lineitem.where(F.col("l_shipdate") < F.lit(run).cast("timestamp_ntz")) if run else lineitem
-        scd2_run(spark, path, number, keep_latest(seen, LINE, NEWEST), LINE, "l_shipdate", buckets=8)
+        scd2_run(spark, path, number, keep_latest(seen, LINE, NEWEST), LINE, "l_shipdate", buckets=buckets)
     return scd2_table(spark, path, scd2_schema(lineitem.schema, "l_shipdate"))
 
 
@@ -187,10 +192,10 @@ def storefront_history(spark: SparkSession, sf: str) -> DataFrame:
         (at < F.lit("1997-06-01").cast("timestamp_ntz")) & (F.col("brand") != "STORE_B"),
         ~even | (at < F.lit("1995-01-01").cast("timestamp_ntz")),
     ]
-    path, schema = shared_folder(spark, "history"), None
+    path, schema, buckets = shared_folder(spark, "history"), None, _buckets(spark, sf)
     for number, seen in enumerate(runs):
         current = S.history_rows(lines.where(seen)).select("history_key", "quantity", "updated_at_utc")
-        scd2_run(spark, path, number, current, ["history_key"], "updated_at_utc", buckets=8)
+        scd2_run(spark, path, number, current, ["history_key"], "updated_at_utc", buckets=buckets)
         schema = scd2_schema(current.schema, "updated_at_utc")
     return plain(scd2_table(spark, path, schema))
 
@@ -229,26 +234,26 @@ def as_of_orders(spark: SparkSession, sf: str) -> DataFrame:
 def marketplace_history(spark: SparkSession, sf: str) -> DataFrame:
     """History of marketplace lines over three runs."""
     lines = M.stage_lines(marketplace_orders(table(spark, sf, "lineitem")))
-    return _line_history(spark, lines, "update_time", ["order_status", "sale_price"])
+    return _line_history(spark, sf, lines, "update_time", ["order_status", "sale_price"])
 
 
 def shipping_history(spark: SparkSession, sf: str) -> DataFrame:
     """History of storefront shipping lines over three runs."""
     staged = S.stage_shipping_lines(storefront_orders(table(spark, sf, "lineitem")))
-    path = shared_folder(spark, "history")
+    path, buckets = shared_folder(spark, "history"), _buckets(spark, sf)
     for number, run in enumerate(RUNS):
         seen = staged.where(F.col("updated_at") < F.lit(run).cast("timestamp_ntz")) if run else staged
         current = S.history_rows(seen, S.SHIPPING_KEY).select("history_key", "shipping_price", "updated_at_utc")
-        scd2_run(spark, path, number, current, ["history_key"], "updated_at_utc", buckets=8)
+        scd2_run(spark, path, number, current, ["history_key"], "updated_at_utc", buckets=buckets)
     return plain(scd2_table(spark, path, scd2_schema(current.schema, "updated_at_utc")))
 
 
-def _line_history(spark: SparkSession, lines: DataFrame, at: str, tracked: list[str]) -> DataFrame:
-    path = shared_folder(spark, "history")
+def _line_history(spark: SparkSession, sf: str, lines: DataFrame, at: str, tracked: list[str]) -> DataFrame:
+    path, buckets = shared_folder(spark, "history"), _buckets(spark, sf)
     for number, run in enumerate(RUNS):
         seen = lines.where(F.col(at) < F.lit(run).cast("timestamp_ntz")) if run else lines
         current = M.history_rows(seen).select("history_key", *tracked, at)
-        scd2_run(spark, path, number, current, ["history_key"], at, buckets=8)
+        scd2_run(spark, path, number, current, ["history_key"], at, buckets=buckets)
     return plain(scd2_table(spark, path, scd2_schema(current.schema, at)))
 
 

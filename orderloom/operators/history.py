@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderloom.session import pieces
 from orderloom.sources.folders import committed, matching, number, remove
 
 FROM, TO, STATE, ID = "valid_from", "valid_to", "history_state", "history_id"
@@ -67,7 +68,8 @@ def scd2_run(
     Rows lie in files by the hash of their key, ``buckets`` of them, and Spark knows that, so only ``current`` is shuffled: the rows the run
     before left open meet it where they lie. The run writes those it closes and all that are open now; rows closed earlier are neither read nor written.
     Then the open rows of all runs but this one and the one before are removed, so the table stays below twice its live rows, and a reader of the run
-    before goes on. ``run`` numbers, of 64 bits, must rise; ``buckets`` belongs to the table, and another count is refused. Spark's success marker commits a
+    before goes on. ``run`` numbers, of 64 bits, must rise; ``buckets`` belongs to the table, and another count is refused. A task holds the rows of one bucket,
+    so choose their count by the size of the feed (:func:`buckets_for`). Spark's success marker commits a
     run: one that broke off is not seen by readers and may be repeated.
     """
     base = _base(spark, path, buckets)
@@ -93,6 +95,11 @@ def scd2_run(
         remove(spark, f"{base}/run={superseded}/{STATE}=open")
 
 
+def buckets_for(spark: SparkSession, path: str, least: int = 8) -> int:
+    """A count of buckets for the history of a feed of the size of the files at ``path``: it rises with them, so that a bucket's rows fit a task."""
+    return max(least, pieces(spark, path))
+
+
 def key_id(key: Sequence[str]) -> Column:
     """A text that tells keys apart, NULLs included: the MD5 of their JSON."""
     return F.md5(F.to_json(F.struct(*key)))
