@@ -323,3 +323,12 @@ def test_append_adds_new_columns(spark, rows, tmp_path):
     append_increment(first, path)
     append_increment(spark.createDataFrame([(2, 0.5)], "k long, w double"), path, first.schema)
     assert rows(read_table(spark, path), "k", "v", "w") == [(1, "a", None), (2, None, 0.5)]
+
+
+def test_buckets_of_a_history_follow_the_size_of_its_feed(spark, tmp_path, monkeypatch):
+    from orderloom import session
+
+    spark.range(20_000).repartition(1).write.parquet(str(tmp_path / "feed"))
+    assert history.buckets_for(spark, str(tmp_path / "feed")) == 8
+    monkeypatch.setattr(session, "PIECE", 1000)
+    assert history.buckets_for(spark, str(tmp_path / "feed")) > 20
