@@ -20,6 +20,12 @@ from orderloom.sources.folders import matching, number, remove
 SCHEMA = "place_bucket bigint, bitmap binary"
 #: Places of the hash space by default; about sixteen for each key keep chance agreements near six in a hundred.
 PLACES = 1 << 36
+_BITMAP = 1 << 15
+
+
+def places_for(keys: int) -> int:
+    """Places for a filter that will hold about so many keys: with far more, every key has a bitmap of its own."""
+    return max(_BITMAP, 1 << (16 * keys - 1).bit_length())
 
 
 def _place(keys: Sequence[str], places: int) -> Column:
@@ -31,9 +37,13 @@ def _place(keys: Sequence[str], places: int) -> Column:
 def add_keys(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], places: int = PLACES) -> None:
     """Add the keys of ``rows`` to the filter at ``path``; adding keys again changes nothing. ``places`` belongs to the filter."""
     base = _base(spark, path, places)
-    placed = rows.select(_place(keys, places).alias("place"))
-    bits = placed.groupBy(F.bitmap_bucket_number("place").alias("place_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bitmap"))
-    bits.write.mode("append").parquet(base)
+    _bits(rows.select(_place(keys, places).alias("place"))).write.mode("append").parquet(base)
+
+
+def _bits(placed: DataFrame) -> DataFrame:
+    """A bitmap per bucket. Places are shuffled, not bitmaps, which are 4 KB each however few bits they have."""
+    dealt = placed.withColumn("place_bucket", F.bitmap_bucket_number("place")).repartition("place_bucket")
+    return dealt.groupBy("place_bucket").agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bitmap"))
 
 
 def compact(spark: SparkSession, path: str, places: int = PLACES) -> None:

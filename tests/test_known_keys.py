@@ -64,3 +64,17 @@ def test_a_batch_reads_its_repeats_buckets_only(spark, tmp_path):
 
     read = size(found)
     assert 0 < read < size(check_unique(V.read(spark, table).unionByName(batch), KEYS)) / 5
+
+
+def test_places_are_shuffled_not_bitmaps(spark):
+    """A bitmap has 4 KB however few bits are set; rows of one key each would be shuffled and sorted with one."""
+    placed = spark.range(1, 2000, 7).select(F.col("id").alias("place"))
+    found = K._bits(placed)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "bitmap_construct_agg" not in plan[plan.index("Exchange") :]
+    assert found.agg(F.sum(F.bitmap_count("bitmap"))).first()[0] == placed.count()
+
+
+def test_places_follow_the_keys():
+    assert K.places_for(0) == K.places_for(2000) == 1 << 15
+    assert K.places_for(1 << 20) == 1 << 24 and K.places_for((1 << 20) + 1) == 1 << 25
