@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -172,14 +173,15 @@ def _buckets(spark: SparkSession, sf: str) -> int:
     return buckets_for(spark, f"{sf}/lineitem.parquet")
 
 
-def _history(spark: SparkSession, sf: str) -> DataFrame:
-    """History of the line items over three runs, each seeing what had shipped by then, the last one everything."""
+def _history(spark: SparkSession, sf: str, columns: Sequence[str] = (*NEWEST, "l_extendedprice", "l_linestatus")) -> DataFrame:
+    """History of the line items, of ``columns``, over three runs, each seeing what had shipped by then, the last one everything."""
     lineitem = table(spark, sf, "lineitem").select(*LINE, *NEWEST, "l_extendedprice", "l_linestatus")
     path, buckets = shared_folder(spark, "history"), _buckets(spark, sf)
     for number, run in enumerate(RUNS):
         seen = lineitem.where(F.col("l_shipdate") < F.lit(run).cast("timestamp_ntz")) if run else lineitem
-        scd2_run(spark, path, number, keep_latest(seen, LINE, NEWEST), LINE, "l_shipdate", buckets=buckets)
-    return scd2_table(spark, path, scd2_schema(lineitem.schema, "l_shipdate"))
+        current = keep_latest(seen, LINE, NEWEST).select(*LINE, *columns)
+        scd2_run(spark, path, number, current, LINE, "l_shipdate", buckets=buckets)
+    return scd2_table(spark, path, scd2_schema(current.schema, "l_shipdate"))
 
 
 def storefront_history(spark: SparkSession, sf: str) -> DataFrame:
@@ -225,10 +227,11 @@ def scd2_as_of_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def as_of_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Every line of every order as it was when the order was placed."""
-    history = _history(spark, sf)
+    columns = ["l_shipdate", "l_extendedprice", "l_linestatus"]
+    history = _history(spark, sf, columns)
     lines = table(spark, sf, "lineitem").select(*LINE).distinct()
     facts = table(spark, sf, "orders").select("o_orderkey", "o_orderdate").join(lines, F.col("o_orderkey") == F.col("l_orderkey")).drop("o_orderkey")
-    return plain(as_of_join(facts, history, LINE, "o_orderdate", ["l_shipdate", "l_extendedprice", "l_linestatus"], "was_"))
+    return plain(as_of_join(facts, history, LINE, "o_orderdate", columns, "was_"))
 
 
 def marketplace_history(spark: SparkSession, sf: str) -> DataFrame:

@@ -32,27 +32,33 @@ def as_of_join(
         raise ValueError(f"facts have columns {sorted(taken)}; choose a prefix")
     keys = [F.col(k).alias(f"k{i}") for i, k in enumerate(key)]
     names = [f"k{i}" for i in range(len(key))]
-    fact = F.struct(*[F.col(f"`{c}`") for c in facts.columns])
-    row = F.struct(F.col(FROM).alias("begin"), F.col(TO).isNull().alias("open"), F.col(TO).alias("end"), F.struct(*columns).alias("row"))
+    # What a fact shares with every row of the join, its key and its time, is shuffled once.
+    shared = {k: n for k, n in zip(key, names, strict=True) if k in facts.columns and facts.schema[k].dataType == history.schema[k].dataType}
+    if at in facts.columns and facts.schema[at].dataType == history.schema[FROM].dataType:
+        shared[at] = "time"
+    own = [F.col(f"`{c}`") for c in facts.columns if c not in shared]
+    fact = F.struct(*(own or [F.lit(True).alias("fact")]))
+    row = F.struct(F.col(TO).alias("end"), F.struct(*columns).alias("row"))
     left = facts.select(*keys, _slice(F.col(at), days).alias("slice"), F.col(at).alias("time"), fact.alias("fact"))
-    right = history.select(*keys, _slice(F.col(FROM), days).alias("slice"), row.alias("version"))
+    right = history.select(*keys, _slice(F.col(FROM), days).alias("slice"), F.col(FROM).alias("begin"), row.alias("version"))
 
     # At the begin of a slice with facts: the last version of the slices before it.
     asked = left.where("slice is not null").select(*names, "slice").distinct().withColumns({"version": _none(right.schema["version"].dataType), "asked": F.lit(True)})
-    last = right.groupBy(*names, "slice").agg(F.max_by("version", F.struct("version.begin", "version.open", "version.end")).alias("version")).withColumn("asked", F.lit(False))
+    latest = F.max_by("version", F.struct("begin", F.col("version.end").isNull(), F.col("version.end")))
+    last = right.groupBy(*names, "slice").agg(latest.alias("version")).withColumn("asked", F.lit(False))
     before = Window.partitionBy(*names).orderBy("slice").rangeBetween(Window.unboundedPreceding, -1)
     carried = asked.unionByName(last).withColumn("version", F.last("version", ignorenulls=True).over(before)).where("asked and version is not null")
 
     none = _none(left.schema["fact"].dataType)
     versions = carried.drop("asked").withColumn("time", F.lit(None).cast(left.schema["time"].dataType))
-    versions = versions.unionByName(right.withColumn("time", F.col("version.begin")))
+    versions = versions.unionByName(right.withColumnRenamed("begin", "time"))
     both = left.withColumn("version", _none(right.schema["version"].dataType)).unionByName(versions.withColumn("fact", none))
-    order = [F.col("time").asc_nulls_first(), F.col("fact").isNotNull(), F.col("version.begin"), F.col("version.open"), F.col("version.end")]
+    order = [F.col("time").asc_nulls_first(), F.col("fact").isNotNull(), F.col("version.end").asc_nulls_last()]
     upto = Window.partitionBy(*names, "slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = both.withColumn("version", F.last("version", ignorenulls=True).over(upto)).where("fact is not null")
-    valid = F.col("time").isNotNull() & (F.col("version.open") | (F.col("time") < F.col("version.end")))
+    valid = F.col("time").isNotNull() & (F.col("version.end").isNull() | (F.col("time") < F.col("version.end")))
     kept = [F.when(valid, F.col("version.row").getField(c)).alias(prefix + c) for c in columns]
-    return found.select(*[F.col("fact").getField(c).alias(c) for c in facts.columns], *kept)
+    return found.select(*[(F.col(shared[c]) if c in shared else F.col("fact").getField(c)).alias(c) for c in facts.columns], *kept)
 
 
 def _slice(at: Column, days: int) -> Column:

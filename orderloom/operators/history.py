@@ -77,16 +77,16 @@ def scd2_run(
     if any(r > run for r in runs):
         raise ValueError(f"run {run} of {path} comes after run {max(runs)}")
     before = max((r for r in runs if r < run), default=None)
-    opened = current.withColumns({FROM: F.col(updated_at), TO: _empty(current, updated_at), ID: key_id(key)})
+    opened = _opened(current, key, updated_at, buckets)
     state = F.when(F.col(TO).isNull(), "open").otherwise("closed")
     with _bucketed(spark, opened.schema, f"{base}/run={before}/{STATE}=open", buckets) as old:
         if before is None:
-            rows = opened.repartition(buckets, ID)
+            rows = opened
         else:
             rows = _rejoin(spark.table(old), opened, updated_at)
         folder, name = f"{base}/run={run}", _name()
         remove(spark, folder)
-        writer = rows.withColumn(STATE, state).write.partitionBy(STATE).bucketBy(buckets, ID).sortBy(ID)
+        writer = rows.withColumn(STATE, state).write.partitionBy(STATE).bucketBy(buckets, ID).sortBy(ID).option("compression", "zstd")
         try:
             writer.option("path", folder).mode("overwrite").saveAsTable(name)
         finally:
@@ -95,6 +95,12 @@ def scd2_run(
         remove(spark, f"{base}/run={superseded}/{STATE}=open")
 
 
+def _opened(current: DataFrame, key: Sequence[str], updated_at: str, buckets: int) -> DataFrame:
+    """The current rows as open ones, dealt to the buckets. What the history adds to them is made after the shuffle, the key's text too."""
+    dealt = current.repartition(buckets, key_id(key))
+    return dealt.withColumns({FROM: F.col(updated_at), TO: _empty(current, updated_at), ID: key_id(key)})
+
+
 def buckets_for(spark: SparkSession, path: str, least: int = 8) -> int:
     """A count of buckets for the history of a feed of the size of the files at ``path``: it rises with them, so that a bucket's rows fit a task."""
     return max(least, pieces(spark, path))

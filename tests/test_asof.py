@@ -75,3 +75,17 @@ def test_plan_has_no_range_join_and_splits_hot_keys(spark, data):
     hot = facts.where("k = 'hot'").select(F.floor(F.expr("timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', at)") / (2 * 86400)).alias("s"))
     assert hot.groupBy("s").count().agg(F.max("count")).first()[0] * 10 < hot.count()
     assert {FROM, TO} <= set(history.columns)
+
+
+def test_keys_and_time_of_facts_are_shuffled_once(spark):
+    """They come back from the join's own columns, also where a fact has nothing else, and keep the facts' types where those differ."""
+    facts = spark.createDataFrame([("a", 1, hour(5)), ("a", 1, hour(1)), (None, 1, hour(9)), ("a", 1, None)], "k string, n int, at timestamp_ntz")
+    history = spark.createDataFrame([("a", 1, 7, hour(2), hour(6)), (None, 1, 8, hour(2), None)], HISTORY)
+    got = as_of_join(facts, history, ["k", "n"], "at", ["v"])
+    assert "fact" not in {f.name for f in got.schema} and got.columns == ["k", "n", "at", "v"]
+    assert Counter(map(tuple, got.collect())) == Counter([("a", 1, hour(5), 7), ("a", 1, hour(1), None), (None, 1, hour(9), 8), ("a", 1, None, None)])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "named_struct(k" not in plan and "named_struct(begin" not in plan
+    wide = as_of_join(facts, history.withColumn("n", F.col("n").cast("bigint")), ["k", "n"], "at", ["v"])
+    assert wide.schema["n"].dataType.simpleString() == "int"
+    assert Counter(map(tuple, wide.collect())) == Counter(map(tuple, got.collect()))

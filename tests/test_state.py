@@ -332,3 +332,15 @@ def test_buckets_of_a_history_follow_the_size_of_its_feed(spark, tmp_path, monke
     assert history.buckets_for(spark, str(tmp_path / "feed")) == 8
     monkeypatch.setattr(session, "PIECE", 1000)
     assert history.buckets_for(spark, str(tmp_path / "feed")) > 20
+
+
+def test_history_shuffles_its_batch_alone_and_makes_the_rest_after(spark, tmp_path):
+    """The key's text and the times of validity are not shuffled; what is written is packed with zstd."""
+    rows = spark.createDataFrame([(i, dt.datetime(2024, 1, 1)) for i in range(20)], "k int, at timestamp_ntz")
+    opened = history._opened(rows, ["k"], "at", 4)
+    shuffled = opened._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1]
+    assert history.ID not in shuffled and history.FROM not in shuffled
+    for run in range(2):
+        scd2_run(spark, str(tmp_path / "h"), run, rows, ["k"], "at", buckets=4)
+    files = list((tmp_path / "h").rglob("*.parquet"))
+    assert files and all(".zstd." in f.name for f in files)
