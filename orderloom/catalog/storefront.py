@@ -215,7 +215,7 @@ def personal_data(spark: SparkSession, sf: str) -> DataFrame:
 def _stored(spark: SparkSession, orders: DataFrame, name: str) -> DataFrame:
     """A feed stored with its payloads parsed."""
     path = shared_folder(spark, name)
-    parse_payloads(orders, ["line_items", "shipping_lines", "note_attributes"]).write.partitionBy("brand").parquet(path)
+    parse_payloads(orders, ["line_items", "shipping_lines", "note_attributes"]).write.option("compression", "zstd").partitionBy("brand").parquet(path)
     return spark.read.parquet(path)
 
 

@@ -383,3 +383,13 @@ def test_payloads_that_do_not_parse(spark):
     assert [r.k for r in rejected_payloads(parse_payloads(df, ["p"]), "p").collect()] == [2]
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
         parse_payloads(df, ["p"], strict=True).collect()
+
+
+def test_stored_feeds_are_packed(spark, tmp_path, monkeypatch):
+    from orderloom.catalog import storefront as catalog
+
+    monkeypatch.setattr(catalog, "shared_folder", lambda _, name: str(tmp_path / name))
+    raw = spark.createDataFrame([("A", '[{"id":"1"}]'), ("B", None)], "brand string, line_items string")
+    assert catalog._stored(spark, raw, "feed").count() == 2
+    files = list(tmp_path.rglob("*.parquet"))
+    assert files and all(".zstd." in f.name for f in files)
