@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -25,6 +25,9 @@ from orderloom.sources.sinks import drop_pii
 
 RECORD_KEY = ["brand", "refund_record_id", "refund_line_item_id", "record_type"]
 
+# The key with its most selective column first: sorts compare its leading bytes first.
+_PICKED_BY = ["refund_record_id", "refund_line_item_id", "record_type", "brand"]
+
 # The fields of a refund record, in order, with their types. One group is filled per
 # record type (a_: adjustment, rli_: refund line, rsl_: refund shipping line), the others are NULL.
 RECORD = {
@@ -73,19 +76,10 @@ PAYLOADS = {
 def refund_records(refunds: DataFrame, strict: bool = True, allow: Sequence[str] = ()) -> DataFrame:
     """Typed refund records of both connectors, latest version per record.
 
-    The three payload arrays of a refund become one array of records inside the row and one explode,
+    The three payload arrays of a refund lie one after the other in one explode of their positions,
     so the feed is scanned and parsed once. A malformed payload is an error unless ``strict`` is off.
     """
     rows = with_load_time(as_utc(refunds, "created_at"))
-    payloads = {
-        "order_adjustments": _adjustment,
-        "refund_line_items": _refund_line,
-        "refund_shipping_lines": _shipping_line,
-    }
-    arrays = []
-    for name, build in payloads.items():
-        if name in rows.columns:
-            arrays.append(_records(rows, name, build, strict))
     columns = [
         "source_platform",
         F.upper("brand").alias("brand"),
@@ -98,8 +92,8 @@ def refund_records(refunds: DataFrame, strict: bool = True, allow: Sequence[str]
         "batch_date",
         "ds",
     ]
-    out = rows.select(*columns, F.inline(F.concat(*arrays)))
-    out = keep_latest(out, RECORD_KEY, ["batch_runtime", "batch_date", "batch_id", "created_at", row_hash(out)])
+    out = _records(rows, columns, strict)
+    out = keep_latest(out, _PICKED_BY, ["batch_runtime", "batch_date", "batch_id", "created_at", row_hash(out)])
     return drop_pii(out, IDENTIFYING, allow)
 
 
@@ -240,25 +234,39 @@ def _currency(e: Element, money_set: str) -> Column:
     )
 
 
-def _records(
-    rows: DataFrame, name: str, build: Callable[[Element], dict[str, Column]], strict: bool
-) -> Column:
-    """The payload array in ``name`` as an array of records; empty when there is no payload.
+def _records(rows: DataFrame, columns: Sequence[str | Column], strict: bool) -> DataFrame:
+    """A row per element of the payload arrays, with ``columns`` and the fields of its record.
 
-    JSON elements are read as structs in one step; only what comes as an object or as an array stays a VARIANT in them.
+    JSON elements are read as structs in one step; only what comes as an object or as an array stays a VARIANT in them. The records' fields are read
+    above the explode, in generated code, and not in functions of arrays, which Spark interprets. Outside its own positions an array has no element,
+    so fields of the other payloads are NULL.
     """
-    array, kind = json_array(rows, name, strict)
-    if isinstance(kind, T.VariantType):
-        array, kind = typed_array(rows, name, PAYLOADS[name], strict)
-    records = F.transform(array, lambda e: _record(build(Element(e, kind, strict))))
-    return F.coalesce(records, F.array().cast(_record_array()))
-
-
-def _record(filled: dict[str, Column]) -> Column:
-    return F.struct(
-        *[filled.get(n, F.lit(None)).cast(kind).alias(n) for n, kind in RECORD.items()]
-    )
-
-
-def _record_array() -> str:
-    return "array<struct<" + ",".join(f"{n}:{k}" for n, k in RECORD.items()) + ">>"
+    payloads = {
+        "order_adjustments": _adjustment,
+        "refund_line_items": _refund_line,
+        "refund_shipping_lines": _shipping_line,
+    }
+    arrays, kinds = {}, {}
+    for name in payloads:
+        if name in rows.columns:
+            array, kind = json_array(rows, name, strict)
+            if isinstance(kind, T.VariantType):
+                array, kind = typed_array(rows, name, PAYLOADS[name], strict)
+            arrays[name], kinds[name] = array, kind
+    rows = rows.select(*columns, *[array.alias(f"__{name}") for name, array in arrays.items()])
+    ends, end = {}, F.lit(0)
+    for name in arrays:
+        end = end + F.coalesce(F.array_size(f"__{name}"), F.lit(0))
+        ends[name] = end
+    kept = [c for c in rows.columns if c.removeprefix("__") not in arrays]
+    rows = rows.select("*", *[e.alias(f"__end_{name}") for name, e in ends.items()])
+    rows = rows.select("*", F.explode(F.when(end > 0, F.sequence(F.lit(0), end - 1))).alias("__at"))
+    filled, begin = {}, F.lit(0)
+    for name in arrays:
+        made = payloads[name](Element(F.get(f"__{name}", F.col("__at") - begin), kinds[name], strict))
+        begin = F.col(f"__end_{name}")
+        made["record_type"] = F.when(F.col("__at") < begin, made["record_type"])
+        for field, value in made.items():
+            filled.setdefault(field, []).append(value.cast(RECORD[field]))
+    none = [F.lit(None)]
+    return rows.select(*kept, *[F.coalesce(*filled.get(n, none)).cast(kind).alias(n) for n, kind in RECORD.items()])
