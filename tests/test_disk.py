@@ -7,12 +7,26 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderloom import session
+from orderloom.catalog import QUERIES as CATALOG
 from orderloom.operators.incremental import MARK
 from orderloom.plans import fees as P
 from orderloom.sources import versions as V
 from tests.test_statements import BASE, FEE
 
 
+@pytest.fixture
+def small(spark, tmp_path):
+    """Tables of one order with one line."""
+    at = F.lit("2024-01-02 03:04:05").cast("timestamp_ntz")
+    one = spark.range(1, 2)
+    line = {"l_orderkey": F.col("id"), "l_partkey": F.col("id"), "l_suppkey": F.col("id"), "l_linenumber": F.lit(1)}
+    line |= {c: F.lit(0.5) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")}
+    one.select(*[c.alias(n) for n, c in line.items()], F.lit("N").alias("l_returnflag"), F.lit("F").alias("l_linestatus"), at.alias("l_shipdate")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    order = {"o_orderkey": F.col("id"), "o_custkey": F.col("id"), "o_orderstatus": F.lit("F"), "o_totalprice": F.lit(0.5), "o_orderdate": at, "o_orderpriority": F.lit("1-URGENT")}
+    one.select(*[c.alias(n) for n, c in order.items()]).write.parquet(f"{tmp_path}/orders.parquet")
+    return str(tmp_path)
+
+
 @pytest.fixture
 def path(tmp_path):
     return str(tmp_path / "table")
@@ -116,3 +130,16 @@ def test_arriving_statements_are_assembled_once(spark, rows, plans):
     loaded = P.load_statement_transactions(old, head, tx, fees)
     assert rows(loaded, "transaction_id", "breakdown_batch_id") == [("t1", "B1"), ("t2", None)]
     assert MARK not in loaded._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_ledger_query_carries_what_it_reads(spark, small):
+    plan = CATALOG["ledger_lines"](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    picked = plan[plan.index("min_by(") : plan.index(" AS first#")]
+    assert "seller_sku" in picked and "delivery_option_name" not in picked and "tracking" not in picked
+
+
+def test_the_mart_picks_rows_of_what_it_reads(spark, small):
+    plan = CATALOG["storefront_mart"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    # The columns of the rows that meet their attributes, and of both connectors' rows before their pick.
+    carried = [line for line in plan.splitlines() if "Project [" in line and "__state" in line]
+    assert carried and not any("closed_at_pst" in line.split(" AS __row")[0].split("xxhash64(")[0] for line in carried)
